@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from placepulse.schema import label_to_id
+from placepulse.session import durable
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -39,22 +40,26 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
     """Keys holding more than ``share`` of the rows: at most ``1 / share`` of them by counting."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n").alias("_total")).scalar()
-    return counts.where(F.col("_n") > total * share).select(key)
+    return durable(counts.where(F.col("_n") > total * share).select(key))
 
 
 def salted_join(
     big: DataFrame, small: DataFrame, on: Sequence[str], how: str, salts: int = SALTS
 ) -> DataFrame:
-    """Equi join of any size; ``small`` must have one row per key, nulls never match.
+    """Equi join of any size; nulls never match.
 
-    The key is shuffled as a 64-bit hash next to the values themselves, so comparing long text
-    is left to rows whose hashes agree. The salt of a hot row is the number of the partition it
-    is read from, which a re-run task sees again.
+    ``small`` is made distinct first, so many copies of one of its rows travel as one. The key
+    is shuffled as a 64-bit hash next to the values themselves, so comparing long text is left
+    to rows whose hashes agree. The salt of a hot row is the number of the partition it is read
+    from, which a re-run task sees again.
     """
     on = list(on)
     left = big.withColumn("_key", F.xxhash64(*on))
-    right = small.withColumn("_key", F.xxhash64(*on))
-    hot = F.broadcast(hot_keys(left, "_key").withColumn("_hot", F.lit(True)))
+    right = small.select(F.xxhash64(*on).alias("_key"), *small.columns).distinct()
+    hot = hot_keys(left.select("_key"), "_key")
+    if hot.isEmpty():
+        return left.join(right, ["_key", *on], how).drop("_key")
+    hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
     salt = F.when(F.col("_hot"), F.spark_partition_id() % salts).otherwise(0)
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     left = left.join(hot, "_key", "left").withColumn("_salt", salt).drop("_hot")
@@ -77,7 +82,7 @@ def new_reviews(
     Copies inside the batch all stay. The existing keys are made distinct before they travel, so
     many copies of one review cost one row.
     """
-    known = existing.select(*keys).where(_all_present(keys)).distinct()
+    known = existing.select(*keys).where(_all_present(keys))
     return salted_join(batch, known, keys, "left_anti").select(*batch.columns)
 
 
