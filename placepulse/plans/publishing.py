@@ -76,8 +76,7 @@ def publish_reviews(
     known = store.read_table("attractions", ATTRACTIONS)
     titles = durable(new_titles(scored, known))
     if not titles.isEmpty():
-        added = extend_dimension(known, titles)
-        store.replace_table(durable(added), "attractions")
+        store.replace_table(extend_dimension(known, titles), "attractions")
     attractions = store.read_table("attractions", ATTRACTIONS)
 
     rows = attach_attraction_id(scored, attractions).select(*REVIEWS.fieldNames())

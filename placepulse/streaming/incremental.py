@@ -25,15 +25,6 @@ BATCH = T.StructType(
 )
 
 
-def known_keys(store: TableStore, part: str) -> DataFrame:
-    """Keys of the published reviews, leaving out those an earlier try of this batch wrote."""
-    published = store.read_table("reviews", REVIEWS, ["text_review", "source"])
-    if not published.inputFiles():
-        return published
-    folder = F.element_at(F.split(F.input_file_name(), "/"), -2)
-    return published.where(folder != part)
-
-
 def run_available(
     spark: SparkSession,
     input_path: str,
@@ -47,8 +38,10 @@ def run_available(
 
     def publish(batch: DataFrame, number: int) -> None:
         part = f"batch-{number:09d}"
+        # What an earlier try of this batch may have published does not count as known.
+        known = store.read_table("reviews", REVIEWS, ["text_review", "source"], without_part=part)
         batch = durable(batch.where(F.col("text_review").isNotNull()))
-        scored = durable(score_new_reviews(batch, known_keys(store, part), scorer))
+        scored = durable(score_new_reviews(batch, known, scorer))
         publish_reviews(scored, store, aliases, mode="append", part=part)
 
     stream = (
