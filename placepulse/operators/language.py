@@ -1,57 +1,58 @@
 """Language detection: naive Bayes over character n-grams.
 
-The published method of n-gram language identification on Spark ML: n-grams of one to three
-characters are counted against a fixed vocabulary and scored by a multinomial naive Bayes model.
-Training is a distributed aggregate. Detection is a per-row transformation inside the JVM, so the
-text is neither shuffled nor copied out. The vocabulary bounds the model whatever the corpus.
-
-The labels are those of the training table; they are not the labels of any downloaded model.
+The published method of n-gram language identification: n-grams of one to three characters within
+words, a vocabulary of the most frequent ones, a multinomial naive Bayes score per language.
+Training is a chain of aggregates that starts from word counts, so n-grams are cut from every
+different word once. Detection reads each text once where it is; the vocabulary bounds the model
+sent along. The labels are those of the training table, not of any downloaded model.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.ml.classification import NaiveBayes, NaiveBayesModel
-from pyspark.ml.feature import CountVectorizerModel
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placepulse.functions.text import squeeze_space
-from placepulse.operators.tokens import count_terms
 from placepulse.schema import UNKNOWN_LANGUAGE
 
 VOCABULARY = 4000
 MIN_CHARS = 3
+_BITS = 21  # a code point fits in 21 bits, three of them in one 64-bit key
+_SPACE = 32
+
+
+def letters_only(c: Column) -> Column:
+    """Lower-case words of letters, one space before, between and after them."""
+    return F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(c), r"[^\p{L}]+", " ")), F.lit(" "))
 
 
-def char_ngrams(c: Column) -> Column:
-    """All runs of one to three characters within the lower-case words of a text.
+def word_ngrams(word: Column) -> Column:
+    """All runs of one to three characters of a word marked with a space at both ends.
 
-    Words are marked with a space at both ends; the mark alone is not a feature.
+    The mark alone is no n-gram.
     """
-    letters = F.regexp_replace(F.lower(c), r"[^\p{L}]+", " ")
-    padded = F.split(F.concat(F.lit(" "), F.trim(letters), F.lit(" ")), "")
-
-    def run(length: int) -> Column:
-        shifted = padded
-        grams = padded
-        for _ in range(length - 1):
-            shifted = F.slice(shifted, F.lit(2), F.greatest(F.size(shifted) - 1, F.lit(0)))
-            grams = F.zip_with(grams, shifted, lambda a, b: F.concat(a, b))
-        return grams
-
-    every = F.concat(run(1), run(2), run(3))
+    padded = F.split(F.concat(F.lit(" "), word, F.lit(" ")), "")
+    grams, every, shifted = padded, padded, padded
+    for _ in range(2):
+        shifted = F.slice(shifted, F.lit(2), F.greatest(F.size(shifted) - 1, F.lit(0)))
+        grams = F.zip_with(grams, shifted, lambda a, b: F.concat(a, b))
+        every = F.concat(every, grams)
     return F.filter(every, lambda gram: gram.isNotNull() & (F.trim(gram) != ""))
 
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """A fitted detector: n-gram vocabulary, class model and the languages in class order."""
+    """A fitted detector; row ``i`` of ``weights`` belongs to n-gram ``i``, columns to languages."""
 
-    vectorizer: CountVectorizerModel
-    classifier: NaiveBayesModel
     languages: tuple[str, ...]
+    ngrams: tuple[str, ...]
+    priors: np.ndarray
+    weights: np.ndarray
 
 
 def fit_language_profiles(
@@ -59,44 +60,68 @@ def fit_language_profiles(
 ) -> LanguageModel:
     """Train a detector on labelled text; of equally frequent n-grams the smaller is kept."""
     known = df.where(F.col(text).isNotNull() & F.col(lang).isNotNull())
-    grams = known.select(F.col(lang).alias("_lang"), char_ngrams(F.col(text)).alias("_grams"))
-    languages = tuple(row[0] for row in grams.select("_lang").distinct().orderBy("_lang").collect())
-    kept = count_terms(grams.select(F.explode("_grams").alias("token")), vocabulary)
-    terms = [row["token"] for row in kept.collect()]  # at most `vocabulary` short strings
-    vectorizer = CountVectorizerModel.from_vocabulary(
-        terms, inputCol="_grams", outputCol="_counts"
-    )
-    classes = F.array_position(F.array(*[F.lit(name) for name in languages]), F.col("_lang"))
-    training = vectorizer.transform(grams).withColumn("_class", (classes - 1).cast("double"))
-    bayes = NaiveBayes(
-        featuresCol="_counts",
-        labelCol="_class",
-        predictionCol="_best",
-        rawPredictionCol="_raw",
-        probabilityCol="_probability",
-        smoothing=1.0,
-        modelType="multinomial",
-    )
-    return LanguageModel(vectorizer, bayes.fit(training), languages)
+    words = known.select(F.col(lang).alias("lang"), F.explode(F.split(letters_only(F.col(text)), " ")).alias("word"))
+    counts = words.where("word <> ''").groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
+    # n-grams of the different words, cut once per word and language.
+    cut = counts.select("lang", "n", F.explode(word_ngrams(F.col("word"))).alias("gram"))
+    grams = cut.groupBy("gram", "lang").agg(F.sum("n").alias("n"))
+    by_gram = grams.groupBy("gram").agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by_lang"))
+    # At most `vocabulary` rows of one counter per language come to the driver, as the model must.
+    kept = by_gram.orderBy(F.col("total").desc(), "gram").limit(vocabulary).collect()
+    documents = {row["lang"]: row["n"] for row in known.groupBy(F.col(lang).alias("lang")).agg(F.count(F.lit(1)).alias("n")).collect()}
+
+    languages = tuple(sorted(documents))
+    table = np.array([[row["by_lang"].get(name, 0) for name in languages] for row in kept], dtype=float)
+    table = table.reshape(len(kept), len(languages))
+    weights = np.log(table + 1) - np.log(table.sum(axis=0) + len(kept))
+    docs = np.array([documents[name] for name in languages], dtype=float)
+    priors = np.log(docs + 1) - np.log(docs.sum() + len(languages))
+    return LanguageModel(languages, tuple(row["gram"] for row in kept), priors, weights)
+
+
+def _keys(codes: np.ndarray) -> np.ndarray:
+    """One number for every n-gram within the words of a padded text."""
+    one, two, three = codes, (codes[:-1] << _BITS) | codes[1:], codes[:-2]
+    three = (three << 2 * _BITS) | two[1:]
+    return np.concatenate([one[one != _SPACE], two, three[codes[1:-1] != _SPACE]])
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
 
 
 def detect_language(
     df: DataFrame, model: LanguageModel, text: str = "text_review", output: str = "detected_language"
 ) -> DataFrame:
-    """Add the language of each text; ``unknown`` for null, short and featureless text."""
-    trimmed = squeeze_space(F.col(text))
-    readable = F.col(text).isNotNull() & (F.length(trimmed) >= MIN_CHARS)
-    grams = F.when(readable, char_ngrams(F.col(text))).otherwise(F.array().cast("array<string>"))
-    scored = model.classifier.transform(model.vectorizer.transform(df.withColumn("_grams", grams)))
-    names = F.array(*[F.lit(name) for name in model.languages])
-    best = F.get(names, F.col("_best").cast("int"))
-    known = F.exists(F.col("_grams"), lambda gram: gram.isin(list(model.vectorizer.vocabulary)))
-    label = F.when(known, best).otherwise(UNKNOWN_LANGUAGE)
-    return scored.select(*df.columns, label.alias(output))
+    """Add the language of each text; ``unknown`` for null, short and featureless text.
+
+    Only the letters go to Python and one label comes back; the counting is done by numpy.
+    """
+    packed = [int(np.bitwise_or.reduce([code << _BITS * (len(gram) - 1 - i) for i, code in enumerate(_codes(gram))])) for gram in model.ngrams]
+    order = np.argsort(np.array(packed, dtype=np.int64))
+    keys, weights = np.array(packed, dtype=np.int64)[order], model.weights[order]
+    priors, names = model.priors, model.languages
+
+    def best(value: str | None) -> str:
+        if value is None or len(value) < 3 or not len(keys):
+            return UNKNOWN_LANGUAGE
+        found = _keys(_codes(value))
+        at = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
+        at = at[keys[at] == found]
+        if not len(at):
+            return UNKNOWN_LANGUAGE
+        return names[int(np.argmax(priors + np.bincount(at, minlength=len(keys)) @ weights))]
+
+    @F.pandas_udf("string")
+    def label(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([best(value) for value in texts], dtype="object")
+
+    readable = F.length(squeeze_space(F.col(text))) >= MIN_CHARS
+    return df.withColumn(output, label(F.when(readable, letters_only(F.col(text)))))
 
 
 def accuracy(df: DataFrame, truth: str, predicted: str) -> DataFrame:
     """Share of rows with the right language."""
     right = F.count_if(F.col(truth) == F.col(predicted))
     return df.agg(F.round(right / F.count(F.lit(1)), 6).alias("accuracy"))
-

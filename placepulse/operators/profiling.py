@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from placepulse.functions.labels import sentiment3
 from placepulse.operators.sets import duplicate_count
 from placepulse.schema import LABELS, label_to_id
 
@@ -160,9 +161,13 @@ def quality_indicators(
     text: str = "cleaned_text",
     rating: str = "rating_review",
     duplicate_columns: Sequence[str] | None = None,
+    length: Column | None = None,
 ) -> DataFrame:
-    """Duplicate rows, ratings outside 1..5, very short and very long texts."""
-    length = F.length(F.col(text))
+    """Duplicate rows, ratings outside 1..5, very short and very long texts.
+
+    Give ``length`` where the table has the text length instead of the text.
+    """
+    length = F.length(F.col(text)) if length is None else length
     duplicates = duplicate_count(df, duplicate_columns or [text, rating]).scalar()
     measured = df.agg(
         F.count(F.lit(1)).alias("total_rows"),
@@ -180,11 +185,15 @@ def quality_indicators(
     )
 
 
-def findings(df: DataFrame, text: str = "cleaned_text", rating: str = "rating_review") -> DataFrame:
+def findings(
+    df: DataFrame,
+    text: str = "cleaned_text",
+    rating: str = "rating_review",
+    duplicate_columns: Sequence[str] | None = None,
+    length: Column | None = None,
+) -> DataFrame:
     """What to do before training: one row for each rule the profile triggers."""
-    from placepulse.functions.labels import sentiment3
-
-    quality = quality_indicators(df, text, rating)
+    quality = quality_indicators(df, text, rating, duplicate_columns, length)
     # Three classes at most, so this side is one row whatever the size of the table.
     classes = df.groupBy(sentiment3(F.col(rating)).alias("class")).agg(F.count(F.lit(1)).alias("n"))
     summary = classes.agg(

@@ -28,6 +28,10 @@ def fit_lexicon(
     return kept.select("word", F.round("mean").cast("int").alias("stars"))
 
 
+def _among(level: list[str]) -> Callable[[Column], Column]:
+    return lambda word: word.isin(level)
+
+
 def _rounded(total: Column, n: Column) -> Column:
     mean = F.floor(total / n + F.lit(0.5)).cast("int")
     return F.when(n > 0, F.greatest(F.lit(1), F.least(F.lit(5), mean))).otherwise(NEUTRAL_STARS)
@@ -55,7 +59,7 @@ def score_stars(
     for stars in range(1, 6):
         level = [row["word"] for row in listed if row["stars"] == stars]
         if level:
-            hits = F.size(F.filter(tokens, lambda word, level=level: word.isin(level)))
+            hits = F.size(F.filter(tokens, _among(level)))
             total, known = total + hits * stars, known + hits
     return df.withColumn(output, F.when(F.col(text).isNull(), NEUTRAL_STARS).otherwise(_rounded(total, known)))
 

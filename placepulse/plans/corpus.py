@@ -11,7 +11,12 @@ from pyspark.sql import functions as F
 from placepulse.functions.labels import sentiment3, sentiment_label
 from placepulse.functions.text import clean_again, clean_text, text_length, word_count
 from placepulse.operators import profiling
-from placepulse.operators.columns import resolve_text_column, select_columns, with_row_id
+from placepulse.operators.columns import (
+    resolve_text_column,
+    row_identity,
+    select_columns,
+    with_row_id,
+)
 from placepulse.operators.filters import (
     drop_nulls,
     filter_language,
@@ -77,14 +82,20 @@ def clean_reviews(
 def profile_reviews(
     df: DataFrame, languages: DataFrame | None = None, text: str = "cleaned_text", rating: str = "rating_review"
 ) -> dict[str, DataFrame]:
-    """The data report, one table per section."""
-    measured = df.withColumns(
-        {
-            "text_length": text_length(F.col(text)),
-            "word_count": word_count(F.col(text)),
-            "sentiment_label": sentiment3(F.col(rating)),
-        }
+    """The data report, one table per section.
+
+    The text is read once for its measures; the sections share the slim table of measures.
+    """
+    measured = durable(
+        df.select(
+            rating,
+            text_length(F.col(text)).alias("text_length"),
+            word_count(F.col(text)).alias("word_count"),
+            sentiment3(F.col(rating)).alias("sentiment_label"),
+            row_identity(text, rating).alias("row"),
+        )
     )
+    length = F.col("text_length")
     report = {
         "basic": profiling.profile(df),
         "missing": profiling.missing_report(df),
@@ -95,14 +106,36 @@ def profile_reviews(
         "sentiment_distribution": profiling.class_distribution(measured, "sentiment_label"),
         "imbalance": profiling.imbalance(measured, "sentiment_label"),
         "temporal": profiling.temporal_profile(df),
-        "quality": profiling.quality_indicators(df, text, rating, [text, rating]),
-        "findings": profiling.findings(df, text, rating),
+        "quality": profiling.quality_indicators(measured, text, rating, ["row"], length),
+        "findings": profiling.findings(measured, text, rating, ["row"], length),
     }
     if languages is not None:
         report["languages"] = languages.orderBy(F.col("count").desc(), "detected_language").limit(10)
     return report
 
 
+def report_table(report: dict[str, DataFrame]) -> DataFrame:
+    """All numbers of a report as one table ``(section, item, measure, value)``.
+
+    The item is the first text or rating column of a section, where it has one.
+    """
+    shape = ("total_rows", "total_columns")
+    parts = []
+    for section, table in report.items():
+        keys = [name for name, dtype in table.dtypes if dtype == "string" or name == "rating_review"]
+        numeric = [
+            name
+            for name, dtype in table.dtypes
+            if dtype in ("int", "bigint", "double") and name not in (*keys, *shape)
+        ]
+        item = F.col(keys[0]).cast("string") if keys else F.lit("")
+        values = [F.struct(F.lit(n).alias("measure"), F.col(n).cast("double").alias("value")) for n in numeric]
+        values = values or [F.struct(F.lit("present").alias("measure"), F.lit(1.0).alias("value"))]
+        rows = table.select(item.alias("item"), F.inline(F.array(*values)))
+        parts.append(rows.select(F.lit(section).alias("section"), "item", "measure", "value"))
+    return union_sources(*parts)
+
+
 def label_reviews(df: DataFrame, lexicon: DataFrame, id_column: str = "review_id") -> DataFrame:
     """Add text length, word count, a predicted rating and its label."""
     text = resolve_text_column(df)

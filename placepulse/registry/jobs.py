@@ -1 +1,246 @@
-"""."""
+"""The composite jobs over the given tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from placepulse.functions.labels import sentiment_label
+from placepulse.operators import stars, training
+from placepulse.operators.language import fit_language_profiles
+from placepulse.operators.sampling import split_tables, stratified_split
+from placepulse.plans import corpus, learning, publishing
+from placepulse.registry import query
+from placepulse.registry.fixtures import (
+    ALIASES_SQL,
+    ATTRACTIONS_SQL,
+    LABEL_CASE,
+    PUBLISHED_SQL,
+    REVIEWS_SQL,
+    TITLED_SQL,
+    aliases,
+    attractions,
+    published,
+    reviews,
+    table,
+    titled,
+)
+from placepulse.registry.learning import SMALL, length_model, lexicon_sql, words_sql
+from placepulse.registry.profiles import MEASURED_SQL, SPLIT_SQL, STATS, STATS_SQL, describe_sql
+from placepulse.registry.texts import SQL_SPACE, clean_sql, rule_ctes
+from placepulse.schema import LABELS
+from placepulse.session import durable, scratch_path, spread
+from placepulse.sources.files import write_csv
+from placepulse.sources.tables import TableStore
+from placepulse.streaming.incremental import run_available
+
+
+@query(
+    "k1_merge_reviews",
+    f"""WITH {REVIEWS_SQL}, merged AS (SELECT text_review, rating_review FROM reviews
+    UNION ALL SELECT text, CAST(1 + turn % 5 AS INTEGER) FROM conversations)
+    SELECT *, row_number() OVER (ORDER BY text_review, rating_review) - 1 AS review_id FROM merged""",
+)
+def merge_reviews(spark: SparkSession, sf: str) -> DataFrame:
+    """Two CSV deliveries with different columns, merged."""
+    first, second = scratch_path(spark, "first"), scratch_path(spark, "second")
+    write_csv(reviews(spark, sf).select("source", "rating_review", "text_review"), first)
+    turns = table(spark, sf, "conversations").withColumn("rating_review", (F.col("turn") % 5 + 1).cast("int"))
+    write_csv(turns.select("role", F.col("text").alias("text_review"), "rating_review"), second)
+    return corpus.merge_reviews(spark, [corpus.CsvSource(first), corpus.CsvSource(second)])
+
+
+_CLEAN, _CLEAN_LAST = clean_sql("english")
+_CLEANED_SQL = f"""{REVIEWS_SQL}, english AS (SELECT review_id, rating_review, text_review AS t FROM reviews
+    WHERE detected_language = 'en'), {_CLEAN}, cleaned AS (SELECT review_id, rating_review, t AS cleaned_text
+    FROM {_CLEAN_LAST} WHERE t IS NOT NULL AND length(t) > 10)"""
+
+
+@query("k2_clean_reviews", f"WITH {_CLEANED_SQL} SELECT * FROM cleaned")
+def clean_reviews(spark: SparkSession, sf: str) -> DataFrame:
+    return corpus.clean_reviews(reviews(spark, sf)).reviews
+
+
+@query("k2_clean_detected_reviews")
+def clean_detected_reviews(spark: SparkSession, sf: str) -> DataFrame:
+    """With the language detected rather than given."""
+    rows = reviews(spark, sf)
+    model = fit_language_profiles(rows, "text_review", "detected_language")
+    return corpus.clean_reviews(rows.drop("detected_language"), model).reviews
+
+
+_PROFILE_SQL = f"""{MEASURED_SQL}, described AS (SELECT 'rating_summary' AS section, * FROM ({describe_sql("measured", ["rating_review"])})
+    UNION ALL SELECT 'length_summary', * FROM ({describe_sql("measured", ["text_length", "word_count"])})),
+    ratings AS (SELECT rating_review, count(*) AS n, round(avg(text_length), 1) AS mean, round(median(text_length), 1) AS median,
+        round(stddev_samp(text_length), 1) AS std, round(count(*) / (SELECT count(*) FROM measured) * 100, 1) AS pct FROM measured GROUP BY 1),
+    sentiments AS (SELECT CASE WHEN rating_review >= 4 THEN 'Positive' WHEN rating_review = 3 THEN 'Neutral' ELSE 'Negative' END AS s,
+        count(*) AS n, round(count(*) / (SELECT count(*) FROM measured) * 100, 1) AS pct FROM measured GROUP BY 1),
+    dups AS (SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT cleaned_text, rating_review FROM measured)) AS d, count(*) AS n FROM measured),
+    facts AS (SELECT section, "column" AS item, unnest(['count', 'mean', 'std', 'min', 'p25', 'p50', 'p75', 'max']) AS measure,
+        unnest([count, mean, std, min, p25, p50, p75, max]) AS value FROM described
+    UNION ALL SELECT 'rating_distribution', CAST(rating_review AS VARCHAR), unnest(['count', 'pct']), unnest([n, pct]) FROM ratings
+    UNION ALL SELECT 'length_by_rating', CAST(rating_review AS VARCHAR), unnest(['mean', 'median', 'std']), unnest([mean, median, std]) FROM ratings
+    UNION ALL SELECT 'sentiment_distribution', s, unnest(['count', 'pct']), unnest([n, pct]) FROM sentiments
+    UNION ALL SELECT 'imbalance', '', unnest(['max_class', 'min_class', 'imbalance_ratio']), unnest([max(n), min(n), round(max(n) / min(n), 6)]) FROM sentiments
+    UNION ALL SELECT 'quality', '', unnest(['duplicate_rows', 'duplicate_pct', 'invalid_ratings', 'very_short', 'very_long']),
+        unnest([(SELECT d FROM dups), (SELECT round(d / n * 100, 2) FROM dups), count(*) FILTER (NOT rating_review BETWEEN 1 AND 5),
+        count(*) FILTER (text_length < 10), count(*) FILTER (text_length > 2000)]) FROM measured
+    UNION ALL SELECT 'basic', unnest(['rating_review', 'cleaned_text']), 'non_null', unnest([count(rating_review), count(cleaned_text)]) FROM measured
+    UNION ALL SELECT 'findings', 'class imbalance', 'present', 1 WHERE (SELECT max(n) / min(n) FROM sentiments) > 3
+    UNION ALL SELECT 'findings', 'extreme text lengths', 'present', 1 WHERE (SELECT count(*) FROM measured WHERE text_length < 10 OR text_length > 2000) > 0
+    UNION ALL SELECT 'findings', 'duplicate entries', 'present', 1 WHERE (SELECT d FROM dups) > 0
+    UNION ALL SELECT 'findings', 'large data set', 'present', 1 WHERE (SELECT n FROM dups) > 100000
+    UNION ALL SELECT 'findings', 'few negative samples', 'present', 1
+        WHERE (SELECT coalesce(sum(n) FILTER (s = 'Negative'), 0) / sum(n) * 100 FROM sentiments) < 10)"""
+
+
+@query("k3_profile_reviews", f"WITH {_PROFILE_SQL} SELECT section, item, measure, CAST(value AS DOUBLE) AS value FROM facts")
+def profile_reviews(spark: SparkSession, sf: str) -> DataFrame:
+    rows = reviews(spark, sf).select("rating_review", F.col("text_review").alias("cleaned_text"))
+    return corpus.report_table(corpus.profile_reviews(rows))
+
+
+@query(
+    "k4_label_reviews",
+    f"""WITH {lexicon_sql(2000)}, occurrences AS (SELECT review_id, unnest({words_sql("text_review")}) AS word FROM reviews),
+    sums AS (SELECT review_id, floor(sum(stars) / count(*) + 0.5) AS mean FROM occurrences JOIN lexicon USING (word) GROUP BY review_id),
+    rated AS (SELECT review_id, rating_review, CAST(length(text_review) AS INTEGER) AS text_length,
+        CAST(len({words_sql("text_review")}) AS INTEGER) AS word_count,
+        CAST(CASE WHEN mean IS NULL THEN 3 ELSE greatest(1, least(5, mean)) END AS INTEGER) AS predicted_rating
+        FROM reviews LEFT JOIN sums USING (review_id))
+    SELECT *, {LABEL_CASE.format("predicted_rating")} AS predicted_sentiment_label FROM rated""",
+)
+def label_reviews(spark: SparkSession, sf: str) -> DataFrame:
+    rows = reviews(spark, sf).select("review_id", F.col("text_review").alias("cleaned_text"), "rating_review")
+    lexicon = durable(stars.fit_lexicon(rows, size=2000))
+    return corpus.label_reviews(rows, lexicon).drop("cleaned_text")
+
+
+def _labelled(spark: SparkSession, sf: str) -> DataFrame:
+    """Reviews of all languages with the label of their rating."""
+    return reviews(spark, sf).select(
+        "review_id",
+        F.col("text_review").alias("cleaned_text"),
+        "rating_review",
+        sentiment_label(F.col("rating_review")).alias("predicted_sentiment_label"),
+    )
+
+
+_AGAIN, _AGAIN_LAST = rule_ctes(["second"], "first_copies")
+_PREPARED_SQL = f"""{REVIEWS_SQL}, copies AS (SELECT review_id, text_review AS t, rating_review,
+    {LABEL_CASE.format("rating_review")} AS predicted_sentiment_label,
+    row_number() OVER (PARTITION BY text_review, rating_review ORDER BY review_id) AS copy FROM reviews),
+    first_copies AS (SELECT * EXCLUDE (copy) FROM copies WHERE copy = 1), {_AGAIN},
+    usable AS (SELECT * FROM {_AGAIN_LAST} WHERE length(t) BETWEEN 20 AND 1000),
+    ranked_usable AS (SELECT *, row_number() OVER (PARTITION BY predicted_sentiment_label ORDER BY md5('42-' || review_id)) AS nth FROM usable),
+    balanced AS (SELECT * EXCLUDE (nth) FROM ranked_usable WHERE nth <=
+        (SELECT min(n) FROM (SELECT count(*) AS n FROM usable GROUP BY predicted_sentiment_label))),
+    {SPLIT_SQL.format("balanced", "predicted_sentiment_label")}"""
+
+
+@query(
+    "k5_prepare_training_data",
+    f"""WITH {_PREPARED_SQL} SELECT review_id, t AS cleaned_text, rating_review, predicted_sentiment_label,
+    CAST(length(t) AS INTEGER) AS text_length, CAST(len(regexp_extract_all(t, '[^{SQL_SPACE}]+')) AS INTEGER) AS word_count,
+    split FROM split_rows""",
+)
+def prepare_training_data(spark: SparkSession, sf: str) -> DataFrame:
+    return corpus.prepare_training_data(_labelled(spark, sf))
+
+
+_LABELS_LIST = "[" + ", ".join(f"'{name}'" for name in LABELS) + "]"
+
+
+@query(
+    "k6_encode_features",
+    f"""WITH {_PREPARED_SQL}, train_words AS (SELECT unnest({words_sql("t")}) AS token FROM split_rows WHERE split = 'train'),
+    vocab AS (SELECT token, row_number() OVER (ORDER BY n DESC, token) + 1 AS token_id FROM
+        (SELECT token, count(*) AS n FROM train_words GROUP BY token ORDER BY n DESC, token LIMIT 500)),
+    places AS (SELECT review_id, unnest({words_sql("t")}[1:512]) AS token, unnest(range(1, len({words_sql("t")}[1:512]) + 1)) AS place FROM split_rows),
+    ids AS (SELECT review_id, list(coalesce(token_id, 1) ORDER BY place) AS ids FROM places LEFT JOIN vocab USING (token) GROUP BY review_id)
+    SELECT s.review_id, s.split, CAST(list_position({_LABELS_LIST}, predicted_sentiment_label) - 1 AS INTEGER) AS label,
+    array_to_string(list_resize(coalesce(ids, []), 512, 0), ',') AS input_ids FROM split_rows s LEFT JOIN ids USING (review_id)""",
+)
+def encode_features(spark: SparkSession, sf: str) -> DataFrame:
+    split = durable(corpus.prepare_training_data(_labelled(spark, sf)))
+    features = learning.encode_features(split, vocab_size=500).features
+    return features.select("review_id", "split", "label", F.array_join("input_ids", ",").alias("input_ids"))
+
+
+@query("k7_train_and_evaluate")
+def train_and_evaluate(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality judgements as the label; split, trained over a small grid, reported on the test set."""
+    docs = spread(table(spark, sf, "documents"), "doc_id")
+    judged = docs.select(F.col("doc_id").alias("review_id"), F.col("text").alias("cleaned_text")).join(
+        table(spark, sf, "labels").select(F.col("doc_id").alias("review_id"), F.col("quality").alias("label")), "review_id"
+    )
+    parts = split_tables(stratified_split(durable(judged), "label"))
+    grid = [SMALL, training.Params(reg_param=0.1, max_iter=5, features=1 << 12)]
+    return learning.train_and_evaluate(parts["train"], parts["validation"], parts["test"], grid).report
+
+
+def _scorer(df: DataFrame) -> DataFrame:
+    return stars.score_with(df, length_model)
+
+
+_UNSEEN_SQL = f"""{TITLED_SQL}, {PUBLISHED_SQL}, unseen AS (SELECT source, title, text_review,
+    CASE length(title || ' ' || text_review) % 5 {" ".join(f"WHEN {i} THEN '{name}'" for i, name in enumerate(LABELS))} END
+    AS predicted_sentiment FROM titled t WHERE NOT EXISTS
+    (SELECT 1 FROM published p WHERE p.text_review = t.text_review AND p.source = t.source))"""
+
+
+@query("k8_score_new_reviews", f"WITH {_UNSEEN_SQL} SELECT * FROM unseen")
+def score_new_reviews(spark: SparkSession, sf: str) -> DataFrame:
+    batch = titled(spark, sf).select("title", "text_review", "source")
+    return publishing.score_new_reviews(batch, published(spark, sf), _scorer)
+
+
+_PUBLISHED_NOW = f"""{_UNSEEN_SQL}, {ATTRACTIONS_SQL}, {ALIASES_SQL}, renamed AS (SELECT source, text_review, predicted_sentiment,
+    coalesce(to_title, title) AS title FROM unseen LEFT JOIN aliases ON title = from_title),
+    fresh AS (SELECT DISTINCT title FROM renamed WHERE title NOT IN (SELECT title FROM attractions)),
+    places AS (SELECT id, title FROM attractions UNION ALL SELECT
+        CAST((SELECT max(id) FROM attractions) + row_number() OVER (ORDER BY title) AS BIGINT), title FROM fresh),
+    placed AS (SELECT p.id AS attraction_id, source, text_review, predicted_sentiment FROM renamed r JOIN places p ON r.title = p.title)"""
+
+
+def _store(spark: SparkSession, sf: str) -> TableStore:
+    store = TableStore(spark, scratch_path(spark, "store"))
+    store.replace_table(attractions(spark, sf), "attractions")
+    return store
+
+
+def _publish(spark: SparkSession, sf: str) -> publishing.Published:
+    batch = titled(spark, sf).select("title", "text_review", "source")
+    scored = publishing.score_new_reviews(batch, published(spark, sf), _scorer)
+    return publishing.publish_reviews(scored, _store(spark, sf), aliases(spark, sf))
+
+
+@query("k9_publish_reviews", f"WITH {_PUBLISHED_NOW} SELECT * FROM placed")
+def publish_reviews(spark: SparkSession, sf: str) -> DataFrame:
+    return _publish(spark, sf).reviews
+
+
+@query(
+    "k9_publish_stats",
+    f"""WITH {_PUBLISHED_NOW}, counts AS (SELECT attraction_id, {STATS_SQL}, count(*) AS total FROM placed GROUP BY 1)
+    SELECT p.id AS attraction_id, {", ".join(f"coalesce({name}, 0) AS {name}" for name in [*STATS, "total"])}
+    FROM places p LEFT JOIN counts c ON c.attraction_id = p.id""",
+)
+def publish_stats(spark: SparkSession, sf: str) -> DataFrame:
+    return _publish(spark, sf).stats
+
+
+@query("k9_incremental_stream", f"WITH {_PUBLISHED_NOW} SELECT * FROM placed")
+def incremental_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The same files offered to the stream twice: the second run finds nothing new."""
+    store, inbox = _store(spark, sf), scratch_path(spark, "inbox")
+    unseen = publishing.new_reviews(titled(spark, sf).select("title", "text_review", "source"), published(spark, sf))
+    unseen.write.parquet(inbox)
+    for _ in range(2):
+        run_available(spark, inbox, f"{inbox}-progress", store, aliases(spark, sf), _scorer)
+        titled(spark, sf).select("title", "text_review", "source").join(
+            store.read_table("reviews", publishing.REVIEWS).select("text_review", "source").distinct(),
+            ["text_review", "source"],
+            "left_semi",
+        ).select("title", "text_review", "source").write.mode("append").parquet(inbox)
+    return store.read_table("reviews", publishing.REVIEWS)
