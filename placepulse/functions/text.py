@@ -1,46 +1,51 @@
 """Text functions. All take and return a Column; null in, null out.
 
-The character classes are spelled out because the regex shorthands of the JVM are ASCII-only
-(or, with the Unicode flag, slightly different), while review text is not.
+Words and digits are spelled out as Unicode classes, and white space as the Unicode white space
+plus the four separators U+001C..U+001F, because the regex shorthands of the JVM are ASCII-only.
 
 Every pattern runs in time linear in the text: none starts a scan to the end of the text from
-each character, so one very long token or one stray bracket cannot stall a task.
+each character, so one very long token or one stray bracket cannot stall a task. Where a rule
+needs a character that few texts have, a plain search for that character decides whether the
+pattern runs at all.
 """
 
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Iterable
 from functools import cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Character classes (inside of a bracket expression).
+# Character classes, for use inside of brackets. SPACE needs the Unicode flag.
 WORD = r"\p{L}\p{N}_"
 DIGIT = r"\p{Nd}"
-SPACE = (
-    r"\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-)
+SPACE = r"\s\x1c-\x1f"
+UNICODE = "(?U)"
 
 # The patterns of the cleaning rules.
 URL = r"https?://[a-z$-_!]+"
 PHONE = (
-    rf"(?:\+?{DIGIT}{{1,4}}[-.{SPACE}]?)?\(?{DIGIT}{{1,3}}\)?"
+    rf"{UNICODE}(?:\+?{DIGIT}{{1,4}}[-.{SPACE}]?)?\(?{DIGIT}{{1,3}}\)?"
     rf"[-.{SPACE}]?{DIGIT}{{1,4}}[-.{SPACE}]?{DIGIT}{{1,9}}"
 )
 MENTION = rf"@[{WORD}]+"
 HASHTAG = rf"#[{WORD}]+"
-NOT_KEPT = rf"""[^{WORD}{SPACE}.,!?;:'"()-]"""
-LINK_WORD = rf"(?:http|www)[^{SPACE}]+"
+NOT_KEPT = rf"""{UNICODE}[^{WORD}{SPACE}.,!?;:'"()-]"""
+LINK_WORD = rf"{UNICODE}(?:http|www)[^{SPACE}]++"
+
+# A word holding "@" after its first and before its last character goes as a whole.
+AT_WORD = rf"{UNICODE}(?<![^{SPACE}])[^{SPACE}][^{SPACE}@]*+@[^{SPACE}]++"
+# Ten or more digits with no word character on either side, tried from the first digit on.
+LONG_NUMBER = rf"{DIGIT}(?<![{WORD}]{DIGIT}){DIGIT}{{9,}}+(?![{WORD}])"
+# White space that is not already one plain space.
+LOOSE_SPACE = rf"{UNICODE}[{SPACE}&&[^ ]][{SPACE}]*+| [{SPACE}]++"
 
-_EDGE = rf"(?:(?<![{WORD}])(?=[{WORD}])|(?<=[{WORD}])(?![{WORD}]))"
-LONG_NUMBER = rf"{_EDGE}{DIGIT}{{10,}}+{_EDGE}"
-# A word holding "@" goes as a whole, so only the start of a word is worth trying.
-AT_WORD = rf"(?<![^{SPACE}])[^{SPACE}]+@[^{SPACE}]+"
 # An address begins at the first word edge of a run of local-part characters; if no address
 # begins there, none begins later in the same run. The run is therefore tried once, and what
 # lies before its first edge is captured and put back.
+_EDGE = rf"(?:(?<![{WORD}])(?=[{WORD}])|(?<=[{WORD}])(?![{WORD}]))"
 _LOCAL = r"A-Za-z0-9._%+-"
 EMAIL = (
     rf"(?:\G|(?<![{_LOCAL}]))"
@@ -118,6 +123,17 @@ def _fold_tables() -> tuple[str, str, tuple[tuple[str, str], ...]]:
     return source, "".join(folded for _, folded in pairs), tuple(several)
 
 
+def _ranges(chars: Iterable[str], gap: int = 64) -> str:
+    """A few ranges covering the characters; what else they cover takes the long way for nothing."""
+    ranges: list[list[int]] = []
+    for code in sorted(map(ord, chars)):
+        if ranges and code - ranges[-1][1] <= gap:
+            ranges[-1][1] = code
+        else:
+            ranges.append([code, code])
+    return "".join(rf"\x{{{first:x}}}-\x{{{last:x}}}" for first, last in ranges)
+
+
 def _hangul_parts(c: Column) -> Column:
     """Each Hangul syllable as its two or three letters, other characters unchanged."""
     leads, vowels, tails = (
@@ -147,7 +163,7 @@ def fold_accents(c: Column, probe: Column | None = None) -> Column:
     """
     probe = c if probe is None else probe
     source, target, several = _fold_tables()
-    rare = "[" + "".join(char for char, _ in several) + "가-힣]"
+    rare = "[" + _ranges(char for char, _ in several) + "가-힣]"
     folded = F.translate(c, source, target)
     expanded = c
     for char, parts in several:
@@ -179,7 +195,7 @@ def squeeze_punct(c: Column) -> Column:
 
 def squeeze_space(c: Column) -> Column:
     """White space runs become one space; none at either end."""
-    return F.trim(_replace(c, f"[{SPACE}]+"))
+    return F.trim(_replace(c, LOOSE_SPACE))
 
 
 def lower(c: Column) -> Column:
@@ -188,8 +204,13 @@ def lower(c: Column) -> Column:
 
 
 def clean_text(c: Column) -> Column:
-    """The whole cleaning chain; text with nothing left becomes null."""
-    text = strip_social(strip_phones(strip_emails(strip_urls(strip_html(c)))))
+    """The whole cleaning chain; text with nothing left becomes null.
+
+    The steps before only remove characters, so what the text itself lacks they lack too.
+    """
+    text = strip_urls(strip_html(c))
+    marked = F.contains(c, F.lit("@")) | F.contains(c, F.lit("#"))
+    text = F.when(marked, strip_social(strip_phones(strip_emails(text)))).otherwise(strip_phones(text))
     text = strip_special(fold_accents(text, probe=c))
     text = lower(squeeze_space(squeeze_punct(squeeze_repeats(text))))
     return F.nullif(text, F.lit(""))
@@ -198,7 +219,8 @@ def clean_text(c: Column) -> Column:
 def clean_again(c: Column) -> Column:
     """The second cleaning pass: link words, words with "@" and long numbers go; null is ''."""
     text = _replace(F.coalesce(c, F.lit("")), LINK_WORD, "")
-    return squeeze_space(_replace(_replace(text, AT_WORD, ""), LONG_NUMBER, ""))
+    text = F.when(F.contains(c, F.lit("@")), _replace(text, AT_WORD, "")).otherwise(text)
+    return squeeze_space(_replace(text, LONG_NUMBER, ""))
 
 
 def text_length(c: Column) -> Column:
@@ -207,13 +229,17 @@ def text_length(c: Column) -> Column:
 
 
 def word_count(c: Column) -> Column:
-    """Number of words between white space; 0 for empty text."""
-    return F.regexp_count(c, F.lit(f"[^{SPACE}]+"))
+    """Number of words between white space; 0 for empty text.
+
+    Every word is reduced to its first character and what is left is counted.
+    """
+    first = rf"{UNICODE}[{SPACE}]*+([^{SPACE}]?)[^{SPACE}]*+"
+    return F.length(_replace(c, first, "$1"))
 
 
 def words(c: Column) -> Column:
     """The words between white space, in order; empty for empty text."""
-    return F.regexp_extract_all(c, F.lit(f"([^{SPACE}]+)"), F.lit(1))
+    return F.array_remove(F.split(c, rf"{UNICODE}[{SPACE}]+"), "")
 
 
 def full_review(title: Column, text: Column) -> Column:
@@ -223,4 +249,4 @@ def full_review(title: Column, text: Column) -> Column:
 
 def is_blank(c: Column) -> Column:
     """True for null and for text of white space only."""
-    return F.coalesce(~c.rlike(f"[^{SPACE}]"), F.lit(True))
+    return F.coalesce(~c.rlike(rf"{UNICODE}[^{SPACE}]"), F.lit(True))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +35,20 @@ def filter_text_length(
     return df.where(F.col(column).between(minimum, maximum))
 
 
+def derive_and_keep(
+    df: DataFrame, name: str, value: Column, condition: Callable[[Column], Column]
+) -> DataFrame:
+    """Add or replace a column by ``value`` and keep the rows where ``condition`` holds for it.
+
+    A filter on a computed column is pushed below the projection and computes the column a
+    second time. As the one element of an array that the condition may empty, an expensive
+    value is computed once per row.
+    """
+    others = [column for column in df.columns if column != name]
+    kept = df.select(*others, F.explode(F.filter(F.array(value), condition)).alias(name))
+    return kept.select(*df.columns) if name in df.columns else kept
+
+
 def filter_valid_labels(df: DataFrame, column: str = "predicted_sentiment_label") -> DataFrame:
     """Rows whose label is one of the five classes."""
     return df.where(label_to_id(F.col(column)).isNotNull())

@@ -54,14 +54,17 @@ def score_stars(
     listed = entries.limit(LITERAL_WORDS + 1).collect()
     if len(listed) > LITERAL_WORDS:
         return _score_by_join(df, entries, text, id_column, output)
-    total, known = F.lit(0), F.lit(0)
-    tokens = words(F.col(text))
-    for stars in range(1, 6):
-        level = [row["word"] for row in listed if row["stars"] == stars]
-        if level:
-            hits = F.size(F.filter(tokens, _among(level)))
-            total, known = total + hits * stars, known + hits
-    return df.withColumn(output, F.when(F.col(text).isNull(), NEUTRAL_STARS).otherwise(_rounded(total, known)))
+    levels = {stars: [row["word"] for row in listed if row["stars"] == stars] for stars in range(1, 6)}
+    # In steps, so that the words are split once and every level is counted once.
+    hits = {
+        f"_hits{stars}": F.size(F.filter("_words", _among(level))) if level else F.lit(0)
+        for stars, level in levels.items()
+    }
+    counted = df.withColumn("_words", words(F.coalesce(F.col(text), F.lit("")))).withColumns(hits)
+    total = sum((F.col(f"_hits{stars}") * stars for stars in levels), F.lit(0))
+    known = sum((F.col(f"_hits{stars}") for stars in levels), F.lit(0))
+    sums = counted.select(*df.columns, total.alias("_total"), known.alias("_known"))
+    return sums.select(*df.columns, _rounded(F.col("_total"), F.col("_known")).alias(output))
 
 
 def _score_by_join(

@@ -17,17 +17,12 @@ from placepulse.operators.columns import (
     select_columns,
     with_row_id,
 )
-from placepulse.operators.filters import (
-    drop_nulls,
-    filter_language,
-    filter_min_length,
-    filter_text_length,
-)
+from placepulse.operators.filters import derive_and_keep, filter_language, filter_text_length
 from placepulse.operators.language import LanguageModel, detect_language
 from placepulse.operators.sampling import balance_classes, stratified_split
 from placepulse.operators.sets import dedupe_reviews, union_sources
 from placepulse.operators.stars import score_stars
-from placepulse.schema import SEED, TEXT_MIN
+from placepulse.schema import CLEANED_MIN_EXCLUSIVE, SEED, TEXT_MIN
 from placepulse.session import durable
 from placepulse.sources.files import read_reviews_csv, write_csv
 
@@ -64,6 +59,11 @@ class Cleaned:
     languages: DataFrame
 
 
+def clean_and_keep(df: DataFrame, text: str = "text_review", minimum: int = CLEANED_MIN_EXCLUSIVE) -> DataFrame:
+    """Add ``cleaned_text`` and keep the rows where it is there and longer than ``minimum``."""
+    return derive_and_keep(df, "cleaned_text", clean_text(F.col(text)), lambda c: F.length(c) > minimum)
+
+
 def clean_reviews(
     df: DataFrame, model: LanguageModel | None = None, text: str = "text_review", lang: str = "en"
 ) -> Cleaned:
@@ -73,8 +73,7 @@ def clean_reviews(
     table must already have ``detected_language``.
     """
     detected = df if model is None else durable(detect_language(df, model, text))
-    kept = filter_language(detected, lang).withColumn("cleaned_text", clean_text(F.col(text)))
-    kept = filter_min_length(drop_nulls(kept, ["cleaned_text"]))
+    kept = clean_and_keep(filter_language(detected, lang), text)
     columns = [name for name in ("review_id", "rating_review", "cleaned_text") if name in kept.columns]
     return Cleaned(kept.select(*columns), profiling.value_counts(detected, "detected_language"))
 
@@ -148,11 +147,10 @@ def label_reviews(df: DataFrame, lexicon: DataFrame, id_column: str = "review_id
 
 def reclean(df: DataFrame, text: str = "cleaned_text", minimum: int = TEXT_MIN) -> DataFrame:
     """The second cleaning pass with lengths taken anew; texts now too short are dropped."""
-    cleaned = df.withColumn(text, clean_again(F.col(text)))
-    measured = cleaned.withColumns(
+    cleaned = derive_and_keep(df, text, clean_again(F.col(text)), lambda c: F.length(c) >= minimum)
+    return cleaned.withColumns(
         {"text_length": text_length(F.col(text)), "word_count": word_count(F.col(text))}
     )
-    return measured.where(F.col("text_length") >= minimum)
 
 
 def refine_reviews(df: DataFrame, id_column: str = "review_id") -> DataFrame:

@@ -42,17 +42,28 @@ def corpus(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # The rules in the dialect of the checking engine: no look-around, no back-references.
-SQL_SPACE = text.SPACE
+SQL_SPACE = (
+    r"\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+)
+
+
+def _sql(pattern: str) -> str:
+    """A pattern with white space spelled out, as a quoted SQL string."""
+    plain = pattern.removeprefix(text.UNICODE).replace(text.SPACE, SQL_SPACE).replace("++", "+")
+    return "'" + plain.replace("'", "''") + "'"
+
+
 _RULES: dict[str, list[str]] = {
     "html": ["regexp_replace(t, '<[^>]+>', ' ', 'g')"],
     "urls": [f"regexp_replace(t, '{text.URL}', ' ', 'g')"],
     "emails": [r"regexp_replace(t, '\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b', ' ', 'g')"],
-    "phones": [f"regexp_replace(t, '{text.PHONE}', ' ', 'g')"],
+    "phones": [f"regexp_replace(t, {_sql(text.PHONE)}, ' ', 'g')"],
     "social": [
         f"regexp_replace(regexp_replace(t, '{text.MENTION}', ' ', 'g'), '{text.HASHTAG}', ' ', 'g')"
     ],
     "accents": ["strip_accents(t)"],
-    "special": ["regexp_replace(t, '{}', ' ', 'g')".format(text.NOT_KEPT.replace("'", "''"))],
+    "special": [f"regexp_replace(t, {_sql(text.NOT_KEPT)}, ' ', 'g')"],
     "repeats": [
         "string_split(t, '')",
         "array_to_string(list_filter(t, lambda c, i: i <= 2 OR c <> t[i - 1] OR c <> t[i - 2] OR c = chr(10)), '')",
@@ -63,7 +74,7 @@ _RULES: dict[str, list[str]] = {
     "space": [f"trim(regexp_replace(t, '[{SQL_SPACE}]+', ' ', 'g'))"],
     "lower": ["lower(t)"],
     "second": [
-        f"regexp_replace(coalesce(t, ''), '{text.LINK_WORD}', '', 'g')",
+        f"regexp_replace(coalesce(t, ''), {_sql(text.LINK_WORD)}, '', 'g')",
         f"regexp_replace(t, '[^{SQL_SPACE}]+@[^{SQL_SPACE}]+', '', 'g')",
         # A number is dropped when no word character touches it. Neighbours share a separator, so
         # one pass finds every other number of a row of them.
