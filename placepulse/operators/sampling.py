@@ -16,12 +16,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from placepulse.operators.joins import fits_broadcast
 from placepulse.schema import SEED
 from placepulse.session import durable
 
 BUCKET_DIGITS = 3  # hexadecimal digits per histogram: 4,096 buckets for each class
 RANK_ROWS = 1_000_000  # a bucket with more rows than this is divided once more before ranking
+CLASS_ROWS = 100_000  # up to here tables of one row per class and cut are broadcast
 _NULL_GROUP = "\u0000"
 
 
@@ -40,11 +40,6 @@ def _group(label: Column) -> Column:
     return F.coalesce(label.cast("string"), F.lit(_NULL_GROUP))
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """A table of one row per class, broadcast if it measures small."""
-    return F.broadcast(df) if fits_broadcast(df) else df
-
-
 def _histogram(df: DataFrame, group: Column, key: Column) -> DataFrame:
     """Rows per class and key bucket, kept: all later steps start from this small table."""
     counts = df.groupBy(group.alias("_g"), F.left(key, F.lit(BUCKET_DIGITS)).alias("_b"))
@@ -79,24 +74,27 @@ def _thresholds(
     def near(digits: int) -> DataFrame:
         return keyed.withColumn("_b", F.left("_k", F.lit(digits)))
 
-    while (edges.agg(F.max("_n")).first()[0] or 0) > RANK_ROWS:
-        buckets = _small(edges.select("_g", "_b").distinct())
-        inner = near(digits).join(buckets, ["_g", "_b"])
+    # One row per class and cut. Measured here, and an upper bound for all tables below.
+    measured = edges.agg(F.count(F.lit(1)).alias("rows"), F.max("_n").alias("largest")).first()
+    small = F.broadcast if measured["rows"] <= CLASS_ROWS else (lambda table: table)
+    while (measured["largest"] or 0) > RANK_ROWS:
+        inner = near(digits).join(small(edges.select("_g", "_b").distinct()), ["_g", "_b"])
         digits += BUCKET_DIGITS
         finer = inner.groupBy("_g", "_b", F.left("_k", F.lit(digits)).alias("_b2"))
         ranks = edges.select("_g", "_b", "_cut", "_rank")
         edges = _edges(finer.agg(F.count(F.lit(1)).alias("_n")), ranks, ["_g", "_b"], "_b2")
+        measured = edges.agg(F.max("_n").alias("largest")).first()
 
     within = Window.partitionBy("_g", "_cut").orderBy("_k")
     found = (
         near(digits)
-        .join(_small(edges.drop("_n")), ["_g", "_b"])
+        .join(small(edges.drop("_n")), ["_g", "_b"])
         .withColumn("_rn", F.row_number().over(within))
         .where("_rn = _rank")
         .groupBy("_g")
         .agg(*[F.max(F.when(F.col("_cut") == name, F.col("_k"))).alias(name) for name in names])
     )
-    return durable(found)
+    return small(durable(found))
 
 
 def _class_counts(histogram: DataFrame) -> DataFrame:
@@ -116,7 +114,7 @@ def balance_classes(
     counts = _class_counts(histogram)
     smallest = counts.agg(F.min("_n").alias("_min")).scalar()
     cuts = counts.select("_g", smallest.alias("_keep"))
-    limits = _small(_thresholds(labelled, group, key, histogram, cuts))
+    limits = _thresholds(labelled, group, key, histogram, cuts)
     joined = labelled.withColumn("_g", group).join(limits, "_g")
     return joined.where(key <= F.col("_keep")).select(*df.columns)
 
@@ -184,7 +182,7 @@ def stratified_split(
 
     # Stratified training set, plain second stage over what is left.
     cuts = train.select("_g", F.col("_q").alias("_train"))
-    limits = _small(_thresholds(df, _group(F.col(label)), key, histogram, cuts))
+    limits = _thresholds(df, _group(F.col(label)), key, histogram, cuts)
     marked = df.withColumn("_g", _group(F.col(label))).join(limits, "_g", "left")
     marked = marked.withColumn("_in", F.coalesce(key <= F.col("_train"), F.lit(False)))
     held = marked.where(~F.col("_in"))
@@ -207,7 +205,7 @@ def _one_group(histogram: DataFrame) -> DataFrame:
 
 
 def _assign(df: DataFrame, group: Column, key: Column, histogram: DataFrame, cuts: DataFrame) -> DataFrame:
-    limits = _small(_thresholds(df, group, key, histogram, cuts))
+    limits = _thresholds(df, group, key, histogram, cuts)
     joined = df.withColumn("_g", group).join(limits, "_g", "left")
     split = F.when(key <= F.col("_train"), "train").when(key <= F.col("_val"), "validation").otherwise("test")
     return joined.select(*df.columns, split.alias("split"))

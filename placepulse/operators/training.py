@@ -6,13 +6,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from placepulse.operators.metrics import class_weights, weighted_metrics
 from placepulse.schema import LABELS, id_to_label
+from placepulse.session import durable
 
 FEATURES = 1 << 16
 PATIENCE = 3
@@ -44,27 +45,44 @@ def with_class_weight(train: DataFrame, label: str = "label") -> DataFrame:
     return train.join(F.broadcast(weights.select(label, "weight")), label)
 
 
-def train_classifier(
-    train: DataFrame, params: Params = Params(), text: str = "cleaned_text", label: str = "label"
-) -> PipelineModel:
-    """Multinomial logistic regression on TF-IDF, with class weights and weight decay."""
+def fit_features(train: DataFrame, features: int = FEATURES, text: str = "cleaned_text") -> PipelineModel:
+    """Words hashed to ``features`` counters, weighted by inverse document frequency."""
     stages = [
         RegexTokenizer(inputCol=text, outputCol="_words", pattern=r"\s+", toLowercase=True),
-        HashingTF(inputCol="_words", outputCol="_tf", numFeatures=params.features),
+        HashingTF(inputCol="_words", outputCol="_tf", numFeatures=features),
         IDF(inputCol="_tf", outputCol="_tfidf"),
-        LogisticRegression(
-            featuresCol="_tfidf",
-            labelCol=label,
-            weightCol="weight",
-            family="multinomial",
-            regParam=params.reg_param,
-            maxIter=params.max_iter,
-        ),
     ]
-    return Pipeline(stages=stages).fit(with_class_weight(train, label))
+    return Pipeline(stages=stages).fit(train)
+
+
+def fit_classifier(featured: DataFrame, params: Params, label: str = "label") -> LogisticRegressionModel:
+    """Multinomial logistic regression with class weights and weight decay."""
+    regression = LogisticRegression(
+        featuresCol="_tfidf",
+        labelCol=label,
+        weightCol="weight",
+        family="multinomial",
+        regParam=params.reg_param,
+        maxIter=params.max_iter,
+    )
+    return regression.fit(featured)
+
+
+def _featured_train(train: DataFrame, features: PipelineModel, label: str) -> DataFrame:
+    """What the optimizer reads again and again, computed once: label, weight, vector."""
+    return durable(features.transform(with_class_weight(train, label)).select(label, "weight", "_tfidf"))
 
 
-def predict(model: PipelineModel, df: DataFrame, output: str = "predicted_sentiment") -> DataFrame:
+def train_classifier(
+    train: DataFrame, params: Params = Params(), text: str = "cleaned_text", label: str = "label"
+) -> PipelineModel:
+    """Features and classifier as one model from text to class."""
+    features = fit_features(train, params.features, text)
+    classifier = fit_classifier(_featured_train(train, features, label), params, label)
+    return PipelineModel(stages=[*features.stages, classifier])
+
+
+def predict(model: PipelineModel | LogisticRegressionModel, df: DataFrame, output: str = "predicted_sentiment") -> DataFrame:
     """Add the class id ``prediction`` and its label."""
     scored = model.transform(df)
     prediction = F.col("prediction").cast("int")
@@ -79,15 +97,25 @@ def select_best(
     text: str = "cleaned_text",
     label: str = "label",
 ) -> Selection:
-    """Try the grid in order, keep the best validation F1, stop after ``patience`` misses."""
+    """Try the grid in order, keep the best validation F1, stop after ``patience`` misses.
+
+    Text is turned into features once for all trials that use the same number of them.
+    """
     best: Selection | None = None
     history: list[float] = []
     misses = 0
+    prepared: dict[int, tuple[PipelineModel, DataFrame, DataFrame]] = {}
     for params in grid:
-        model = train_classifier(train, params, text, label)
-        f1 = weighted_metrics(predict(model, validation), label).first()["f1"] or 0.0
+        if params.features not in prepared:
+            features = fit_features(train, params.features, text)
+            judged = durable(features.transform(validation).select(label, "_tfidf"))
+            prepared[params.features] = (features, _featured_train(train, features, label), judged)
+        features, featured, judged = prepared[params.features]
+        classifier = fit_classifier(featured, params, label)
+        f1 = weighted_metrics(predict(classifier, judged), label).first()["f1"] or 0.0
         history.append(f1)
         if best is None or f1 > best.f1:
+            model = PipelineModel(stages=[*features.stages, classifier])
             best, misses = Selection(model, params, f1, ()), 0
         else:
             misses += 1
