@@ -29,19 +29,11 @@ def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction
 
 def _per_class(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """Per class of the vocabulary: hits, predicted and true rows, and the three scores."""
-    flat = confusion(df, label, prediction).select(
-        F.inline(
-            F.array(
-                F.struct(F.col("label").alias("label_id"), F.col("n").alias("truth"), F.lit(0).cast("bigint").alias("guess"), F.lit(0).cast("bigint").alias("hit")),
-                F.struct(
-                    F.col("prediction").alias("label_id"),
-                    F.lit(0).cast("bigint").alias("truth"),
-                    F.col("n").alias("guess"),
-                    F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0).alias("hit"),
-                ),
-            )
-        )
-    )
+    zero = F.lit(0).cast("bigint")
+    hit = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(zero)
+    as_truth = [F.col("label").alias("label_id"), F.col("n").alias("truth"), zero.alias("guess"), zero.alias("hit")]
+    as_guess = [F.col("prediction").alias("label_id"), zero.alias("truth"), F.col("n").alias("guess"), hit.alias("hit")]
+    flat = confusion(df, label, prediction).select(F.inline(F.array(F.struct(*as_truth), F.struct(*as_guess))))
     sums = [F.sum(name).alias(name) for name in ("truth", "guess", "hit")]
     counted = flat.groupBy("label_id").agg(*sums)
     return counted.withColumns(

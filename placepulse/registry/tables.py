@@ -160,9 +160,9 @@ def select_columns(spark: SparkSession, sf: str) -> DataFrame:
     return columns.select_columns(table(spark, sf, "orders"), _ORDER_KEYS.split(", "))
 
 
-@query("p2_with_source", "SELECT c_custkey, c_name, 'TripAdvisor' AS source FROM customer")
+@query("p2_with_source", "SELECT c_custkey, c_name, 'reviews site' AS source FROM customer")
 def with_source(spark: SparkSession, sf: str) -> DataFrame:
-    return columns.with_source(table(spark, sf, "customer").select("c_custkey", "c_name"), "TripAdvisor")
+    return columns.with_source(table(spark, sf, "customer").select("c_custkey", "c_name"), "reviews site")
 
 
 @query(

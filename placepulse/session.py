@@ -19,6 +19,7 @@ def build_session(app: str = "placepulse", master: str | None = None, **conf: st
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        "spark.checkpoint.compress": "true",
     }
     for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, value)
