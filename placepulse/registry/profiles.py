@@ -205,15 +205,13 @@ STATS_SQL = ", ".join(
 @query(
     "a14_sentiment_stats",
     f"""WITH {TITLED_SQL}, {ATTRACTIONS_SQL}, placed AS (SELECT a.id,
-    {LABEL_CASE.format("rating_review")} AS predicted_sentiment FROM titled t JOIN attractions a ON t.title = a.title
-    WHERE t.detected_language = 'es'), counts AS (SELECT id, {STATS_SQL}, count(*) AS total FROM placed GROUP BY id)
+    {LABEL_CASE.format("rating_review")} AS predicted_sentiment FROM titled t JOIN attractions a ON t.title = a.title), counts AS (SELECT id, {STATS_SQL}, count(*) AS total FROM placed GROUP BY id)
     SELECT a.id AS attraction_id, {", ".join(f"coalesce({name}, 0) AS {name}" for name in [*STATS, "total"])}
     FROM attractions a LEFT JOIN counts c ON a.id = c.id""",
 )
 def sentiment_stats(spark: SparkSession, sf: str) -> DataFrame:
     known = attractions(spark, sf)
-    spanish = titled(spark, sf).where("detected_language = 'es'")
-    labelled = spanish.withColumn("predicted_sentiment", sentiment_label(F.col("rating_review")))
+    labelled = titled(spark, sf).withColumn("predicted_sentiment", sentiment_label(F.col("rating_review")))
     return profiling.sentiment_stats(known, attach_attraction_id(labelled, known))
 
 
@@ -227,16 +225,20 @@ def label_audit(spark: SparkSession, sf: str) -> DataFrame:
     return profiling.label_audit(table(spark, sf, "events"), "event_type")
 
 
-@query(
-    "r1_balance_classes",
-    f"""WITH {STARRED_SQL}, uneven AS (SELECT * FROM starred WHERE stars <= 3 OR o_totalprice < 200000),
-    ranked AS (SELECT *, row_number() OVER (PARTITION BY stars ORDER BY md5('42-' || review_id)) AS rn FROM uneven)
-    SELECT review_id, stars FROM ranked WHERE rn <= (SELECT min(n) FROM
-    (SELECT count(*) AS n FROM uneven GROUP BY stars))""",
-)
+def _balanced_sql(ctes: str, source: str, label: str) -> str:
+    return f"""WITH {ctes}, ranked AS (SELECT *, row_number() OVER (PARTITION BY {label}
+    ORDER BY md5('42-' || review_id)) AS rn FROM {source}) SELECT review_id, {label} FROM ranked
+    WHERE rn <= (SELECT min(n) FROM (SELECT count(*) AS n FROM {source} GROUP BY {label}))"""
+
+
+@query("r1_balance_classes", _balanced_sql(STARRED_SQL, "starred", "stars"))
 def balance_classes(spark: SparkSession, sf: str) -> DataFrame:
-    uneven = starred(spark, sf).where((F.col("stars") <= 3) | (F.col("o_totalprice") < 200000))
-    return sampling.balance_classes(uneven.select("review_id", "stars"), "stars")
+    return sampling.balance_classes(starred(spark, sf).select("review_id", "stars"), "stars")
+
+
+@query("r1_balance_classes_uneven", _balanced_sql(REVIEWS_SQL, "reviews", "rating_review"))
+def balance_classes_uneven(spark: SparkSession, sf: str) -> DataFrame:
+    return sampling.balance_classes(reviews(spark, sf).select("review_id", "rating_review"), "rating_review")
 
 
 @query(
