@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placepulse.llm import exact_dedup, packing, sharding, topk, warc
+from placepulse.llm import exact_dedup, near_dedup, packing, sharding, topk, warc
 from placepulse.llm.common import table
 from placepulse.session import scratch_path
 
@@ -23,6 +23,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"))
@@ -45,6 +49,7 @@ QUERIES = {
     for f in (
         op1_warc,
         op2_best_fit_packing,
+        op3_near_dedup,
         op5_topk,
         op6_sharding,
         op9_exact_dedup,
@@ -66,6 +71,17 @@ SQL = {
         + (octet_length(b) // {warc.CHUNK_BYTES}) * (4 + length(printf('%x', {warc.CHUNK_BYTES})))
         + CASE WHEN octet_length(b) % {warc.CHUNK_BYTES} > 0 THEN 4 + length(printf('%x', octet_length(b) % {warc.CHUNK_BYTES})) ELSE 0 END
         AS framed FROM d)""",
+    "op3_near_dedup": r"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+        lambda x: x <> '') AS ws FROM documents),
+    s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+        ELSE list_distinct(list_transform(range(len(ws) - 4), lambda i: array_to_string(ws[i + 1:i + 5], ' '))) END AS ss FROM w),
+    e AS (SELECT doc_id, len(ss) AS n, unnest(ss) AS sh FROM s),
+    p AS (SELECT x.doc_id AS a, y.doc_id AS b FROM e x JOIN e y ON x.sh = y.sh AND x.doc_id <> y.doc_id
+        GROUP BY ALL HAVING 100 * count(*) >= 75 * (any_value(x.n) + any_value(y.n) - count(*))),
+    r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, p.b FROM r JOIN p ON r.b = p.a)
+    SELECT s.doc_id, CAST(len(ss) AS BIGINT) AS n_shingles, c.component_id, s.doc_id = c.component_id AS kept
+    FROM s JOIN (SELECT a, min(b) AS component_id FROM r GROUP BY a) c ON c.a = s.doc_id""",
     "op5_topk": """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
         FROM embeddings WHERE embedding IS NOT NULL
         AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
