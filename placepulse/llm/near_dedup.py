@@ -5,10 +5,12 @@ bin is its signature value (one permutation). Empty bins borrow from the first f
 random order of their own (optimal densification). Rows of the signature are banded into buckets.
 
 Inside a bucket only stars are compared: a centre with the members outside its component. Links
-are confirmed on full sets. A link between two members that both miss the centre would be lost by
-one star, so buckets that still hold several components go on with twice as many centres each
-round. Centres leave their bucket once compared. It ends when no bucket holds two components, or
-when rounds that have tried over thirty centres in every bucket find nothing more.
+are confirmed on full sets. The centre is the member that shares buckets with most others, as an
+original does with its copies, by one order for all buckets, so that stars of different buckets
+are mostly the same pairs. A link between two members that both miss the centre would be lost by
+one star: the centre leaves, and buckets that still hold several components get another one. It
+ends when no bucket holds two components, or when a round finds no link after ``SURE_ROUNDS``;
+until then every bucket of up to that many members has been compared in full.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ WIDTH = 5
 PERCENT = 75
 BANDS = 32
 ROWS = 4
-#: Rounds that run even if they find nothing: 1 + 2 + 4 + 8 + 16 centres in every bucket.
+#: Stars tried in every bucket even if they find nothing.
 SURE_ROUNDS = 5
 _EMPTY = np.uint64(2**64 - 1)
 
@@ -189,9 +191,14 @@ def near_duplicates(
 
     nodes = classed.where("n_shingles > 0 AND doc_id = _node")
     buckets = nodes.select(F.explode("_bands").alias("_key"), F.col("_node").alias("_member"))
-    full = buckets.groupBy("_key").agg(F.min("_member").alias("_least"), F.max("_member").alias("_most"))
-    shared = full.where("_least < _most").select("_key")
-    members = saved(buckets.join(shared, "_key", "left_semi").distinct(), "buckets")
+    full = buckets.groupBy("_key").agg(
+        F.min("_member").alias("_least"), F.max("_member").alias("_most"), F.count(F.lit(1)).alias("_n")
+    )
+    shared = full.where("_least < _most").select("_key", "_n")
+    members = saved(buckets.join(shared, "_key"), "buckets")
+    popular = members.groupBy("_member").agg(F.least(F.sum("_n"), F.lit(2**31 - 1)).alias("_others"))
+    order = F.shiftleft("_others", 32) + F.pmod(F.xxhash64("_member"), F.lit(2**32))
+    members = saved(members.join(popular, "_member").select("_key", "_member", order.alias("_order")), "members")
 
     ids = saved(members.select(F.col("_member").alias("_id")).distinct(), "candidates")
     chosen = texts.join(small_side(ids), "_id", "left_semi").repartition("_id")
@@ -203,25 +210,20 @@ def near_duplicates(
             known = members.withColumn("_label", F.col("_member"))
         else:
             known = members.join(labels.toDF("_member", "_found"), "_member", "left").select(
-                "_key", "_member", F.coalesce("_found", "_member").alias("_label")
+                "_key", "_member", "_order", F.coalesce("_found", "_member").alias("_label")
             )
         # Buckets with one component have nothing left to link.
         state = known.groupBy("_key").agg(
-            F.min("_label").alias("_low"), F.max("_label").alias("_high"), F.count(F.lit(1)).alias("_n"),
-            F.min("_member").alias("_least"),
-        )
-        share = F.ceil(F.col("_n") / 2**turn)
-        centre = (F.col("_member") == F.col("_least")) | (
-            (F.pmod(F.xxhash64("_member", "_key", F.lit(turn)), share) == 0) if turn else F.lit(False)
+            F.min("_label").alias("_low"), F.max("_label").alias("_high"), F.max("_order").alias("_first")
         )
-        open_ = known.join(state.where("_low < _high"), "_key").withColumn("_centre", centre)
-        open_ = saved(open_.select("_key", "_member", "_label", "_centre"), "open")
+        open_ = known.join(state.where("_low < _high").select("_key", "_first"), "_key")
+        open_ = saved(open_.withColumn("_centre", F.col("_order") == F.col("_first")).drop("_first"), "open")
         stars = open_.where("_centre").select("_key", F.col("_member").alias("_hub"), F.col("_label").alias("_own"))
         spokes = open_.join(stars, "_key").where("_label <> _own AND _member <> _hub")
         pairs = spokes.select(F.least("_hub", "_member").alias("a"), F.greatest("_hub", "_member").alias("b")).distinct()
         links = saved(confirmed(pairs, sets, percent), "links")
         turn += 1
-        members = open_.where("NOT _centre").select("_key", "_member")
+        members = open_.where("NOT _centre").select("_key", "_member", "_order")
         if not links.isEmpty():
             labels = _merge(labels, links)
         elif turn >= SURE_ROUNDS:
