@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placepulse.llm import exact_dedup, near_dedup, packing, sharding, topk, warc
+from placepulse.llm import exact_dedup, near_dedup, packing, quality, sharding, topk, warc
 from placepulse.llm.common import table
 from placepulse.session import scratch_path
 
@@ -44,6 +44,10 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.find_copies(table(spark, sf_dir, "documents"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("text_hash")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -53,6 +57,7 @@ QUERIES = {
         op5_topk,
         op6_sharding,
         op9_exact_dedup,
+        op10_quality,
     )
 }
 
