@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placepulse.llm import exact_dedup, near_dedup, packing, quality, sharding, topk, warc
+from placepulse.llm import exact_dedup, mixing, near_dedup, packing, quality, sharding, topk, warc
 from placepulse.llm.common import table
 from placepulse.session import scratch_path
 
@@ -40,6 +40,11 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return mixed.drop("text_hash")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.find_copies(table(spark, sf_dir, "documents"))
 
@@ -56,6 +61,7 @@ QUERIES = {
         op3_near_dedup,
         op5_topk,
         op6_sharding,
+        op8_mixing,
         op9_exact_dedup,
         op10_quality,
     )
