@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placepulse.llm import exact_dedup, mixing, near_dedup, packing, quality, sharding, topk, warc
+from placepulse.llm import exact_dedup, mixing, near_dedup, packing, quality, sharding, topk, warc, wrappers
 from placepulse.llm.common import table
 from placepulse.session import scratch_path
 
@@ -40,6 +40,10 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return mixed.drop("text_hash")
@@ -61,6 +65,7 @@ QUERIES = {
         op3_near_dedup,
         op5_topk,
         op6_sharding,
+        op7_html_text,
         op8_mixing,
         op9_exact_dedup,
         op10_quality,
