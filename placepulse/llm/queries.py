@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placepulse.llm import exact_dedup, mixing, near_dedup, packing, quality, sharding, topk, warc, wrappers
+from placepulse.llm import exact_dedup, mixing, near_dedup, packing, quality, sharding, suffixes, topk, warc, wrappers
 from placepulse.llm.common import table
 from placepulse.session import scratch_path
 
@@ -27,6 +27,10 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeated_spans(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"))
@@ -63,6 +67,7 @@ QUERIES = {
         op1_warc,
         op2_best_fit_packing,
         op3_near_dedup,
+        op4_suffix_dedup,
         op5_topk,
         op6_sharding,
         op7_html_text,
@@ -98,6 +103,19 @@ SQL = {
     r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, p.b FROM r JOIN p ON r.b = p.a)
     SELECT s.doc_id, CAST(len(ss) AS BIGINT) AS n_shingles, c.component_id, s.doc_id = c.component_id AS kept
     FROM s JOIN (SELECT a, min(b) AS component_id FROM r GROUP BY a) c ON c.a = s.doc_id""",
+    "op4_suffix_dedup": """WITH t AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+    h AS (SELECT doc_id, octet_length(b) AS n, hex(b) AS x FROM t),
+    w AS (SELECT doc_id, i, md5(substr(x, 2 * i + 1, 800)) AS m FROM (SELECT doc_id, x, unnest(range(n - 399)) AS i FROM h WHERE n >= 400)),
+    r AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY m) AS c FROM w) WHERE c > 1),
+    s AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 400 THEN 0 ELSE 1 END AS first FROM r),
+    g AS (SELECT doc_id, i, sum(first) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM s),
+    u AS (SELECT doc_id, k, min(i) AS a, max(i) + 400 AS z FROM g GROUP BY ALL),
+    v AS (SELECT *, lag(z, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS p FROM u),
+    c AS (SELECT doc_id, sum(z - a) AS n_removed, count(*) AS n_spans, max(z) AS last,
+        string_agg(substr(x, 2 * p + 1, 2 * (a - p)), '' ORDER BY a) AS kept FROM v JOIN h USING (doc_id) GROUP BY doc_id)
+    SELECT h.doc_id, CAST(h.n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+    CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+    sha256(unhex(coalesce(kept || substr(x, 2 * last + 1), x))) AS kept_sha256 FROM h LEFT JOIN c USING (doc_id)""",
     "op5_topk": """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
         FROM embeddings WHERE embedding IS NOT NULL
         AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
