@@ -113,10 +113,10 @@ def kneser_ney(counts: DataFrame, order: int) -> DataFrame:
     for n in range(1, order + 1):
         rows = tables[n]
         seen = [F.sum((F.col("c") == k).cast("double")).alias(f"n{k}") for k in range(1, 5)]
-        y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
+        y = F.try_divide(F.col("n1"), F.col("n1") + 2 * F.col("n2"))
 
         def discount(k: int, y=y) -> Column:
-            value = k - (k + 1) * y * F.col(f"n{k + 1}") / F.col(f"n{k}")
+            value = k - (k + 1) * y * F.try_divide(F.col(f"n{k + 1}"), F.col(f"n{k}"))
             usable = (F.col(f"n{k}") > 0) & (value > 0) & (value < k)
             return F.when(usable, value).otherwise(0.6 * k).alias(f"d{k}")
 

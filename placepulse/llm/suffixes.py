@@ -237,8 +237,9 @@ def _asked(judged: DataFrame) -> DataFrame:
     """
     undecided = judged.where("NOT whole")
     cores = undecided.select("core").distinct()
-    kinds = judged.where("whole").join(cores, "core", "left_semi").groupBy("core", "full")
-    one = kinds.agg(F.min(F.struct("_row", "place", "near", "far")).alias("_one")).select("_one.*")
+    # One of each kind before the join: a passage that stands in very many texts is one row there.
+    kinds = judged.where("whole").groupBy("core", "full").agg(F.min(F.struct("_row", "place", "near", "far")).alias("_one"))
+    one = kinds.join(cores, "core", "left_semi").select("_one.*")
     asked = undecided.select("_row", "place", "near", "far").union(one)
     return asked.groupBy("_row").agg(F.collect_set(F.struct("place", "near", "far")).alias("_asked"))
 
