@@ -162,7 +162,10 @@ def fit_rates(members: DataFrame, targets: dict[str, float] = TARGETS, steps: in
         rest = (goal - np.array([row[d] or 0.0 for d in names])) * present
         if np.abs(rest).max() <= TOLERANCE * first["all"]:
             break
-        moves.append((np.linalg.pinv(gram) @ rest).tolist())
+        move = np.linalg.pinv(gram) @ rest
+        if np.abs(move).max() <= 1e-9:
+            break  # the rest is out of reach: the domains are not told apart
+        moves.append(move.tolist())
     return members.withColumn("rate", rate())
 
 
