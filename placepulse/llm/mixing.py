@@ -40,27 +40,33 @@ def domain_of(quality: Column, toxic: Column) -> Column:
     )
 
 
-def distinct_words(text: Column) -> Column:
-    """The distinct words of a text in lower case, its punctuation apart, and a mark per kind of symbol.
+_BREAKS = r"[\x00-\x20.,;:!?\"()\[\]{}%#*$&|]+"
+
+
+def with_words(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_words`` of ``_text``: its distinct words in lower case, and three marks.
 
     Marks stand for how often symbols, capitals and repeats occur, in powers of two per word.
+    Each step is a column of its own, so that Spark computes it once and not in every use.
     """
-    text = F.coalesce(text, F.lit(""))
-    plain = F.translate(F.lower(text), ".,;:!?\"()[]{}\t\n\r\x0b\x0c%#*$&|", " " * 18)
-    words = F.split(plain, " ")
-    kinds = F.array_distinct(words)
-    n = F.greatest(F.size(words), F.lit(1))
-    symbols = F.length(text) - F.length(F.translate(text, "%#*$&|!", ""))
-    capitals = F.length(text) - F.length(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))
-
-    def mark(name: str, count: Column) -> Column:
-        level = F.greatest(F.lit(-4), F.least(F.lit(4), F.round(F.log2((count + F.lit(0.01)) / n)).cast("int")))
-        return F.concat(F.lit(f" {name} "), level.cast("string"))
-
-    return F.concat(
-        F.filter(kinds, lambda w: w != ""),
-        F.array(mark("symbols", symbols), mark("capitals", capitals), mark("kinds", F.size(kinds))),
+    text = F.coalesce(F.col("_text"), F.lit(""))
+
+    def mark(name: str, count: str) -> Column:
+        level = F.round(F.log2((F.col(count) + F.lit(0.01)) / F.col("_n"))).cast("int")
+        return F.concat(F.lit(f" {name} "), F.greatest(F.lit(-4), F.least(F.lit(4), level)).cast("string"))
+
+    split = docs.withColumns(
+        {
+            "_split": F.split(F.lower(text), _BREAKS),
+            "_symbols": F.regexp_count(text, F.lit("[%#*$&|!]")),
+            "_capitals": F.regexp_count(text, F.lit("[A-Z]")),
+        }
     )
+    kinds = split.withColumns({"_kinds": F.array_distinct("_split"), "_n": F.greatest(F.size("_split"), F.lit(1))})
+    sized = kinds.withColumn("_many", F.size("_kinds"))
+    marks = F.array(mark("symbols", "_symbols"), mark("capitals", "_capitals"), mark("kinds", "_many"))
+    words = F.concat(F.array_remove("_kinds", ""), marks)
+    return sized.withColumn("_words", words).drop("_split", "_symbols", "_capitals", "_kinds", "_n", "_many", "_text")
 
 
 def fit_domains(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS) -> tuple[DataFrame, dict]:
@@ -75,7 +81,7 @@ def fit_domains(docs: DataFrame, labels: DataFrame, targets: dict[str, float] =
     known = known.where(F.col("_id").isNotNull() & F.col("domain").isin(names)).orderBy(F.xxhash64("_id"), "_id")
     known = saved(known.limit(LABELLED_ROWS), "labelled")
     taught = docs.select(F.col("doc_id").cast("bigint").alias("_id"), F.col("text").alias("_text"))
-    taught = taught.join(small_side(known), "_id").select("domain", distinct_words(F.col("_text")).alias("_words"))
+    taught = with_words(taught.join(small_side(known), "_id").select("domain", "_text"))
     sizes = {row["domain"]: row["n"] for row in known.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
     words = taught.select("domain", F.explode("_words").alias("word"))
     counts = words.groupBy("word").agg(
@@ -111,8 +117,9 @@ def memberships(docs: DataFrame, labels: DataFrame, targets: dict[str, float] =
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.xxhash64("text").alias("text_hash"),
         word_count(F.col("text")).alias("n_tokens"),
-        distinct_words(F.col("text")).alias("_words"),
+        F.col("text").alias("_text"),
     )
+    rows = with_words(rows)
     # Exploded in a step of its own: beside a generator, the other columns are computed per word.
     rows = rows.select("_row", "doc_id", "text_hash", "n_tokens", F.explode("_words").alias("word"))
     # The model has a fixed bound of rows; a document's words meet in the task that reads them.
