@@ -68,7 +68,11 @@ def salted_join(
 
 
 def lookup_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str) -> DataFrame:
-    """Join with a table of one row per key: broadcast if it measures small, else salted."""
+    """Join with a table of one row per key: broadcast if it measures small, else salted.
+
+    Rows of ``small`` that repeat count once on either way.
+    """
+    small = small.distinct()
     if fits_broadcast(small):
         return big.join(F.broadcast(small), list(on), how)
     return salted_join(big, small, on, how)

@@ -35,7 +35,8 @@ def _per_class(df: DataFrame, label: str, prediction: str) -> DataFrame:
     as_guess = [F.col("prediction").alias("label_id"), zero.alias("truth"), F.col("n").alias("guess"), hit.alias("hit")]
     flat = confusion(df, label, prediction).select(F.inline(F.array(F.struct(*as_truth), F.struct(*as_guess))))
     sums = [F.sum(name).alias(name) for name in ("truth", "guess", "hit")]
-    counted = flat.groupBy("label_id").agg(*sums)
+    # A row without a prediction counts in its true class; null itself is no class.
+    counted = flat.where("label_id IS NOT NULL").groupBy("label_id").agg(*sums)
     return counted.withColumns(
         {
             "precision": _ratio("hit", "guess"),

@@ -26,16 +26,19 @@ def dedupe_reviews(
     keys: Sequence[str] = ("cleaned_text", "rating_review"),
     order: str = "review_id",
 ) -> DataFrame:
-    """Keep the first row, by ``order``, of those equal in ``keys``; null equals null.
+    """Keep the first row, by ``order`` with nulls last, of those equal in ``keys``; null equals null.
+
+    The row stays whole, also where its order is null.
 
     One aggregate: copies are merged before the shuffle, so a group with a large share of the
     rows sends one row per task. The leading hash keeps grouping from comparing long text.
     """
     keys = list(keys)
     rest = [name for name in df.columns if name not in keys and name != order]
-    first = [F.min_by(F.col(name), F.col(order)).alias(name) for name in rest]
-    grouped = df.groupBy(F.xxhash64(*keys).alias("_key"), *keys)
-    return grouped.agg(F.min(order).alias(order), *first).select(*df.columns)
+    ranked = F.struct(F.col(order).isNull().alias("last"), F.col(order).alias("order"), *(F.col(c) for c in rest))
+    grouped = df.groupBy(F.xxhash64(*keys).alias("_key"), *keys).agg(F.min(ranked).alias("_first"))
+    first = {order: F.col("_first.order"), **{name: F.col(f"_first.{name}") for name in rest}}
+    return grouped.select(*(first[name].alias(name) if name in first else F.col(name) for name in df.columns))
 
 
 def duplicate_count(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -197,12 +197,11 @@ def display_label(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "t21_is_blank",
     f"""WITH {CORPUS_SQL} SELECT origin, text_id, turn,
-    coalesce(NOT regexp_matches(regexp_replace(t, '[a-zA-Z<].*', '', 's'), '[^{SQL_SPACE}]'), true) AS blank
+    coalesce(NOT regexp_matches(t, '[^{SQL_SPACE}]'), true) AS blank
     FROM corpus""",
 )
 def is_blank(spark: SparkSession, sf: str) -> DataFrame:
-    lead = F.regexp_replace("t", "(?s)[a-zA-Z<].*", "")
-    return corpus(spark, sf).select("origin", "text_id", "turn", text.is_blank(lead).alias("blank"))
+    return corpus(spark, sf).select("origin", "text_id", "turn", text.is_blank(F.col("t")).alias("blank"))
 
 
 @query(

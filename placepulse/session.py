@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,14 +26,19 @@ def build_session(app: str = "placepulse", master: str | None = None, **conf: st
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``, else one below the warehouse.
 
-    Only a session that names none, as in tests, gets a folder of its own.
+    A cluster whose warehouse is a local folder must name one: its machines share no other.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="placepulse-"))
+        if not named:
+            named = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+            local = named.startswith(("file:", "/")) and not context.master.startswith("local[")
+            if local and context.master != "local":
+                raise ValueError("name a shared folder in spark.checkpoint.dir")
+        context.setCheckpointDir(named)
     return context.getCheckpointDir()
 
 
