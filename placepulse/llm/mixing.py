@@ -47,7 +47,9 @@ def with_words(docs: DataFrame) -> DataFrame:
     """``docs`` with ``_words`` of ``_text``: its distinct words in lower case, and three marks.
 
     Marks stand for how often symbols, capitals and repeats occur, in powers of two per word.
-    Each step is a column of its own, so that Spark computes it once and not in every use.
+    Each step is a column of its own, so that Spark computes it once and not in every use. The
+    marks are always there, so explode with ``explode_outer``: for ``explode`` Spark adds a filter
+    on the array's size and pushes it below, where all steps are computed again for each use.
     """
     text = F.coalesce(F.col("_text"), F.lit(""))
 
@@ -83,7 +85,7 @@ def fit_domains(docs: DataFrame, labels: DataFrame, targets: dict[str, float] =
     taught = docs.select(F.col("doc_id").cast("bigint").alias("_id"), F.col("text").alias("_text"))
     taught = with_words(taught.join(small_side(known), "_id").select("domain", "_text"))
     sizes = {row["domain"]: row["n"] for row in known.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
-    words = taught.select("domain", F.explode("_words").alias("word"))
+    words = taught.select("domain", F.explode_outer("_words").alias("word"))
     counts = words.groupBy("word").agg(
         F.count(F.lit(1)).alias("_all"), *(F.count_if(F.col("domain") == d).alias(f"n_{d}") for d in names)
     )
@@ -121,7 +123,7 @@ def memberships(docs: DataFrame, labels: DataFrame, targets: dict[str, float] =
     )
     rows = with_words(rows)
     # Exploded in a step of its own: beside a generator, the other columns are computed per word.
-    rows = rows.select("_row", "doc_id", "text_hash", "n_tokens", F.explode("_words").alias("word"))
+    rows = rows.select("_row", "doc_id", "text_hash", "n_tokens", F.explode_outer("_words").alias("word"))
     # The model has a fixed bound of rows; a document's words meet in the task that reads them.
     evidence = rows.join(F.broadcast(model), "word", "left").groupBy("_row", "doc_id", "text_hash", "n_tokens")
     summed = evidence.agg(*(F.coalesce(F.sum(f"w_{d}"), F.lit(0.0)).alias(f"w_{d}") for d in names))
