@@ -41,19 +41,19 @@ def score_stars(
     df: DataFrame,
     lexicon: DataFrame,
     text: str = "cleaned_text",
-    id_column: str = "review_id",
     output: str = "predicted_rating",
 ) -> DataFrame:
     """Add a 1..5 rating: the mean star value of the known words, 3 when none is known.
 
     ``lexicon`` has one row ``(word, stars)`` per word, stars 1..5. A lexicon of up to
     ``LITERAL_WORDS`` words becomes five hash sets inside the expression, so scoring is a
-    projection without a shuffle. A larger one is joined word by word.
+    projection without a shuffle. A larger one is joined word by word, with equal results:
+    neither way looks at ids, so repeated and null ids are rows like others.
     """
     entries = lexicon.where(F.col("stars").between(1, 5)).groupBy("word").agg(F.max("stars").alias("stars"))
     listed = entries.limit(LITERAL_WORDS + 1).collect()
     if len(listed) > LITERAL_WORDS:
-        return _score_by_join(df, entries, text, id_column, output)
+        return _score_by_join(df, entries, text, output)
     levels = {stars: [row["word"] for row in listed if row["stars"] == stars] for stars in range(1, 6)}
     # In steps, so that the words are split once and every level is counted once.
     hits = {
@@ -67,17 +67,17 @@ def score_stars(
     return sums.select(*df.columns, _rounded(F.col("_total"), F.col("_known")).alias(output))
 
 
-def _score_by_join(
-    df: DataFrame, entries: DataFrame, text: str, id_column: str, output: str
-) -> DataFrame:
-    used = df.select(id_column, F.explode(words(F.col(text))).alias("word"))
+def _score_by_join(df: DataFrame, entries: DataFrame, text: str, output: str) -> DataFrame:
+    """Scores per different text, by its 128-bit hash: copies of a text raise both sums alike."""
+    keyed = df.withColumn("_text_id", F.md5(F.col(text)))
+    used = keyed.select("_text_id", F.explode(words(F.col(text))).alias("word"))
     # The words of a text are in one partition, so counting them first leaves little to join.
-    used = used.groupBy(id_column, "word").agg(F.count(F.lit(1)).alias("_n"))
+    used = used.groupBy("_text_id", "word").agg(F.count(F.lit(1)).alias("_n"))
     matched = lookup_join(used, entries, ["word"], "inner")
-    sums = matched.groupBy(id_column).agg(
+    sums = matched.groupBy("_text_id").agg(
         F.sum(F.col("stars") * F.col("_n")).alias("_total"), F.sum("_n").alias("_known")
     )
-    joined = df.join(sums, id_column, "left")
+    joined = lookup_join(keyed, sums, ["_text_id"], "left")
     known = F.coalesce("_known", F.lit(0))
     return joined.select(*df.columns, _rounded(F.coalesce("_total", F.lit(0)), known).alias(output))
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from placepulse.functions.text import words
-from placepulse.operators.joins import lookup_join
+from placepulse.operators.joins import fits_broadcast
 from placepulse.schema import MAX_TOKENS
 
 # Ids of the special tokens, ahead of the vocabulary.
@@ -39,28 +42,36 @@ def encode_tokens(
     df: DataFrame,
     vocab: DataFrame,
     text: str = "cleaned_text",
-    id_column: str = "review_id",
     max_len: int = MAX_TOKENS,
 ) -> DataFrame:
     """Replace the text by ``input_ids`` and ``attention_mask``, both of length ``max_len``.
 
     Words beyond the length are cut, missing ones are padded, and a word outside the vocabulary
-    has the unknown id. Only positions and ids are regrouped; the text is not shuffled.
+    has the unknown id. One row comes out per row, whatever its other columns hold, and nothing is
+    shuffled: the vocabulary is sent to the tasks, and one that measures too large for that raises
+    an error. A task looks up each different word of a batch once.
     """
+    entries = vocab.select("token", "token_id")
+    if not fits_broadcast(entries):
+        raise ValueError("the vocabulary is too large to be sent to every task")
+    shared = df.sparkSession.sparkContext.broadcast({row["token"]: row["token_id"] for row in entries.collect()})
+
+    @F.arrow_udf("array<int>")
+    def look_up(batch: pa.Array) -> pa.Array:
+        coded = batch.flatten().dictionary_encode()
+        known = shared.value
+        ids = pa.array([known.get(word, UNKNOWN_ID) for word in coded.dictionary.to_pylist()], pa.int32())
+        ends = np.cumsum(pc.list_value_length(batch).to_numpy(zero_copy_only=False))
+        offsets = pa.array(np.concatenate([[0], ends]), pa.int32())
+        return pa.ListArray.from_arrays(offsets, ids.take(coded.indices))
+
     kept = [name for name in df.columns if name != text]
     head = F.slice(words(F.coalesce(F.col(text), F.lit(""))), 1, max_len)
-    exploded = df.select(*kept, F.posexplode_outer(head).alias("_at", "token"))
-    known = lookup_join(exploded, vocab.select("token", "token_id"), ["token"], "left")
-    present = F.col("_at").isNotNull()
-    token = F.when(present, F.struct("_at", F.coalesce("token_id", F.lit(UNKNOWN_ID)).alias("id")))
-    rest = [F.first(name).alias(name) for name in kept if name != id_column]
-    grouped = known.groupBy(id_column).agg(F.sort_array(F.collect_list(token)).alias("_tokens"), *rest)
-    ids = F.transform("_tokens", lambda entry: entry["id"])
-    n = F.size("_tokens")
+    found = df.select(*kept, look_up(head).alias("_ids"))
+    n = F.size("_ids")
     pad = F.lit(max_len) - n
-    mask = F.concat(F.array_repeat(F.lit(1), n), F.array_repeat(F.lit(0), pad))
-    return grouped.select(
+    return found.select(
         *kept,
-        F.concat(ids, F.array_repeat(F.lit(PAD_ID), pad)).alias("input_ids"),
-        mask.alias("attention_mask"),
+        F.concat("_ids", F.array_repeat(F.lit(PAD_ID), pad)).alias("input_ids"),
+        F.concat(F.array_repeat(F.lit(1), n), F.array_repeat(F.lit(0), pad)).alias("attention_mask"),
     )

@@ -11,8 +11,9 @@ from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from placepulse.functions.text import is_blank
 from placepulse.operators.metrics import class_weights, weighted_metrics
-from placepulse.schema import LABELS, id_to_label
+from placepulse.schema import LABELS, NO_TEXT_LABEL, id_to_label
 from placepulse.session import durable
 
 FEATURES = 1 << 16
@@ -89,6 +90,19 @@ def predict(model: PipelineModel | LogisticRegressionModel, df: DataFrame, outpu
     return scored.select(*df.columns, prediction.alias("prediction"), id_to_label(prediction).alias(output))
 
 
+def model_scorer(model: PipelineModel, text: str = "full_review", output: str = "predicted_sentiment"):
+    """A scorer for new reviews from a fitted or loaded model: ``output`` by ``text``, blank text is ``No Text``."""
+
+    def score(df: DataFrame) -> DataFrame:
+        # The row travels as one value, so that no column of the model clashes with one of its own.
+        row = F.struct(*df.columns).alias("_row")
+        asked = df.select(row, F.coalesce(F.col(text), F.lit("")).alias("cleaned_text"))
+        label = F.when(is_blank(F.col("cleaned_text")), NO_TEXT_LABEL).otherwise(F.col("_label"))
+        return predict(model, asked, "_label").select("_row.*", label.alias(output))
+
+    return score
+
+
 def select_best(
     train: DataFrame,
     validation: DataFrame,

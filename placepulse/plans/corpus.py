@@ -141,7 +141,7 @@ def label_reviews(df: DataFrame, lexicon: DataFrame, id_column: str = "review_id
     measured = df.withColumns(
         {"text_length": text_length(F.col(text)), "word_count": word_count(F.col(text))}
     )
-    scored = score_stars(measured, lexicon, text, id_column)
+    scored = score_stars(measured, lexicon, text)
     return scored.withColumn("predicted_sentiment_label", sentiment_label(F.col("predicted_rating")))
 
 

@@ -49,7 +49,7 @@ def encode_features(
     train = mapped.where(F.col("split") == "train")
     vocab = durable(build_vocab(train, vocab_size))
     slim = mapped.select(id_column, "split", "label", "cleaned_text")
-    features = encode_tokens(slim, vocab, id_column=id_column, max_len=max_len)
+    features = encode_tokens(slim, vocab, max_len=max_len)
     labels = label_vocab(split.sparkSession)
     if output:
         features.write.mode("overwrite").partitionBy("split").parquet(f"{output}/features")

@@ -25,12 +25,12 @@ from placepulse.registry.fixtures import (
     table,
     titled,
 )
-from placepulse.registry.learning import SMALL, length_model, lexicon_sql, words_sql
+from placepulse.registry.learning import SMALL, judged, length_model, lexicon_sql, words_sql
 from placepulse.registry.profiles import MEASURED_SQL, SPLIT_SQL, STATS, STATS_SQL, describe_sql
 from placepulse.registry.texts import SQL_SPACE, clean_sql, rule_ctes
-from placepulse.schema import LABELS
+from placepulse.schema import LABELS, NO_TEXT_LABEL
 from placepulse.session import durable, scratch_path, spread
-from placepulse.sources.files import write_csv
+from placepulse.sources.files import read_scored_csv, write_csv
 from placepulse.sources.tables import TableStore
 from placepulse.streaming.incremental import run_available
 
@@ -195,6 +195,32 @@ def score_new_reviews(spark: SparkSession, sf: str) -> DataFrame:
     return publishing.score_new_reviews(batch, published(spark, sf), _scorer)
 
 
+_DELIVERED = "CASE WHEN review_id % 2 = 0 THEN 'first' ELSE 'second' END"
+
+
+@query(
+    "k8_score_files",
+    f"""WITH {TITLED_SQL}, named AS (SELECT review_id, {_DELIVERED} AS source, title, text_review FROM titled)
+    SELECT source, title, text_review, true AS labelled FROM named n WHERE text_review <> '' AND NOT EXISTS
+    (SELECT 1 FROM named p JOIN labels l ON p.review_id = l.doc_id WHERE p.text_review = n.text_review AND p.source = n.source)""",
+)
+def score_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Two CSV sources, one of them in two column orders; a model trained, saved and loaded; the scored table written."""
+    path, output = scratch_path(spark, "model"), scratch_path(spark, "scored")
+    training.save_model(training.train_classifier(judged(spark, sf)), path)
+    named = titled(spark, sf).withColumn("source", F.expr(_DELIVERED))
+    first, swapped, second = (scratch_path(spark, name) for name in ("first", "swapped", "second"))
+    even = named.where("source = 'first'")
+    write_csv(even.where("review_id % 4 = 0").select("title", "text_review"), first)
+    write_csv(even.where("review_id % 4 = 2").select("text_review", "rating_review", "title"), swapped)
+    write_csv(named.where("source = 'second'").select("rating_review", "title", "text_review"), second)
+    batch = publishing.load_batch(spark, {"first": [first, swapped], "second": second})
+    known = named.join(table(spark, sf, "labels").select(F.col("doc_id").alias("review_id")), "review_id", "left_semi")
+    publishing.score_new_reviews(batch, known, training.model_scorer(training.load_model(path)), output)
+    labelled = F.coalesce(F.col("predicted_sentiment").isin(*LABELS, NO_TEXT_LABEL), F.lit(False)).alias("labelled")
+    return read_scored_csv(spark, output).select("source", "title", "text_review", labelled)
+
+
 _PUBLISHED_NOW = f"""{_UNSEEN_SQL}, {ATTRACTIONS_SQL}, {ALIASES_SQL}, renamed AS (SELECT source, text_review, predicted_sentiment,
     coalesce(to_title, title) AS title FROM unseen LEFT JOIN aliases ON title = from_title),
     fresh AS (SELECT DISTINCT title FROM renamed WHERE title NOT IN (SELECT title FROM attractions)),

@@ -98,7 +98,7 @@ def build_vocab(spark: SparkSession, sf: str) -> DataFrame:
 )
 def encode_tokens(spark: SparkSession, sf: str) -> DataFrame:
     docs = spread(table(spark, sf, "documents"), "doc_id").select("doc_id", "text")
-    encoded = tokens.encode_tokens(docs, tokens.build_vocab(docs, 3000, "text"), "text", "doc_id")
+    encoded = tokens.encode_tokens(docs, tokens.build_vocab(docs, 3000, "text"), "text")
     return encoded.select(
         "doc_id",
         F.array_join("input_ids", ",").alias("input_ids"),
@@ -218,7 +218,7 @@ def weighted_log_loss(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.weighted_log_loss(rows)
 
 
-def _judged(spark: SparkSession, sf: str) -> DataFrame:
+def judged(spark: SparkSession, sf: str) -> DataFrame:
     """Documents judged for quality, as a training set."""
     docs = spread(table(spark, sf, "documents"), "doc_id").select("doc_id", F.col("text").alias("cleaned_text"))
     return docs.join(table(spark, sf, "labels").select("doc_id", F.col("quality").alias("label")), "doc_id")
@@ -229,31 +229,31 @@ SMALL = training.Params(max_iter=5, features=1 << 12)
 
 @query("m4_train_classifier")
 def train_classifier(spark: SparkSession, sf: str) -> DataFrame:
-    judged = _judged(spark, sf)
-    model = training.train_classifier(judged, SMALL)
-    return metrics.weighted_metrics(training.predict(model, judged))
+    docs = judged(spark, sf)
+    model = training.train_classifier(docs, SMALL)
+    return metrics.weighted_metrics(training.predict(model, docs))
 
 
 @query("m8_select_best")
 def select_best(spark: SparkSession, sf: str) -> DataFrame:
-    judged = _judged(spark, sf)
+    docs = judged(spark, sf)
     grid = [SMALL, training.Params(reg_param=0.1, max_iter=5, features=1 << 12)]
-    best = training.select_best(judged, judged, grid)
-    return training.predict(best.model, judged).groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n"))
+    best = training.select_best(docs, docs, grid)
+    return training.predict(best.model, docs).groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("m9_save_and_load")
 def save_and_load(spark: SparkSession, sf: str) -> DataFrame:
-    judged = _judged(spark, sf)
+    docs = judged(spark, sf)
     path = scratch_path(spark, "model")
-    training.save_model(training.train_classifier(judged, SMALL), path)
-    scored = training.load_model(path).transform(judged)
+    training.save_model(training.train_classifier(docs, SMALL), path)
+    scored = training.load_model(path).transform(docs)
     return scored.select("doc_id", F.round(vector_to_array("probability")[0], 6).alias("p0"))
 
 
 @query("m10_predict")
 def predict(spark: SparkSession, sf: str) -> DataFrame:
     """Trained on the judged documents, applied to every titled review."""
-    model = training.train_classifier(_judged(spark, sf), SMALL)
+    model = training.train_classifier(judged(spark, sf), SMALL)
     rows = titled(spark, sf).select("review_id", full_review(F.col("title"), F.col("text_review")).alias("cleaned_text"))
     return training.predict(model, rows).select("review_id", "prediction", "predicted_sentiment")

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +19,7 @@ NULL_TOKENS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
+HEADERS_AT_ONCE = 16
 
 
 def read_reviews_csv(
@@ -27,17 +32,32 @@ def read_reviews_csv(
     """Read CSV with a header; columns are picked by name and cast to the schema.
 
     Every cell is read as text first, because a schema given to the reader would bind by
-    position. Quoted line breaks need ``multi_line``, which makes a file one task: split large
-    deliveries into several files, or convert them with ``write_parquet`` once.
+    position. Spark binds all files of a scan to the header of one of them, so each file's header
+    is read first and files with the same header are scanned together; a file that lacks a column
+    raises, a file without any line has no rows. Quoted line breaks need ``multi_line``, which
+    makes a file one task: split large deliveries into several files, or convert them with
+    ``write_parquet`` once.
     """
-    raw = (
-        spark.read.option("header", True)
-        .option("multiLine", multi_line)
-        .option("escape", '"')
-        .option("encoding", encoding)
-        .option("mode", "PERMISSIVE")
-        .csv(path)
-    )
+
+    def scan(paths: str | list[str]) -> DataFrame:
+        reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
+        return reader.option("encoding", encoding).option("mode", "PERMISSIVE").csv(paths)
+
+    # Lists the files; their content is pruned.
+    listed = spark.read.format("binaryFile").load(path).select("path").collect()
+    files = [re.sub(r"([\\{}\[\]*?])", r"\\\1", row["path"]) for row in listed]
+    with ThreadPoolExecutor(HEADERS_AT_ONCE) as pool:
+        headers = list(pool.map(lambda file: tuple(scan(file).columns), files))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, header in zip(files, headers, strict=True):
+        if header:
+            groups.setdefault(header, []).append(file)
+    tables = [_typed(scan(group), schema) for group in groups.values()]
+    return reduce(DataFrame.unionByName, tables) if tables else _typed(scan(path), schema)
+
+
+def _typed(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of the schema, from text."""
     require_columns(raw, schema.fieldNames())
 
     def cell(field: T.StructField):

@@ -22,6 +22,19 @@ def test_csv_by_name_with_awkward_cells(spark, tmp_path):
         files.read_reviews_csv(spark, str(path), SCORED_REVIEWS)
 
 
+def test_csv_files_with_columns_in_different_orders(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a 1.csv").write_text("text_review,rating_review\nnice one,4\n")
+    (folder / "b.csv").write_text("rating_review,x,text_review\n5,q,nice two\n")
+    (folder / "c.csv").write_text("")
+    for path in (str(folder), [str(folder / "a*.csv"), str(folder / "b.csv")]):
+        assert values(files.read_reviews_csv(spark, path)) == [("nice one", 4), ("nice two", 5)]
+    (folder / "d.csv").write_text("text_review\nno rating\n")
+    with pytest.raises(ValueError, match="missing columns"):
+        files.read_reviews_csv(spark, str(folder))
+
+
 def test_csv_latin1(spark, tmp_path):
     path = tmp_path / "r.csv"
     path.write_bytes("text_review,rating_review\ncafé,3\n".encode("iso-8859-1"))

@@ -5,6 +5,7 @@ from conftest import values
 from pyspark.sql import functions as F
 
 from placepulse.operators import language, stars, tokens, training
+from placepulse.schema import LABELS, NO_TEXT_LABEL
 
 
 def test_language_held_out(spark, sf):
@@ -37,6 +38,27 @@ def test_tokens(spark):
     assert (encoded[2].input_ids, encoded[2].attention_mask) == ([0, 0, 0], [0, 0, 0])
     assert encoded[3].input_ids == [0, 0, 0]
     assert (encoded[4].input_ids, encoded[4].attention_mask) == ([1, 2, 0], [1, 1, 0])
+    alike = spark.createDataFrame([(1, 0, "b"), (1, 0, "b"), (None, 1, "a q")], df.schema)
+    ids = values(tokens.encode_tokens(alike, vocab, max_len=2), "review_id", "input_ids")
+    assert ids == [(1, [3, 0]), (1, [3, 0]), (None, [2, 1])]
+    assert tokens.encode_tokens(df.limit(0), vocab).count() == 0
+
+
+def test_too_large_vocabulary_raises(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "a")], "review_id int, cleaned_text string")
+    monkeypatch.setattr(tokens, "fits_broadcast", lambda table: False)
+    with pytest.raises(ValueError, match="too large"):
+        tokens.encode_tokens(df, tokens.build_vocab(df, 2))
+
+
+def test_model_scorer_labels_blank_text(spark):
+    rows = [(0, "bad place"), (0, "bad food"), (1, "good place"), (1, "good food")]
+    model = training.train_classifier(spark.createDataFrame(rows, "label int, cleaned_text string"), training.Params(max_iter=5, features=64))
+    new = spark.createDataFrame([("good", 7), (" ", 8), (None, 9)], "full_review string, cleaned_text int")
+    scored = training.model_scorer(model)(new)
+    assert scored.columns == ["full_review", "cleaned_text", "predicted_sentiment"]
+    found = {row.cleaned_text: row.predicted_sentiment for row in scored.collect()}
+    assert found == {7: LABELS[1], 8: NO_TEXT_LABEL, 9: NO_TEXT_LABEL}
 
 
 @pytest.mark.parametrize("limit", [stars.LITERAL_WORDS, 1])
@@ -47,6 +69,8 @@ def test_stars_inline_and_joined(spark, monkeypatch, limit):
     df = spark.createDataFrame(rows, "review_id int, cleaned_text string")
     found = dict(values(stars.score_stars(df, lexicon), "review_id", "predicted_rating"))
     assert found == {1: 4, 2: 1, 3: 3, 4: 3, 5: 5, 6: 3}
+    alike = spark.createDataFrame([(1, "good"), (1, "bad"), (None, "good"), (None, None)], df.schema)
+    assert values(stars.score_stars(alike, lexicon), "cleaned_text", "predicted_rating") == [("bad", 1), ("good", 5), ("good", 5), (None, 3)]
 
 
 def test_scorer_never_sees_blank_text(spark):
