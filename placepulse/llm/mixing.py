@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from placepulse.llm.common import saved, small_side, word_count
+from placepulse.llm.common import saved, small_side
 
 #: Domains, by what the labels say, and the shares of tokens they are to have.
 TARGETS = {"clean": 0.92, "junk": 0.03, "toxic": 0.05}
@@ -43,12 +43,13 @@ def domain_of(quality: Column, toxic: Column) -> Column:
 _BREAKS = r"[\x00-\x20.,;:!?\"()\[\]{}%#*$&|]+"
 
 
-def with_words(docs: DataFrame) -> DataFrame:
+def with_words(docs: DataFrame, known: list[str] | None = None) -> DataFrame:
     """``docs`` with ``_words`` of ``_text``: its distinct words in lower case, and three marks.
 
-    Marks stand for how often symbols, capitals and repeats occur, in powers of two per word.
-    Each step is a column of its own, so that Spark computes it once and not in every use. The
-    marks are always there, so explode with ``explode_outer``: for ``explode`` Spark adds a filter
+    With ``known``, only words and marks out of this list: all others say nothing to the model, and
+    dropped here they are never exploded. Marks stand for how often symbols, capitals and repeats
+    occur, in powers of two per word. Each step is a column of its own, so that Spark computes it
+    once and not in every use. Explode with ``explode_outer``: for ``explode`` Spark adds a filter
     on the array's size and pushes it below, where all steps are computed again for each use.
     """
     text = F.coalesce(F.col("_text"), F.lit(""))
@@ -57,18 +58,23 @@ def with_words(docs: DataFrame) -> DataFrame:
         level = F.round(F.log2((F.col(count) + F.lit(0.01)) / F.col("_n"))).cast("int")
         return F.concat(F.lit(f" {name} "), F.greatest(F.lit(-4), F.least(F.lit(4), level)).cast("string"))
 
+    # One pass leaves the few symbols and capitals, which are then told apart.
     split = docs.withColumns(
+        {"_split": F.split(F.lower(text), _BREAKS), "_odd": F.regexp_replace(text, "[^%#*$&|!A-Z]+", "")}
+    )
+    kinds = split.withColumns(
         {
-            "_split": F.split(F.lower(text), _BREAKS),
-            "_symbols": F.regexp_count(text, F.lit("[%#*$&|!]")),
-            "_capitals": F.regexp_count(text, F.lit("[A-Z]")),
+            "_kinds": F.array_distinct("_split"),
+            "_n": F.greatest(F.size("_split"), F.lit(1)),
+            "_symbols": F.length(F.regexp_replace("_odd", "[A-Z]+", "")),
         }
     )
-    kinds = split.withColumns({"_kinds": F.array_distinct("_split"), "_n": F.greatest(F.size("_split"), F.lit(1))})
-    sized = kinds.withColumn("_many", F.size("_kinds"))
+    sized = kinds.withColumns({"_many": F.size("_kinds"), "_capitals": F.length("_odd") - F.col("_symbols")})
+    wanted = (lambda word: word != "") if known is None else (lambda word: word.isin(known))
     marks = F.array(mark("symbols", "_symbols"), mark("capitals", "_capitals"), mark("kinds", "_many"))
-    words = F.concat(F.array_remove("_kinds", ""), marks)
-    return sized.withColumn("_words", words).drop("_split", "_symbols", "_capitals", "_kinds", "_n", "_many", "_text")
+    marked = sized.select(*docs.columns, "_kinds", marks.alias("_marks"))
+    words = F.concat(F.filter("_kinds", wanted), F.filter("_marks", wanted))
+    return marked.withColumn("_words", words).drop("_kinds", "_marks", "_text")
 
 
 def fit_domains(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS) -> tuple[DataFrame, dict]:
@@ -114,14 +120,17 @@ def memberships(docs: DataFrame, labels: DataFrame, targets: dict[str, float] =
     """``doc_id, text_hash, n_tokens`` and a posterior ``p_<domain>`` per row of ``docs``."""
     names = list(targets)
     model, priors = fit_domains(docs, labels, targets)
+    known = [row["word"] for row in model.select("word").collect()]  # at most ``MODEL_WORDS``
+    # Splitting at a plain blank: counting words by a pattern takes several times as long.
+    blanked = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x09-\x0D]", " ")
     rows = docs.select(
         F.monotonically_increasing_id().alias("_row"),
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.xxhash64("text").alias("text_hash"),
-        word_count(F.col("text")).alias("n_tokens"),
+        F.size(F.array_remove(F.split(blanked, " "), "")).cast("bigint").alias("n_tokens"),
         F.col("text").alias("_text"),
     )
-    rows = with_words(rows)
+    rows = with_words(rows, known)
     # Exploded in a step of its own: beside a generator, the other columns are computed per word.
     rows = rows.select("_row", "doc_id", "text_hash", "n_tokens", F.explode_outer("_words").alias("word"))
     # The model has a fixed bound of rows; a document's words meet in the task that reads them.
