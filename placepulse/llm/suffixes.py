@@ -110,10 +110,10 @@ _BLOCK = pa.schema([("core", pa.int64()), ("full", pa.int64()), ("_row", pa.int6
 _BLOCK_DDL = "core BIGINT, full BIGINT, _row BIGINT, place BIGINT, near INT, far INT"
 
 
-def _pieces(size: int, min_bytes: int) -> Iterator[tuple[int, int, int, int]]:
+def _pieces(size: int, min_bytes: int, piece: int) -> Iterator[tuple[int, int, int, int]]:
     """Starts ``a..b`` of strings served at once, and the bytes ``c..d`` they and their blocks need."""
-    for a in range(0, size - min_bytes + 1, PIECE):
-        b = min(a + PIECE, size - min_bytes + 1)
+    for a in range(0, size - min_bytes + 1, piece):
+        b = min(a + piece, size - min_bytes + 1)
         yield a, b, max(0, a - min_bytes), min(size, b + 3 * min_bytes)
 
 
@@ -136,26 +136,36 @@ def _batched(found: Iterator[tuple[int, tuple[np.ndarray, ...]]]) -> Iterator[pa
         yield _emit(held)
 
 
-def _index(min_bytes: int):
+def _index(min_bytes: int, piece: int):
     span, _ = split(min_bytes)
 
     def found(batches):
         for batch in batches:
             for row, text in zip(batch.column("_row").to_pylist(), batch.column("_bytes"), strict=True):
                 whole = np.frombuffer(text.as_py(), np.uint8)
-                for a, b, c, d in _pieces(len(whole), min_bytes):
+                last = len(whole) - min_bytes + 1
+                held = np.empty((3, 0), np.int64)
+                for a, b, c, d in _pieces(len(whole), min_bytes, piece):
                     # Strings that start in a..b; their anchors see only these bytes.
                     own = Fingerprints(whole[a : b + min_bytes - 1])
                     anchor, near, far = anchors(own, b - a + min_bytes - 1, min_bytes)
+                    here = np.stack([anchor + a, near, far])
+                    if held.size and held[0, 0] == here[0, 0]:
+                        # One anchor on both sides of a cut is one entry, or it would match itself.
+                        here[2, 0] = held[2, 0]
+                    else:
+                        here = np.concatenate([held, here], axis=1)
+                    if b < last:
+                        here, held = here[:, :-1], here[:, -1:]
                     prints = own if (a, b + min_bytes - 1) == (c, d) else Fingerprints(whole[c:d])
                     # At a cut the bytes beyond it are there, so surroundings are the same everywhere.
-                    core, full, place, low, high = blocks_of(prints, d - c, min_bytes, anchor + a - c, near, far, span)
+                    core, full, place, low, high = blocks_of(prints, d - c, min_bytes, here[0] - c, here[1], here[2], span)
                     yield row, (core, full, place + c, low, high)
 
     return lambda batches: _batched(found(batches))
 
 
-def _refine(min_bytes: int, width: int):
+def _refine(min_bytes: int, width: int, size: int):
     def found(batches):
         for batch in batches:
             for row, text, asked in zip(*(batch.column(c) for c in ("_row", "_bytes", "_asked")), strict=True):
@@ -163,10 +173,10 @@ def _refine(min_bytes: int, width: int):
                 place, near, far = (
                     np.array(asked.values.field(k).to_numpy(), np.int64) for k in ("place", "near", "far")
                 )
-                piece = place // PIECE
+                piece = place // size
                 for k in np.unique(piece):
                     mine = piece == k
-                    c, d = max(0, int(k) * PIECE - 2 * min_bytes), min(len(whole), (int(k) + 1) * PIECE + 2 * min_bytes)
+                    c, d = max(0, int(k) * size - 2 * min_bytes), min(len(whole), (int(k) + 1) * size + 2 * min_bytes)
                     prints = Fingerprints(whole[c:d])
                     core, full, at, low, high = blocks_of(
                         prints, d - c, min_bytes, place[mine] - c, near[mine], far[mine], width
@@ -269,7 +279,12 @@ def _removal():
 
 
 def repeated_spans(
-    docs: DataFrame, min_bytes: int = MIN_BYTES, batches: int = BATCHES, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame,
+    min_bytes: int = MIN_BYTES,
+    batches: int = BATCHES,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    piece: int = PIECE,
 ) -> DataFrame:
     """One row per row: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans``.
 
@@ -278,12 +293,12 @@ def repeated_spans(
     are the maximal removed runs of bytes. Null texts count as empty; texts shorter than
     ``min_bytes`` lose nothing. Rows alike in id and text repeat each other. Null ids are allowed.
     An empty table gives an empty result; other columns are not read. Strings are equal here if
-    two 64-bit fingerprints agree.
+    two 64-bit fingerprints agree. A text is indexed ``piece`` bytes at a time, which changes no result.
     """
     data = F.coalesce(F.col(text_column), F.lit("")).cast("binary")
     rows = docs.select(F.col(id_column).alias("doc_id"), F.xxhash64(id_column, text_column).alias("_row"), data.alias("_bytes"))
     long = rows.where(F.octet_length("_bytes") >= min_bytes).select("_row", "_bytes")
-    entries = saved(long.mapInArrow(_index(min_bytes), _BLOCK_DDL), "entries")
+    entries = saved(long.mapInArrow(_index(min_bytes, piece), _BLOCK_DDL), "entries")
     index = SuffixLevels()
     for batch in range(batches):
         index.add(entries.where(F.pmod(F.xxhash64("_row"), F.lit(batches)) == batch).select("core", "full"))
@@ -296,7 +311,7 @@ def repeated_spans(
     texts = saved(long.join(small_side(saved(affected, "affected")), "_row", "left_semi").dropDuplicates(["_row"]), "affected_texts")
     done = [judged.where("whole")]
     for width in sorted({block, 1}, reverse=True):
-        blocks = saved(texts.join(_asked(judged), "_row").mapInArrow(_refine(min_bytes, width), _BLOCK_DDL), "blocks")
+        blocks = saved(texts.join(_asked(judged), "_row").mapInArrow(_refine(min_bytes, width, piece), _BLOCK_DDL), "blocks")
         judged = saved(_judged(blocks, _counted(blocks)), "judged")
         done.append(judged.where("whole"))
     cuts = done[0]

@@ -116,6 +116,20 @@ def test_repeated_strings(spark, batches):
         assert suffixes.repeated_spans(docs(spark, []), size, 1).count() == 0
 
 
+def test_repeated_strings_over_cuts(spark):
+    # A text without repeats of more bytes than are indexed at once loses none around the cut.
+    rng = random.Random(2)
+    unique = "".join(rng.choices("abcdefghijklmnop", k=2 * suffixes.PIECE + 5_000))
+    got = rows(suffixes.repeated_spans(docs(spark, [unique])))
+    assert [(r["n_removed"], r["spans"]) for r in got] == [(0, [])]
+    size = 20
+    texts = [unique[:700], unique[100:400] + unique[5_000:5_300], unique[650:1_400], "ab" * 90]
+    seen = [t[i : i + size] for t in texts for i in range(len(t) - size + 1)]
+    want = {n: len({k for i in range(len(t) - size + 1) if seen.count(t[i : i + size]) > 1 for k in range(i, i + size)}) for n, t in enumerate(texts)}
+    got = rows(suffixes.repeated_spans(docs(spark, texts), size, 2, piece=5))
+    assert {r["doc_id"]: r["n_removed"] for r in got} == want
+
+
 def test_warc_round_trip(spark):
     html = ["<p>a</p>" * 9, "", None, "x\r\n\r\nWARC/1.1\r\n\r\n0\r\n\r\n", "é" * 500, "<p>a</p>" * 9, "y" * 64, "ab\r\n", "ab\r\n"]
     ids = [8, 2, 1, 4, 5, 6, 7, None, 9]
