@@ -8,9 +8,10 @@ Inside a bucket only stars are compared: a centre with the members outside its c
 are confirmed on full sets. The centre is the member that shares buckets with most others, as an
 original does with its copies, by one order for all buckets, so that stars of different buckets
 are mostly the same pairs. A link between two members that both miss the centre would be lost by
-one star: the centre leaves, and buckets that still hold several components get another one. It
-ends when no bucket holds two components, or when a round finds no link after ``SURE_ROUNDS``;
-until then every bucket of up to that many members has been compared in full.
+one star: the centre leaves, and buckets that still hold several components get another one. When
+a round finds no link after ``SURE_ROUNDS``, what is left in buckets of several components is
+compared exactly, by the rarest shingles of each set: two sets that are similar enough share one
+of those, however many documents have a long form or licence in common.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ WIDTH = 5
 PERCENT = 75
 BANDS = 32
 ROWS = 4
-#: Stars tried in every bucket even if they find nothing.
+#: Stars tried in every bucket even if they find nothing, before the rest is compared exactly.
 SURE_ROUNDS = 5
 _EMPTY = np.uint64(2**64 - 1)
 
@@ -159,6 +160,39 @@ def _merge(labels: DataFrame | None, links: DataFrame) -> DataFrame:
     return saved(moved.union(merged).groupBy("id").agg(F.min("component").alias("component")), "labels")
 
 
+def _rest_pairs(labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs ``a, b`` of different labels (``_member, _label``) that can be similar enough.
+
+    Shingles are put in one order: first those within one label, which no such pair shares, then
+    the rarer before the more frequent. Of two similar sets the first ``n - least overlap + 1``
+    shingles meet. The overlap is at least ``percent`` of the larger set and, the larger one not
+    being smaller, ``2 * percent / (100 + percent)`` of the smaller one.
+    """
+    held = sets.join(small_side(labels.toDF("id", "_label")), "id")
+    held = held.select("id", "_label", F.size("set").alias("_n"), F.xxhash64("set").alias("_set"), F.explode("set").alias("_one"))
+    counts = held.groupBy("_one").agg(
+        F.min("_label").alias("_low"), F.max("_label").alias("_high"), F.count(F.lit(1)).alias("_times")
+    )
+    counts = small_side(saved(counts.where("_low < _high").select("_one", "_times"), "shared_shingles"))
+    ranked = held.join(counts, "_one").groupBy("id", "_label", "_n", "_set").agg(
+        F.array_sort(F.collect_list(F.struct("_times", "_one"))).alias("_shared")
+    )
+    first = F.col("_n") - F.size("_shared")
+    index = F.col("_n") - F.ceil(2 * percent * F.col("_n") / (100 + percent) - 1e-9) + 1 - first
+    probe = F.col("_n") - F.ceil(percent * F.col("_n") / 100 - 1e-9) + 1 - first
+    ranked = saved(ranked.withColumn("_index", index).withColumn("_probe", probe), "prefixes")
+
+    def prefix(length: str, suffix: str) -> DataFrame:
+        some = ranked.where(f"{length} > 0").select("id", "_label", "_n", F.explode(F.expr(f"slice(_shared, 1, int({length}))")).alias("_one"))
+        return some.select(F.col("_one._one").alias("_one"), *(F.col(c).alias(f"{c}{suffix}") for c in ("id", "_label", "_n")))
+
+    less = F.struct("_nx", "idx") < F.struct("_ny", "idy")
+    fits = (F.col("_labelx") != F.col("_labely")) & less & (100 * F.col("_nx") >= percent * F.col("_ny"))
+    small, large = prefix("_index", "x"), prefix("_probe", "y")
+    both = small.join(large, (small["_one"] == large["_one"]) & fits)
+    return both.select(F.least("idx", "idy").alias("a"), F.greatest("idx", "idy").alias("b")).distinct()
+
+
 def near_duplicates(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -227,6 +261,14 @@ def near_duplicates(
         if not links.isEmpty():
             labels = _merge(labels, links)
         elif turn >= SURE_ROUNDS:
+            # Centres were compared with their whole buckets; labels are those of this round.
+            rest = open_.where("NOT _centre").select("_key", "_member", "_label")
+            state = rest.groupBy("_key").agg(F.min("_label").alias("_low"), F.max("_label").alias("_high"))
+            rest = rest.join(state.where("_low < _high").select("_key"), "_key").select("_member", "_label").distinct()
+            rest = saved(rest, "rest")
+            if not rest.isEmpty():
+                links = saved(confirmed(_rest_pairs(rest, sets, percent), sets, percent), "links")
+                labels = labels if links.isEmpty() else _merge(labels, links)
             break
         if members.isEmpty():
             break

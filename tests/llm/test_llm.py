@@ -80,6 +80,28 @@ def test_near_dedup(spark, prose):
         ("4", "4", True), ("None", "4", False), ("None", "None", True), ("None", "None", True)]
 
 
+def test_near_dedup_in_a_family_with_one_form(spark):
+    # All texts share a form and are 0.745 alike; two at a time are 0.752 alike, which few stars would meet.
+    form = " ".join(f"f{n}" for n in range(800))
+    own = [" ".join(f"w{i}x{n}" for n in range(132)) for i in range(40)]
+    texts = [f"{form} p{i // 2} q{i // 2} r{i // 2} s{i // 2} {w}" for i, w in enumerate(own)]
+    got = rows(near_dedup.near_duplicates(docs(spark, texts)))
+    assert {r["doc_id"]: r["component_id"] for r in got} == {i: i // 2 * 2 for i in range(40)}
+
+
+def test_rest_pairs_hold_all_similar_pairs(spark):
+    rng = random.Random(4)
+    base = [rng.sample(range(1, 4_000), rng.randint(8, 40)) for _ in range(12)]
+    sets = [sorted({*rng.sample(b, rng.randint(len(b) * 7 // 10, len(b))), *rng.sample(range(1, 4_000), rng.randint(0, 3))}) for b in base for _ in range(8)]
+    table = spark.createDataFrame(list(enumerate(sets)), "id BIGINT, set ARRAY<BIGINT>")
+    labels = spark.createDataFrame([(i, i if i % 3 else 0) for i in range(len(sets))], "_member BIGINT, _label BIGINT")
+    pairs = near_dedup._rest_pairs(labels, table, 75)
+    got = {tuple(r) for r in near_dedup.confirmed(pairs, table, 75).collect()}
+    want = {(i, j) for j, y in enumerate(map(set, sets)) for i, x in enumerate(map(set, sets[:j]))
+            if 100 * len(x & y) >= 75 * len(x | y) and (i % 3 or j % 3)}
+    assert want and got == want
+
+
 def test_densification_fills_every_bin():
     order = near_dedup.orders(64)
     sets = [np.sort(np.random.RandomState(n).randint(0, 2**63, n).astype(np.uint64) * np.uint64(2)) for n in (1, 3, 40, 500)]
