@@ -21,12 +21,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placepulse.llm.common import saved, small_side, without
 from placepulse.llm.graph import components
 from placepulse.llm.shingles import mix, shingle_sets
+from placepulse.operators.joins import lookup_join
 
 WIDTH = 5
 PERCENT = 75
@@ -78,7 +79,8 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 def _features(width: int, bands: int, rows: int):
     schema = pa.schema(
-        [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("_digest", pa.binary()), ("_bands", pa.list_(pa.int64()))]
+        [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("_digest", pa.binary()), ("_bands", pa.list_(pa.int64())),
+         ("_hash", pa.string())]
     )
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,7 +109,7 @@ def _features(width: int, bands: int, rows: int):
             offsets = np.concatenate([[0], np.cumsum(np.where(sizes > 0, bands, 0))]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array(sizes), pa.array([d for _, d in held], pa.binary()),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], schema=schema)
+                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), batch.column("_hash")], schema=schema)
 
     return features
 
@@ -193,6 +195,36 @@ def _rest_pairs(labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select(F.least("idx", "idy").alias("a"), F.greatest("idx", "idy").alias("b")).distinct()
 
 
+def _text_hash(text: Column) -> Column:
+    return F.md5(F.coalesce(text, F.lit("")))
+
+
+def _numbered(texts: DataFrame) -> tuple[DataFrame, int | None]:
+    """``_id, _text, _hash`` with an id beyond all others for every text that has none, and the greatest real id.
+
+    The latter is null if all rows have ids.
+    """
+    ids = texts.agg(F.count_if(F.col("_id").isNull()).alias("n"), F.max("_id").alias("most")).first()
+    if not ids["n"]:
+        return texts, None
+    most = -1 if ids["most"] is None else ids["most"]
+    unnamed = texts.where("_id IS NULL").drop("_id")
+    kinds = saved(unnamed.select("_hash").distinct().withColumn("_at", F.monotonically_increasing_id()), "unnamed")
+    part = F.shiftright("_at", 33)
+    starts, after = [], most + 1
+    for row in kinds.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("n")).collect():
+        starts.append((row["_part"], after))
+        after += row["n"]
+    if after > 2**63:
+        raise ValueError("no ids are left above the greatest for the rows without one")
+    starts = saved(texts.sparkSession.createDataFrame(starts, "_part BIGINT, _start BIGINT"), "starts")
+    given = kinds.withColumn("_part", part).join(F.broadcast(starts), "_part").select(
+        "_hash", (F.col("_start") + F.col("_at") - F.shiftleft("_part", 33)).alias("_id")
+    )
+    given = lookup_join(unnamed, saved(given, "given"), ["_hash"], "inner")
+    return texts.where("_id IS NOT NULL").unionByName(given), most
+
+
 def near_duplicates(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -208,14 +240,25 @@ def near_duplicates(
     of ``width`` words, or its whole sequence if shorter. Texts are linked if their sets' Jaccard
     similarity is at least ``percent`` / 100. ``component_id`` is the smallest id reachable. Null
     texts and texts without words have an empty set and no link. Equal ids are one node of the
-    graph. A null id takes the component of texts with the same set, else null, and is ``kept``
-    only in the latter case. An empty table gives an empty result; other columns are not read.
+    graph. Of rows with a null id each text is a node of its own: they take the component of the
+    ids they are linked to; where there is none it is null and one text is ``kept``. An empty table gives an empty result; other columns are not read.
 
     A shingle is a 64-bit hash here. Two texts at exactly 0.75 share no bucket with probability
     (1 - 0.75 ** 4) ** 32 = 5e-6; the chance falls steeply above.
     """
-    texts = docs.select(F.col(id_column).cast("bigint").alias("_id"), F.col(text_column).alias("_text"))
-    ddl = "doc_id BIGINT, n_shingles BIGINT, _digest BINARY, _bands ARRAY<BIGINT>"
+    found = _grouped(docs, id_column, text_column, width, percent, bands, rows)
+    return found.drop("_hash")
+
+
+def _grouped(
+    docs: DataFrame, id_column: str, text_column: str, width: int, percent: int, bands: int, rows: int
+) -> DataFrame:
+    """As ``near_duplicates``, with a 128-bit hash of the text."""
+    texts = docs.select(
+        F.col(id_column).cast("bigint").alias("_id"), F.col(text_column).alias("_text"), _text_hash(F.col(text_column)).alias("_hash")
+    )
+    texts, most = _numbered(texts)
+    ddl = "doc_id BIGINT, n_shingles BIGINT, _digest BINARY, _bands ARRAY<BIGINT>, _hash STRING"
     features = saved(texts.mapInArrow(_features(width, bands, rows), ddl), "features")
     repeated = features.where("n_shingles > 0").groupBy("_digest").agg(
         F.min("doc_id").alias("_least"), F.count(F.lit(1)).alias("_n")
@@ -278,15 +321,18 @@ def near_duplicates(
         component = F.coalesce("_component", "_node")
     else:
         component = F.col("_node")
+    real = (lambda c: c) if most is None else (lambda c: F.when(c <= most, c))
     return classed.select(
-        "doc_id",
+        real(F.col("doc_id")).alias("doc_id"),
         "n_shingles",
-        component.alias("component_id"),
+        real(component).alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"),
+        "_hash",
     )
 
 
 def drop_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One document of each group stays, with all its columns."""
-    gone = saved(near_duplicates(docs, id_column, text_column).where("NOT kept").select("doc_id"), "dropped")
-    return without(docs, gone, {"doc_id": F.col(id_column).cast("bigint")})
+    found = _grouped(docs, id_column, text_column, WIDTH, PERCENT, BANDS, ROWS)
+    gone = saved(found.where("NOT kept").select("doc_id", "_hash"), "dropped")
+    return without(docs, gone, {"doc_id": F.col(id_column).cast("bigint"), "_hash": _text_hash(F.col(text_column))})

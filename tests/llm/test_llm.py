@@ -80,6 +80,16 @@ def test_near_dedup(spark, prose):
         ("4", "4", True), ("None", "4", False), ("None", "None", True), ("None", "None", True)]
 
 
+def test_near_duplicates_without_ids_go_one_by_one(spark):
+    long = [" ".join(f"{c}{n}" for n in range(100)) for c in "abc"]
+    texts = [long[0], long[0] + " x", long[1], long[1] + " y", long[2], "a b c", "A b c", "q", None]
+    ids = [4, None, None, None, None, 5, None, None, None]
+    left = [(r["doc_id"], r["text"]) for r in rows(near_dedup.drop_near_duplicates(docs(spark, texts, ids)))]
+    one = [r for r in left if r[1] in texts[2:4]]
+    assert len(one) == 1 and one[0][0] is None
+    assert sorted(map(str, left)) == sorted(map(str, [(4, long[0]), (5, "a b c"), *one, (None, long[2]), (None, "q"), (None, None)]))
+
+
 def test_near_dedup_in_a_family_with_one_form(spark):
     # All texts share a form and are 0.745 alike; two at a time are 0.752 alike, which few stars would meet.
     form = " ".join(f"f{n}" for n in range(800))
