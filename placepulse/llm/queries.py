@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placepulse.llm import exact_dedup, mixing, near_dedup, packing, quality, sharding, suffixes, topk, warc, wrappers
+from placepulse.llm import conversations, exact_dedup, mixing, near_dedup, packing, quality, sharding, suffixes, topk, warc, wrappers
 from placepulse.llm.common import table
 from placepulse.session import scratch_path
 
@@ -61,6 +61,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("text_hash")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return conversations.repair_report(conversations.damaged(turns), turns)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -74,6 +79,7 @@ QUERIES = {
         op8_mixing,
         op9_exact_dedup,
         op10_quality,
+        op11_conversation_repair,
     )
 }
 
