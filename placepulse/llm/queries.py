@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placepulse.llm import conversations, exact_dedup, mixing, near_dedup, packing, quality, sharding, suffixes, topk, warc, wrappers
+from placepulse.llm import conversations, conversations_sql, exact_dedup, mixing, near_dedup, packing, quality, sharding, suffixes, topk, warc, wrappers
 from placepulse.llm.common import table
 from placepulse.session import scratch_path
 
@@ -134,4 +134,5 @@ SQL = {
     g AS (SELECT *, min(doc_id) OVER (PARTITION BY text_sha256) AS keep_id,
         count(*) OVER (PARTITION BY text_sha256) AS group_size FROM t)
     SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g""",
+    "op11_conversation_repair": conversations_sql.SQL,
 }
