@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placepulse.llm import conversations, conversations_sql, exact_dedup, mixing, near_dedup, packing, quality, sharding, suffixes, topk, warc, wrappers
+from placepulse.llm import alignment, conversations, conversations_sql, exact_dedup, mixing, near_dedup, packing, quality, sharding, suffixes, topk, warc, wrappers
 from placepulse.llm.common import table
 from placepulse.session import scratch_path
 
@@ -66,6 +66,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair_report(conversations.damaged(turns), turns)
 
 
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(table(spark, sf_dir, "documents"))[0]
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -80,6 +84,7 @@ QUERIES = {
         op9_exact_dedup,
         op10_quality,
         op11_conversation_repair,
+        op12_tokenizer_alignment,
     )
 }
 
