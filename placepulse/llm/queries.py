@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placepulse.llm import alignment, conversations, conversations_sql, exact_dedup, mixing, near_dedup, packing, quality, sharding, suffixes, topk, warc, wrappers
+from placepulse.llm import alignment, conversations, conversations_sql, exact_dedup, mixing, near_dedup, packing, quality, scoring, sharding, suffixes, topk, warc, wrappers
 from placepulse.llm.common import table
 from placepulse.session import scratch_path
 
@@ -70,6 +70,10 @@ def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align_documents(table(spark, sf_dir, "documents"))[0]
 
 
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.score_texts(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -85,6 +89,7 @@ QUERIES = {
         op10_quality,
         op11_conversation_repair,
         op12_tokenizer_alignment,
+        op13_lm_scoring,
     )
 }
 

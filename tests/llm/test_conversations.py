@@ -88,12 +88,11 @@ def odd():
     return turns
 
 
-def test_repair_is_the_search(spark, odd, monkeypatch):
+def test_repair_is_the_search(spark, odd):
     ids = spark.createDataFrame([(3,), (999,), (None,)], "conv_id BIGINT")
     want = expected(odd, [999])
     assert got(c.repair_report(frame(spark, odd), ids)) == want
-    # Blocks of one row, and partitions that cut conversations.
-    monkeypatch.setattr(c, "BLOCK", 1)
+    # Partitions that cut conversations.
     spark.conf.set("spark.sql.shuffle.partitions", "50")
     try:
         assert got(c.repair_report(frame(spark, odd), ids)) == want
