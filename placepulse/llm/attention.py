@@ -16,8 +16,8 @@ import numpy as np
 WIDTH = 16
 WINDOW = 32
 FRESH = 24
-CLASSES = 32
-MEMBERS = 32
+CLASSES = 16
+MEMBERS = 64
 
 
 @dataclass(frozen=True)

@@ -13,19 +13,22 @@ share of the tokens, are joined.
 
 from __future__ import annotations
 
+import base64
 import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from placepulse.llm import attention
-from placepulse.llm.alignment import BYTE_FILE, TOKENIZERS, byte_tokenizer
+from placepulse.llm.alignment import TOKENIZERS
 from placepulse.llm.common import saved
-from placepulse.llm.shingles import _LOWER, mix, powers
+from placepulse.llm.shingles import mix, powers
 
 ROUNDS = 4
 BATCH = 128
@@ -35,27 +38,30 @@ SEED = 13
 FREQUENT = 500_000
 #: Bytes of text, and numbers of subwords, handled at once.
 CHUNK = 1 << 20
-#: Words whose ids a task remembers; beyond it starts to remember anew.
-REMEMBERED = 500_000
+RANKS_FILE = "byte_bpe_50k.tiktoken"
+#: Fixed value: how byte-level vocabularies of this kind cut a text before merging.
+PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_LOWER_BYTES = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _LN10 = math.log(10)
 Texts = Iterator[pa.RecordBatch]
 
 
-def _encoder(path: str) -> Callable[[list[str | None]], list[np.ndarray]]:
-    """Subword ids of texts, a word at a time: A-Z in lower case, words between ASCII blanks, a space in front."""
-    known: dict[bytes, np.ndarray] = {}
+@lru_cache(maxsize=4)
+def tokenizer(path: str) -> tuple[tiktoken.Encoding, np.ndarray]:
+    """A byte-level tokenizer from its file of ranks, and which of its ids begin with a space."""
+    with open(path, "rb") as lines:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    spaced = np.zeros(max(ranks.values()) + 1, bool)
+    spaced[[rank for token, rank in ranks.items() if token[:1] == b" "]] = True
+    return tiktoken.Encoding("subwords", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}), spaced
 
-    def encode(texts: list[str | None]) -> list[np.ndarray]:
-        tokenize = byte_tokenizer(path)[0]
-        words = [_LOWER[np.frombuffer((t or "").encode(), np.uint8)].tobytes().split() for t in texts]
-        if len(known) > REMEMBERED:
-            known.clear()
-        new = list({w for some in words for w in some if w not in known})
-        for word, ids in zip(new, tokenize([" " + w.decode() for w in new]), strict=True):
-            known[word] = np.array(ids, np.int32).tobytes()
-        return [b"".join([known[w] for w in some]) for some in words]
 
-    return encode
+def encoded(text: str | None, path: str) -> np.ndarray:
+    """Subword ids of a text's words: A-Z in lower case, one space in front of each."""
+    words = (text or "").encode().translate(_LOWER_BYTES).split()
+    if not words:
+        return np.empty(0, np.int32)
+    return tokenizer(path)[0].encode_to_numpy((b" " + b" ".join(words)).decode()).astype(np.int32)
 
 
 def _batched(batches: Texts, size: Callable[[dict], int]) -> Iterator[list[dict]]:
@@ -78,19 +84,18 @@ _IDS = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("ids", pa.b
 
 def subwords(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", tokenizers: str = TOKENIZERS) -> DataFrame:
     """``_row, doc_id, held_out, ids`` (32-bit numbers), written once. A null id is an empty text to the hash."""
-    path = f"{tokenizers}/{BYTE_FILE}"
+    path = f"{tokenizers}/{RANKS_FILE}"
     doc_id = F.col(id_column).cast("bigint")
     held_out = F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 7 == 2
 
-    def encoded(batches: Texts) -> Texts:
-        encode = _encoder(path)
+    def encode(batches: Texts) -> Texts:
         for rows in _batched(batches, lambda r: len(r["text"] or "")):
-            ids = encode([r["text"] for r in rows])
+            ids = [encoded(r["text"], path).tobytes() for r in rows]
             columns = [[r["doc_id"] for r in rows], [r["held_out"] for r in rows], ids]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _IDS, strict=True)], schema=_IDS)
 
     texts = docs.select(doc_id.alias("doc_id"), held_out.alias("held_out"), F.col(text_column).alias("text"))
-    found = texts.mapInArrow(encoded, "doc_id BIGINT, held_out BOOLEAN, ids BINARY")
+    found = texts.mapInArrow(encode, "doc_id BIGINT, held_out BOOLEAN, ids BINARY")
     return saved(found.withColumn("_row", F.monotonically_increasing_id()), "subwords")
 
 
@@ -98,12 +103,6 @@ def _ids(row: dict) -> np.ndarray:
     return np.frombuffer(row["ids"], np.int32)
 
 
-def _spaced(path: str) -> np.ndarray:
-    """Whether an id begins with a space."""
-    words = byte_tokenizer(path)[1]
-    return words.blob[words.starts] == 32
-
-
 def word_keys(ids: np.ndarray, spaced: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The hash of every word, and where it starts."""
     starts = np.flatnonzero(spaced[ids])
@@ -124,7 +123,7 @@ _TIMES = pa.schema([("key", pa.int64()), ("n", pa.int64())])
 
 def _word_times(path: str):
     def times(batches: Texts) -> Texts:
-        spaced = _spaced(path)
+        spaced = tokenizer(path)[1]
         for rows in _batched(batches, lambda r: len(r["ids"]) // 4 + 1):
             keys, n = np.unique(word_keys(_flat(rows)[0], spaced)[0], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], schema=_TIMES)
@@ -205,7 +204,7 @@ def _averaged(table: pa.Table) -> pa.Table:
 def fit_model(texts: DataFrame, tokenizers: str = TOKENIZERS, rounds: int = ROUNDS, batch_size: int = BATCH) -> Model:
     """A model of all texts of ``subwords`` that are not held out. Without any it is the untrained one."""
     training = texts.where("NOT held_out")
-    size = len(byte_tokenizer(f"{tokenizers}/{BYTE_FILE}")[1].lengths) + 1
+    size = len(tokenizer(f"{tokenizers}/{RANKS_FILE}")[1]) + 1
     counts = np.zeros(size, np.int64)
     # One row per id of the vocabulary at most.
     for key, n in training.select("ids").mapInArrow(_id_times, "key BIGINT, n BIGINT").groupBy("key").agg(F.sum("n")).collect():
@@ -270,7 +269,7 @@ def _scorer(model: Model, path: str, keys: np.ndarray, counts: np.ndarray):
     """Scores; sums over the words found among ``keys`` (sorted), and the other words of each text."""
 
     def score(batches: Texts) -> Texts:
-        spaced = _spaced(path)
+        spaced = tokenizer(path)[1]
         for rows in _batched(batches, lambda r: len(r["ids"]) // 4 + 1):
             flat, ends = _flat(rows)
             words, starts = word_keys(flat, spaced)
@@ -298,7 +297,7 @@ def _scorer(model: Model, path: str, keys: np.ndarray, counts: np.ndarray):
 
 def word_counts(texts: DataFrame, tokenizers: str = TOKENIZERS) -> DataFrame:
     """``key, n`` of the words of the texts of ``subwords`` that are not held out."""
-    found = texts.where("NOT held_out").select("ids").mapInArrow(_word_times(f"{tokenizers}/{BYTE_FILE}"), "key BIGINT, n BIGINT")
+    found = texts.where("NOT held_out").select("ids").mapInArrow(_word_times(f"{tokenizers}/{RANKS_FILE}"), "key BIGINT, n BIGINT")
     return found.groupBy("key").agg(F.sum("n").alias("n"))
 
 
@@ -317,7 +316,7 @@ def score_texts(
     (and ends) in training texts, ``score`` is the model's log10 probability of the subwords and the end.
     Ids may be null or repeat; other columns are not read; an empty table gives an empty result.
     """
-    path = f"{tokenizers}/{BYTE_FILE}"
+    path = f"{tokenizers}/{RANKS_FILE}"
     texts = subwords(docs, id_column, text_column, tokenizers)
     counts = saved(word_counts(texts, tokenizers), "word_counts")
     steps = range(0, 63)

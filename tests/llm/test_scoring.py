@@ -11,6 +11,7 @@ import pytest
 
 from placepulse.llm import attention, scoring
 
+PATH = f"{scoring.TOKENIZERS}/{scoring.RANKS_FILE}"
 DOCS = "doc_id BIGINT, text STRING, ids STRING, _row INT, score INT"
 
 
@@ -30,7 +31,7 @@ def words(text):
 @pytest.fixture(scope="module")
 def texts():
     rng = random.Random(7)
-    lexicon = ["the", "of", "Über", "naïve", "x y", "中文", "<|endoftext|>", "a.b", "don't", *(f"w{i}" for i in range(60))]
+    lexicon = ["the", "of", "Über", "naïve", "x y", "中文", "<|endoftext|>", "a.b", "don't", "\u00a0", "x\u00a0", "\u00a0y", "\u2003\u2003", "it's'll", *(f"w{i}" for i in range(60))]
     found = [" ".join(rng.choice(lexicon) for _ in range(rng.randint(1, 90))) for _ in range(120)]
     return [*found, "", None, " \t\n", "THE of\x0bThe", found[3], "z" * 5000]
 
@@ -50,7 +51,7 @@ def test_counts(spark, texts):
 
 
 def untrained():
-    size = len(scoring.byte_tokenizer(f"{scoring.TOKENIZERS}/{scoring.BYTE_FILE}")[1].lengths) + 1
+    size = len(scoring.tokenizer(PATH)[1]) + 1
     counts = np.random.RandomState(1).randint(0, 500, size)
     flat = attention.started(counts, 3)
     flat += np.random.RandomState(2).standard_normal(len(flat)).astype(np.float32) * 0.2
@@ -60,8 +61,8 @@ def untrained():
 def slow_score(model, text):
     """One token after the other, each from the context of the one window that scores it."""
     w = {k: v.astype(float) for k, v in attention.unpacked(model.flat).items()}
-    tokenize = scoring.byte_tokenizer(f"{scoring.TOKENIZERS}/{scoring.BYTE_FILE}")[0]
-    ids = [i for word in words(text) for i in tokenize([" " + word])[0]] + [model.end]
+    tokenize = scoring.tokenizer(PATH)[0].encode_ordinary
+    ids = [i for word in words(text) for i in tokenize(" " + word)] + [model.end]
     ranks = model.ranks.rank[ids].tolist()
     inputs, total = [int(model.ranks.rank[model.end]), *ranks[:-1]], 0.0
     for t, rank in enumerate(ranks):
