@@ -35,9 +35,13 @@ def small_side(df: DataFrame) -> DataFrame:
 
 
 def without(rows: DataFrame, dropped: DataFrame, keys: dict[str, Column]) -> DataFrame:
-    """``rows`` but for those whose ``keys`` (name in ``dropped`` -> value in ``rows``) are dropped; nulls are equal."""
+    """``rows`` but for those whose ``keys`` (name in ``dropped`` -> value in ``rows``) are dropped; nulls are equal.
+
+    The row travels as one struct, so its own names can't meet those used here.
+    """
     listed = small_side(dropped.select(*(F.col(name).alias(f"_dropped_{name}") for name in keys)).distinct())
+    held = rows.select(F.struct("*").alias("_whole"), *(value.alias(f"_own_{name}") for name, value in keys.items()))
     condition = F.lit(True)
-    for name, value in keys.items():
-        condition = condition & F.col(f"_dropped_{name}").eqNullSafe(value)
-    return rows.join(listed, condition, "left_anti")
+    for name in keys:
+        condition = condition & F.col(f"_dropped_{name}").eqNullSafe(F.col(f"_own_{name}"))
+    return held.join(listed, condition, "left_anti").select("_whole.*")

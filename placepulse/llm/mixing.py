@@ -205,6 +205,10 @@ def apply_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] =
     # Rows alike in id and text have the same rate and need it once; most rows are used once.
     odd = rated.select(F.col("doc_id").alias("_rated"), F.col("text_hash").alias("_hash"), times).where("_times <> 1")
     odd = small_side(saved(odd.distinct(), "rates"))
-    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_rated")) & F.xxhash64("text").eqNullSafe(F.col("_hash"))
+    # The row travels as one struct, so its own names can't meet those used here.
+    held = docs.select(
+        F.struct("*").alias("_whole"), F.col("doc_id").cast("bigint").alias("_id"), F.xxhash64("text").alias("_text")
+    )
+    same = F.col("_id").eqNullSafe(F.col("_rated")) & F.col("_text").eqNullSafe(F.col("_hash"))
     copies = F.explode(F.array_repeat(F.lit(0), F.coalesce("_times", F.lit(1)).cast("int"))).alias("_copy")
-    return docs.join(odd, same, "left").select(*(docs[c] for c in docs.columns), copies).drop("_copy")
+    return held.join(odd, same, "left").select("_whole", copies).select("_whole.*")

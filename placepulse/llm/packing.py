@@ -1,7 +1,7 @@
 """Variable-capacity best-fit packing of documents into training sequences.
 
-Only ids and token counts are packed. They are dealt into packs of bounded size by a hash of the
-id; every pack is filled by best-fit decreasing with all permitted lengths in play. A new bin is
+Only ids and token counts are packed. They are dealt into packs of bounded size by a hash of their
+place; every pack is filled by best-fit decreasing with all permitted lengths in play. A new bin is
 opened at the length with the least cost per token it can still expect to hold, and in the end
 every bin shrinks to the shortest permitted length that holds its contents.
 """
@@ -121,8 +121,8 @@ def pack_documents(
     count = word_count(F.col(text_column)) if tokens is None else F.coalesce(tokens, F.lit(0)).cast("bigint")
     counted = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), count.alias("_n"))
     packs = max(1, -(-docs.count() // pack_rows))
-    # Ids may repeat: the count takes part, so copies of a long and a short row are dealt apart.
-    dealt = counted.withColumn("_pack", F.pmod(F.xxhash64("doc_id", "_n"), F.lit(packs)))
+    # Ids may be null or repeat without bound, so rows are dealt by their place in the table.
+    dealt = counted.withColumn("_pack", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(packs)))
     packed = dealt.where("_n > 0").groupBy("_pack").applyInPandas(_pack(tuple(lengths), cost), PACKED)
     none = counted.where("_n <= 0").selectExpr(
         "doc_id", "0 AS piece", "0L AS piece_start", "0L AS n_tokens", "CAST(NULL AS BIGINT) AS bin_id",

@@ -130,6 +130,14 @@ def assign_shards(
 
 
 def write_shards(docs: DataFrame, placed: DataFrame, path: str, id_column: str = "doc_id") -> None:
-    """Write the rows of ``docs``, whose ids must be unique, to one folder per shard."""
-    where = placed.select(F.col("doc_id").alias("_placed"), F.col("shard").alias("_shard"))
-    docs.join(where, F.col(id_column).eqNullSafe(F.col("_placed"))).drop("_placed").write.partitionBy("_shard").parquet(path)
+    """Write the rows of ``docs``, whose ids must be unique, to one folder ``_shard=N`` per shard.
+
+    Where ``docs`` has a column of that name, the folders' name gets more underscores.
+    """
+    name = "_shard"
+    while name in docs.columns:
+        name = f"_{name}"
+    where = placed.select(F.col("doc_id").alias("_placed"), F.col("shard").alias("_to"))
+    held = docs.select(F.struct("*").alias("_whole"), F.col(id_column).alias("_id"))
+    found = held.join(where, F.col("_id").eqNullSafe(F.col("_placed")))
+    found.select("_whole.*", F.col("_to").alias(name)).write.partitionBy(name).parquet(path)

@@ -327,6 +327,40 @@ def test_wrappers(spark):
     assert wrappers.extract_text(pages.limit(0)).count() == 0
 
 
+def test_scripts_and_quotes_are_no_markup(spark):
+    html = {
+        "<article><h1>T</h1><script>if (a<b) x();</script>Hello": "T\nHello",
+        "<p>One</p><script>for(i=0;i<n;i++) // don't</script><p>it's fine</p>": "One\nit's fine",
+        "<p data-x=it's>one</p><p>two's</p>": "one\ntwo's",
+        "<p title='a>b' class = \"x>y\">three</p><style>a<b{}</style>": "three",
+        "<SCRIPT>'<p>'</Script ><p>four": "four",
+        "<p>" + "long " * 400_000 + "</p><script><" + "x<" * 1000: ("long " * 400_000).strip(),
+    }
+    pages = spark.createDataFrame([(i, f"http://h{i % 2}/", h) for i, h in enumerate(html)], "page_id BIGINT, url STRING, html STRING")
+    got = {r["page_id"]: r["text"] for r in rows(wrappers.extract_text(pages))}
+    assert got == dict(enumerate(html.values()))
+
+
+def test_clashing_names(spark, tmp_path):
+    ddl = "doc_id BIGINT, text STRING, lang STRING, _hash INT, _times INT, _dropped_doc_id INT, _own_doc_id INT, _whole INT, _shard INT, `a.b` INT"
+    table = spark.createDataFrame([(i, "a b c", "en", *range(7)) for i in (1, 2, None)], ddl)
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id BIGINT, quality INT, toxic INT")
+    for out in (exact_dedup.drop_copies(table), near_dedup.drop_near_duplicates(table), quality.drop_low_quality(table, labels),
+                mixing.apply_rates(table, labels)):
+        assert out.columns == table.columns
+        assert all(tuple(r)[3:] == tuple(range(7)) for r in out.collect())
+    assert exact_dedup.drop_copies(table).count() == near_dedup.drop_near_duplicates(table).count() == 1
+    named = table.where("doc_id IS NOT NULL")
+    sharding.write_shards(named, sharding.assign_shards(named, 2), str(tmp_path / "shards"))
+    assert spark.read.parquet(str(tmp_path / "shards")).count() == 2
+
+
+def test_packs_stay_bounded(spark):
+    table = docs(spark, ["a b c"] * 3000, [None] * 2000 + [7] * 1000)
+    packs = packing.pack_documents(table, lengths=(4, 8), pack_rows=100).selectExpr("shiftright(bin_id, 32) AS p").groupBy("p").count()
+    assert max(r["count"] for r in packs.collect()) < 200 and packs.count() == 30
+
+
 def test_pipeline(spark, sf):
     import corpus_pipeline
 
