@@ -17,6 +17,7 @@ of those, however many documents have a long form or licence in common.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -168,7 +169,9 @@ def _rest_pairs(labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     Shingles are put in one order: first those within one label, which no such pair shares, then
     the rarer before the more frequent. Of two similar sets the first ``n - least overlap + 1``
     shingles meet. The overlap is at least ``percent`` of the larger set and, the larger one not
-    being smaller, ``2 * percent / (100 + percent)`` of the smaller one.
+    being smaller, ``2 * percent / (100 + percent)`` of the smaller one. At the first shingle that two
+    sets share, what either has left must still reach the overlap that the two sizes ask for: that
+    rules out nearly all pairs of documents that have a form or a licence in common.
     """
     held = sets.join(small_side(labels.toDF("id", "_label")), "id")
     held = held.select("id", "_label", F.size("set").alias("_n"), F.xxhash64("set").alias("_set"), F.explode("set").alias("_one"))
@@ -184,14 +187,24 @@ def _rest_pairs(labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     probe = F.col("_n") - F.ceil(percent * F.col("_n") / 100 - 1e-9) + 1 - first
     ranked = saved(ranked.withColumn("_index", index).withColumn("_probe", probe), "prefixes")
 
-    def prefix(length: str, suffix: str) -> DataFrame:
-        some = ranked.where(f"{length} > 0").select("id", "_label", "_n", F.explode(F.expr(f"slice(_shared, 1, int({length}))")).alias("_one"))
-        return some.select(F.col("_one._one").alias("_one"), *(F.col(c).alias(f"{c}{suffix}") for c in ("id", "_label", "_n")))
-
+    def prefix(length: str, suffix: str, bands: Column) -> DataFrame:
+        some = ranked.where(f"{length} > 0").select(
+            "id", "_label", "_n", (F.col("_n") - F.size("_shared")).alias("_first"), F.explode(bands).alias("_band"),
+            F.posexplode(F.expr(f"slice(_shared, 1, int({length}))")).alias("_pos", "_one"),
+        )
+        left = (F.col("_n") - F.col("_first") - F.col("_pos")).alias("_left")
+        some = some.select("_band", F.col("_one._one").alias("_one"), "id", "_label", "_n", left)
+        return some.select("_band", "_one", *(F.col(c).alias(f"{c}{suffix}") for c in ("id", "_label", "_n", "_left")))
+
+    # Sizes that can be similar are in one band or in neighbouring ones.
+    band = F.floor(F.log("_n") / math.log(100 / percent) + 1e-9) if percent < 100 else F.col("_n").cast("bigint")
+    small, large = prefix("_index", "x", F.array(band)), prefix("_probe", "y", F.array(band, band - 1))
     less = F.struct("_nx", "idx") < F.struct("_ny", "idy")
     fits = (F.col("_labelx") != F.col("_labely")) & less & (100 * F.col("_nx") >= percent * F.col("_ny"))
-    small, large = prefix("_index", "x"), prefix("_probe", "y")
-    both = small.join(large, (small["_one"] == large["_one"]) & fits)
+    # Of the first shingle that both have, in order, this and what is left behind it bounds the overlap.
+    overlap = F.ceil(percent * (F.col("_nx") + F.col("_ny")) / (100 + percent) - 1e-9)
+    fits = fits & (F.least("_leftx", "_lefty") >= overlap)
+    both = small.join(large, (small["_one"] == large["_one"]) & (small["_band"] == large["_band"]) & fits)
     return both.select(F.least("idx", "idy").alias("a"), F.greatest("idx", "idy").alias("b")).distinct()
 
 
