@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from placepulse.operators.columns import row_identity, with_row_id
+from placepulse.operators.joins import lookup_join
+from placepulse.session import durable
 
 
 def union_sources(*tables: DataFrame) -> DataFrame:
@@ -21,6 +23,13 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct()
 
 
+def fingerprint(*columns: str) -> list[Column]:
+    """A 128-bit identity of values as two numbers; null equals null and nothing else."""
+    values = [F.col(name) for name in columns]
+    nulls = [value.isNull() for value in values]
+    return [F.xxhash64(*nulls, *values), F.xxhash64(F.lit("second"), *values, *nulls)]
+
+
 def dedupe_reviews(
     df: DataFrame,
     keys: Sequence[str] = ("cleaned_text", "rating_review"),
@@ -28,17 +37,27 @@ def dedupe_reviews(
 ) -> DataFrame:
     """Keep the first row, by ``order`` with nulls last, of those equal in ``keys``; null equals null.
 
-    The row stays whole, also where its order is null.
+    Rows stay whole, also where their order is null. Equal means equal in a 128-bit identity.
 
-    One aggregate: copies are merged before the shuffle, so a group with a large share of the
-    rows sends one row per task. The leading hash keeps grouping from comparing long text.
+    ``df`` is read twice, so give it a table or rows that were kept. First only identities and
+    ``order`` are shuffled, copies being combined before; the identities that repeat are kept with their
+    first order. Then the rows are looked up there: without a shuffle of text if the list measures small. Rows that repeat
+    with their order are told apart by a hash of their content, and only those meet once more.
     """
-    keys = list(keys)
-    rest = [name for name in df.columns if name not in keys and name != order]
-    ranked = F.struct(F.col(order).isNull().alias("last"), F.col(order).alias("order"), *(F.col(c) for c in rest))
-    grouped = df.groupBy(F.xxhash64(*keys).alias("_key"), *keys).agg(F.min(ranked).alias("_first"))
-    first = {order: F.col("_first.order"), **{name: F.col(f"_first.{name}") for name in rest}}
-    return grouped.select(*(first[name].alias(name) if name in first else F.col(name) for name in df.columns))
+    keys, (first, second) = list(keys), fingerprint(*keys)
+    named = df.withColumns({"_one": first, "_two": second})
+    counts = named.groupBy("_one", "_two", order).agg(F.count(F.lit(1)).alias("_n"))
+    groups = counts.groupBy("_one", "_two").agg(
+        F.min(order).alias("_first"), F.sum("_n").alias("_rows"), F.max("_n").alias("_alike")
+    )
+    groups = durable(groups.where("_rows > 1").select("_one", "_two", "_first", (F.col("_alike") > 1).alias("_tied")))
+    found = lookup_join(named, groups, ["_one", "_two"], "left")
+    kept = found.where(F.col("_tied").isNull() | F.col(order).eqNullSafe(F.col("_first")))
+    if groups.where("_tied").isEmpty():
+        return kept.select(*df.columns)
+    place = Window.partitionBy("_one", "_two").orderBy(F.xxhash64(*df.columns))
+    tied = kept.where("_tied").withColumn("_place", F.row_number().over(place)).where("_place = 1")
+    return kept.where("NOT coalesce(_tied, false)").select(*df.columns).unionByName(tied.select(*df.columns))
 
 
 def duplicate_count(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
