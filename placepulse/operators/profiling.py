@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from placepulse.functions.labels import sentiment3
+from placepulse.functions.text import text_length, word_count
 from placepulse.operators.sets import duplicate_count
 from placepulse.schema import LABELS, label_to_id
+from placepulse.session import durable
 
 IMBALANCE_THRESHOLD = 3
 SHORT_TEXT, LONG_TEXT = 10, 2000
@@ -196,6 +198,11 @@ def findings(
     quality = quality_indicators(df, text, rating, duplicate_columns, length)
     # Three classes at most, so this side is one row whatever the size of the table.
     classes = df.groupBy(sentiment3(F.col(rating)).alias("class")).agg(F.count(F.lit(1)).alias("n"))
+    return findings_from(quality, classes)
+
+
+def findings_from(quality: DataFrame, classes: DataFrame) -> DataFrame:
+    """The findings of quality indicators (one row) and rows ``n`` per sentiment ``class``, null included."""
     summary = classes.agg(
         F.max(F.when(F.col("class").isNotNull(), F.col("n"))).alias("top"),
         F.min(F.when(F.col("class").isNotNull(), F.col("n"))).alias("low"),
@@ -216,6 +223,52 @@ def findings(
     return quality.select(F.inline(F.array(*rows))).where("hit").select("finding")
 
 
+def profile_cube(
+    df: DataFrame, text: str = "cleaned_text", rating: str = "rating_review", identity: Sequence[Column] = ()
+) -> DataFrame:
+    """Counts from which the whole profile follows, made in one pass over the table and kept.
+
+    Rows are combined by identity and measures, then counted by two grouping sets: rating with text length
+    (``words`` null) and word count (``sets`` tells which). ``n`` counts rows, ``different`` identities, ``_null_i`` the nulls
+    of column ``i``. Only numbers are shuffled; the result has a row per length and rating, and
+    one per word count.
+    """
+    nulls = [F.col(f"`{name}`").isNull().cast("bigint").alias(f"_null_{i}") for i, name in enumerate(df.columns)]
+    sums = [f"_null_{i}" for i in range(len(nulls))]
+    measured = df.select(
+        *(c.alias(f"_id_{i}") for i, c in enumerate(identity)), F.col(rating).alias("rating"),
+        text_length(F.col(text)).alias("length"), word_count(F.col(text)).alias("words"), *nulls,
+    )
+    keys = [*(f"_id_{i}" for i in range(len(identity))), "rating", "length", "words"]
+    rows = measured.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *(F.sum(c).alias(c) for c in sums))
+    sets = rows.groupingSets([["rating", "length"], ["words"]], "rating", "length", "words")
+    counts = sets.agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("different"), *(F.sum(c).alias(c) for c in sums), F.grouping("words").alias("lengths")
+    )
+    return durable(counts.withColumn("lengths", F.col("lengths") == 1))
+
+
+def describe_counted(counts: DataFrame, column: str, name: str | None = None, n: str = "n") -> DataFrame:
+    """``describe_numeric`` of one column from a table of values and how often each occurs."""
+    some = counts.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.sum(n).alias("n"))
+    points = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
+    value = F.col("v").cast("double")
+    # The deviation in two steps: sums of squares lose digits where the mean is large.
+    mean = some.agg(F.sum(F.col("n") * value) / F.sum("n")).scalar()
+    summary = some.withColumn("mean", mean).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("count"),
+        F.max("mean").alias("mean"),
+        F.sqrt(F.sum(F.col("n") * (value - F.col("mean")) ** 2) / F.nullif(F.sum("n") - 1, F.lit(0))).alias("std"),
+        F.min(value).alias("min"),
+        F.percentile(F.col("v"), points, F.col("n")).alias("q"),
+        F.max(value).alias("max"),
+    )
+    cells = {"mean": F.col("mean"), "std": F.col("std"), "min": F.col("min"), "max": F.col("max")}
+    cells |= {p: F.col("q")[i] for i, p in enumerate(("p25", "p50", "p75"))}
+    rounded = [F.round(cells[c], 6).alias(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")]
+    return summary.select(F.lit(name or column).alias("column"), "count", *rounded)
+
+
 def temporal_profile(df: DataFrame) -> DataFrame:
     """Rows per month of the first date or timestamp column; no rows if the table has none."""
     dated = [

@@ -5,22 +5,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placepulse.functions.labels import sentiment3, sentiment_label
 from placepulse.functions.text import clean_again, clean_text, text_length, word_count
 from placepulse.operators import profiling
-from placepulse.operators.columns import (
-    resolve_text_column,
-    row_identity,
-    select_columns,
-    with_row_id,
-)
+from placepulse.operators.columns import resolve_text_column, select_columns, with_row_id
 from placepulse.operators.filters import derive_and_keep, filter_language, filter_text_length
 from placepulse.operators.language import LanguageModel, detect_language
 from placepulse.operators.sampling import balance_classes, stratified_split
-from placepulse.operators.sets import dedupe_reviews, union_sources
+from placepulse.operators.sets import dedupe_reviews, fingerprint, union_sources
 from placepulse.operators.stars import score_stars
 from placepulse.schema import CLEANED_MIN_EXCLUSIVE, SEED, TEXT_MIN
 from placepulse.session import durable
@@ -83,31 +78,78 @@ def profile_reviews(
 ) -> dict[str, DataFrame]:
     """The data report, one table per section.
 
-    The text is read once for its measures; the sections share the slim table of measures.
+    One pass over the table leaves a small table of counts (``profiling.profile_cube``), and every section
+    is read from that; only a date column, where there is one, is counted on its own.
     """
-    measured = durable(
-        df.select(
-            rating,
-            text_length(F.col(text)).alias("text_length"),
-            word_count(F.col(text)).alias("word_count"),
-            sentiment3(F.col(rating)).alias("sentiment_label"),
-            row_identity(text, rating).alias("row"),
-        )
+    cube = profiling.profile_cube(df, text, rating, fingerprint(text, rating))
+    lengths, words = cube.where("lengths"), cube.where("NOT lengths")
+    ratings = lengths.groupBy("rating").agg(F.sum("n").alias("n"))
+    total = lengths.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
+    classes = ratings.groupBy(sentiment3(F.col("rating")).alias("class")).agg(F.sum("n").alias("n"))
+
+    def shares(counts: DataFrame, name: str, column: str) -> DataFrame:
+        present = counts.where(F.col(column).isNotNull())
+        return present.select(F.col(column).alias(name), F.col("n").alias("count"), F.round(F.col("n") / total * 100, 1).alias("pct"))
+
+    def columns_of() -> DataFrame:
+        nulls = [F.coalesce(F.sum(f"_null_{i}"), F.lit(0)).alias(f"_{i}") for i in range(len(df.columns))]
+        rows = [
+            F.struct(F.lit(name).alias("column"), F.lit(dtype).alias("type"), F.col(f"_{i}").alias("nulls"))
+            for i, (name, dtype) in enumerate(df.dtypes)
+        ]
+        summed = lengths.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), *nulls)
+        return summed.select("rows", F.inline(F.array(*rows)))
+
+    def over(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
+
+    quality = lengths.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"),
+        F.coalesce(F.sum("n") - F.sum("different"), F.lit(0)).alias("duplicate_rows"),
+        over(~F.col("rating").between(1, 5)).alias("invalid_ratings"),
+        over(F.col("length") < profiling.SHORT_TEXT).alias("very_short"),
+        over(F.col("length") > profiling.LONG_TEXT).alias("very_long"),
+    )
+    quality = quality.select(
+        "total_rows", "duplicate_rows", F.round(F.col("duplicate_rows") / F.col("total_rows") * 100, 2).alias("duplicate_pct"),
+        "invalid_ratings", "very_short", "very_long",
+    )
+    value, mean = F.col("length").cast("double"), F.sum(F.col("length") * F.col("n")) / F.sum("n")
+    typical = lengths.where("rating IS NOT NULL AND length IS NOT NULL").groupBy("rating").agg(
+        mean.alias("_mean"), F.percentile("length", F.lit(0.5), F.col("n")).alias("_median"), F.sum("n").alias("_n")
     )
-    length = F.col("text_length")
+    # One row per rating.
+    spread = lengths.join(F.broadcast(typical), "rating").groupBy("rating").agg(
+        F.max("_mean").alias("_mean"), F.max("_median").alias("_median"),
+        F.sqrt(F.sum(F.col("n") * (value - F.col("_mean")) ** 2) / F.nullif(F.max("_n") - 1, F.lit(0))).alias("_std"),
+    )
+    by_rating = [F.round(f"_{c}", 1).alias(c) for c in ("mean", "median", "std")]
+    ends = classes.where("class IS NOT NULL").agg(F.max("n").alias("max_class"), F.min("n").alias("min_class"))
+    ratio = F.col("max_class") / F.col("min_class")
+    per_column = columns_of()
     report = {
-        "basic": profiling.profile(df),
-        "missing": profiling.missing_report(df),
-        "rating_summary": profiling.describe_numeric(measured, [rating]),
-        "rating_distribution": profiling.rating_distribution(measured, rating),
-        "length_summary": profiling.describe_numeric(measured, ["text_length", "word_count"]),
-        "length_by_rating": profiling.length_by(measured, rating),
-        "sentiment_distribution": profiling.class_distribution(measured, "sentiment_label"),
-        "imbalance": profiling.imbalance(measured, "sentiment_label"),
+        "basic": per_column.select(
+            "column", "type", (F.col("rows") - F.col("nulls")).alias("non_null"), F.col("rows").alias("total_rows"),
+            F.lit(len(df.columns)).alias("total_columns"),
+        ),
+        "missing": per_column.where("nulls > 0").select(
+            "column", F.col("nulls").alias("missing_count"), F.round(F.col("nulls") / F.col("rows") * 100, 6).alias("missing_pct")
+        ),
+        "rating_summary": profiling.describe_counted(ratings, "rating", rating),
+        "rating_distribution": shares(ratings, rating, "rating").orderBy(rating),
+        "length_summary": profiling.describe_counted(lengths, "length", "text_length").unionByName(
+            profiling.describe_counted(words, "words", "word_count")
+        ),
+        "length_by_rating": spread.select(F.col("rating").alias(rating), *by_rating).orderBy(rating),
+        "sentiment_distribution": shares(classes, "sentiment_label", "class").orderBy(F.col("count").desc(), "sentiment_label"),
+        "imbalance": ends.select(
+            "max_class", "min_class", F.round(ratio, 6).alias("imbalance_ratio"),
+            (ratio > profiling.IMBALANCE_THRESHOLD).alias("imbalanced"),
+        ),
         "temporal": profiling.temporal_profile(df),
-        "quality": profiling.quality_indicators(measured, text, rating, ["row"], length),
-        "findings": profiling.findings(measured, text, rating, ["row"], length),
-    }
+        "quality": quality,
+        "findings": profiling.findings_from(quality, classes),
+    }
     if languages is not None:
         report["languages"] = languages.orderBy(F.col("count").desc(), "detected_language").limit(10)
     return report

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from placepulse.functions.labels import sentiment_label
 from placepulse.operators import stars, training
 from placepulse.operators.language import fit_language_profiles
+from placepulse.operators.profiling import value_counts
 from placepulse.operators.sampling import split_tables, stratified_split
 from placepulse.plans import corpus, learning, publishing
 from placepulse.registry import query
@@ -86,6 +87,8 @@ _PROFILE_SQL = f"""{MEASURED_SQL}, described AS (SELECT 'rating_summary' AS sect
         unnest([(SELECT d FROM dups), (SELECT round(d / n * 100, 2) FROM dups), count(*) FILTER (NOT rating_review BETWEEN 1 AND 5),
         count(*) FILTER (text_length < 10), count(*) FILTER (text_length > 2000)]) FROM measured
     UNION ALL SELECT 'basic', unnest(['rating_review', 'cleaned_text']), 'non_null', unnest([count(rating_review), count(cleaned_text)]) FROM measured
+    UNION ALL (SELECT 'languages', detected_language, 'count', count(*) AS n FROM reviews
+        WHERE detected_language IS NOT NULL GROUP BY 2 ORDER BY n DESC, 2 LIMIT 10)
     UNION ALL SELECT 'findings', 'class imbalance', 'present', 1 WHERE (SELECT max(n) / min(n) FROM sentiments) > 3
     UNION ALL SELECT 'findings', 'extreme text lengths', 'present', 1 WHERE (SELECT count(*) FROM measured WHERE text_length < 10 OR text_length > 2000) > 0
     UNION ALL SELECT 'findings', 'duplicate entries', 'present', 1 WHERE (SELECT d FROM dups) > 0
@@ -96,8 +99,9 @@ _PROFILE_SQL = f"""{MEASURED_SQL}, described AS (SELECT 'rating_summary' AS sect
 
 @query("k3_profile_reviews", f"WITH {_PROFILE_SQL} SELECT section, item, measure, CAST(value AS DOUBLE) AS value FROM facts")
 def profile_reviews(spark: SparkSession, sf: str) -> DataFrame:
-    rows = reviews(spark, sf).select("rating_review", F.col("text_review").alias("cleaned_text"))
-    return corpus.report_table(corpus.profile_reviews(rows))
+    found = reviews(spark, sf)
+    rows = found.select("rating_review", F.col("text_review").alias("cleaned_text"))
+    return corpus.report_table(corpus.profile_reviews(rows, value_counts(found, "detected_language")))
 
 
 @query(
