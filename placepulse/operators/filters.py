@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from placepulse.schema import CLEANED_MIN_EXCLUSIVE, TEXT_MAX, TEXT_MIN, label_to_id
@@ -85,3 +86,34 @@ def step_audit(df: DataFrame, steps: Sequence[tuple[str, Column]]) -> DataFrame:
     removed = F.col("rows_in") - F.col("rows_out")
     kept = F.when(F.col("rows_in") > 0, F.col("rows_out") / F.col("rows_in") * 100)
     return audit.withColumn("removed", removed).withColumn("kept_pct", F.round(kept, 6))
+
+
+class StepCounter:
+    """Counts the rows after each step inside a running plan, without a pass of its own.
+
+    Wrap what goes into the first step and what comes out of each; once the plan has run into a sink,
+    ``table`` gives rows in and out per step. A plan that runs again is not counted again.
+    """
+
+    def __init__(self):
+        self._seen: list[tuple[str, Observation]] = []
+
+    def __call__(self, step: str, df: DataFrame) -> DataFrame:
+        seen = Observation(f"{step}-{uuid.uuid4().hex}")
+        self._seen.append((step, seen))
+        return df.observe(seen, F.count(F.lit(1)).alias("rows"))
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """``step_no, step, rows_in, rows_out, removed, kept_pct``; waits for a plan that has not run yet."""
+        counts = [seen.get.get("rows", 0) for _, seen in self._seen]
+        rows = [
+            (number, step, before, after, before - after, round(after / before * 100, 6) if before else None)
+            for number, ((step, _), before, after) in enumerate(zip(self._seen[1:], counts, counts[1:], strict=False), start=1)
+        ]
+        ddl = "step_no INT, step STRING, rows_in BIGINT, rows_out BIGINT, removed BIGINT, kept_pct DOUBLE"
+        return spark.createDataFrame(rows, ddl)
+
+
+def counted(steps: StepCounter | None, step: str, df: DataFrame) -> DataFrame:
+    """``df``, counted if steps are."""
+    return df if steps is None else steps(step, df)

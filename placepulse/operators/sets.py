@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from placepulse.operators.columns import row_identity, with_row_id
+from placepulse.operators.filters import StepCounter, counted
 from placepulse.operators.joins import lookup_join
 from placepulse.session import durable
 
@@ -34,6 +35,7 @@ def dedupe_reviews(
     df: DataFrame,
     keys: Sequence[str] = ("cleaned_text", "rating_review"),
     order: str = "review_id",
+    steps: StepCounter | None = None,
 ) -> DataFrame:
     """Keep the first row, by ``order`` with nulls last, of those equal in ``keys``; null equals null.
 
@@ -51,13 +53,15 @@ def dedupe_reviews(
         F.min(order).alias("_first"), F.sum("_n").alias("_rows"), F.max("_n").alias("_alike")
     )
     groups = durable(groups.where("_rows > 1").select("_one", "_two", "_first", (F.col("_alike") > 1).alias("_tied")))
-    found = lookup_join(named, groups, ["_one", "_two"], "left")
+    # The list has one row per identity, so these are the rows of ``df``.
+    found = counted(steps, "input", lookup_join(named, groups, ["_one", "_two"], "left"))
     kept = found.where(F.col("_tied").isNull() | F.col(order).eqNullSafe(F.col("_first")))
     if groups.where("_tied").isEmpty():
-        return kept.select(*df.columns)
+        return counted(steps, "deduplicate", kept.select(*df.columns))
     place = Window.partitionBy("_one", "_two").orderBy(F.xxhash64(*df.columns))
     tied = kept.where("_tied").withColumn("_place", F.row_number().over(place)).where("_place = 1")
-    return kept.where("NOT coalesce(_tied, false)").select(*df.columns).unionByName(tied.select(*df.columns))
+    alone = kept.where("NOT coalesce(_tied, false)").select(*df.columns)
+    return counted(steps, "deduplicate", alone.unionByName(tied.select(*df.columns)))
 
 
 def duplicate_count(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

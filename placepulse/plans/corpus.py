@@ -12,9 +12,9 @@ from placepulse.functions.labels import sentiment3, sentiment_label
 from placepulse.functions.text import clean_again, clean_text, text_length, word_count
 from placepulse.operators import profiling
 from placepulse.operators.columns import resolve_text_column, select_columns, with_row_id
-from placepulse.operators.filters import derive_and_keep, filter_language, filter_text_length
+from placepulse.operators.filters import StepCounter, counted, derive_and_keep, filter_language, filter_text_length
 from placepulse.operators.language import LanguageModel, detect_language
-from placepulse.operators.sampling import balance_classes, stratified_split
+from placepulse.operators.sampling import balance_classes, split_tables, stratified_split
 from placepulse.operators.sets import dedupe_reviews, fingerprint, union_sources
 from placepulse.operators.stars import score_stars
 from placepulse.schema import CLEANED_MIN_EXCLUSIVE, SEED, TEXT_MIN
@@ -60,15 +60,20 @@ def clean_and_keep(df: DataFrame, text: str = "text_review", minimum: int = CLEA
 
 
 def clean_reviews(
-    df: DataFrame, model: LanguageModel | None = None, text: str = "text_review", lang: str = "en"
+    df: DataFrame,
+    model: LanguageModel | None = None,
+    text: str = "text_review",
+    lang: str = "en",
+    steps: StepCounter | None = None,
 ) -> Cleaned:
     """Detect the language, keep one, clean the text, drop what is then empty or too short.
 
     The detected languages are made durable because both results read them; without a model the
-    table must already have ``detected_language``.
+    table must already have ``detected_language``. ``steps`` counts the rows after each step.
     """
     detected = df if model is None else durable(detect_language(df, model, text))
-    kept = clean_and_keep(filter_language(detected, lang), text)
+    spoken = counted(steps, "language", filter_language(counted(steps, "input", detected), lang))
+    kept = counted(steps, "clean", clean_and_keep(spoken, text))
     columns = [name for name in ("review_id", "rating_review", "cleaned_text") if name in kept.columns]
     return Cleaned(kept.select(*columns), profiling.value_counts(detected, "detected_language"))
 
@@ -187,6 +192,23 @@ def label_reviews(df: DataFrame, lexicon: DataFrame, id_column: str = "review_id
     return scored.withColumn("predicted_sentiment_label", sentiment_label(F.col("predicted_rating")))
 
 
+def label_balance(
+    labelled: DataFrame, label: str = "predicted_sentiment_label", threshold: float = profiling.IMBALANCE_THRESHOLD
+) -> DataFrame:
+    """Rows and percent per predicted label, with the ratio of the largest to the smallest class.
+
+    The table is counted once; both figures come from the counts, a row per label.
+    """
+    counts = durable(labelled.groupBy(label).agg(F.count(F.lit(1)).alias("count")))
+    ends = counts.where(F.col(label).isNotNull()).agg(F.max("count").alias("_most"), F.min("count").alias("_least"))
+    total, ratio = counts.agg(F.sum("count")).scalar(), ends.select(F.col("_most") / F.col("_least")).scalar()
+    found = counts.where(F.col(label).isNotNull())
+    return found.select(
+        label, "count", F.round(F.col("count") / total * 100, 1).alias("pct"),
+        F.round(ratio, 6).alias("imbalance_ratio"), (ratio > threshold).alias("imbalanced"),
+    )
+
+
 def reclean(df: DataFrame, text: str = "cleaned_text", minimum: int = TEXT_MIN) -> DataFrame:
     """The second cleaning pass with lengths taken anew; texts now too short are dropped."""
     cleaned = derive_and_keep(df, text, clean_again(F.col(text)), lambda c: F.length(c) >= minimum)
@@ -195,9 +217,10 @@ def reclean(df: DataFrame, text: str = "cleaned_text", minimum: int = TEXT_MIN)
     )
 
 
-def refine_reviews(df: DataFrame, id_column: str = "review_id") -> DataFrame:
+def refine_reviews(df: DataFrame, id_column: str = "review_id", steps: StepCounter | None = None) -> DataFrame:
     """Deduplicate, clean again, keep usable lengths. Deduplication comes first."""
-    return filter_text_length(reclean(dedupe_reviews(df, order=id_column)))
+    cleaned = counted(steps, "clean again", reclean(dedupe_reviews(df, order=id_column, steps=steps)))
+    return counted(steps, "usable length", filter_text_length(cleaned))
 
 
 def prepare_training_data(
@@ -205,8 +228,43 @@ def prepare_training_data(
     label: str = "predicted_sentiment_label",
     id_column: str = "review_id",
     seed: int = SEED,
+    steps: StepCounter | None = None,
 ) -> DataFrame:
-    """Refine, balance the classes by downsampling and add the ``split`` column."""
-    refined = durable(refine_reviews(df, id_column))
-    balanced = balance_classes(refined, label, id_column, seed)
-    return stratified_split(balanced, label, seed=seed, id_column=id_column)
+    """Refine, balance the classes by downsampling and add the ``split`` column; ``steps`` counts rows."""
+    return prepared(df, label, id_column, seed, steps).rows
+
+
+@dataclass(frozen=True)
+class Prepared:
+    """Balanced, split rows, and the classes before and after balancing."""
+
+    rows: DataFrame
+    before: DataFrame
+    after: DataFrame
+
+
+def prepared(
+    df: DataFrame,
+    label: str = "predicted_sentiment_label",
+    id_column: str = "review_id",
+    seed: int = SEED,
+    steps: StepCounter | None = None,
+) -> Prepared:
+    """As ``prepare_training_data``, with the class distributions before and after balancing."""
+    refined = durable(refine_reviews(df, id_column, steps))
+    balanced = counted(steps, "balance", balance_classes(refined, label, id_column, seed))
+    rows = stratified_split(balanced, label, seed=seed, id_column=id_column)
+    return Prepared(rows, profiling.class_distribution(refined, label), profiling.class_distribution(balanced, label))
+
+
+SPLITS = ("train", "validation", "test")
+
+
+def write_splits(rows: DataFrame, folder: str) -> dict[str, str]:
+    """One CSV file set per part of a split table, label last; the path of each."""
+    paths = {}
+    for name, part in split_tables(rows, SPLITS).items():
+        paths[name] = f"{folder}/{name}"
+        last = [c for c in ("predicted_sentiment_label",) if c in part.columns]
+        write_csv(part.select(*(c for c in part.columns if c not in last), *last), paths[name])
+    return paths

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from placepulse.functions.labels import sentiment_label
-from placepulse.operators import stars, training
+from placepulse.operators import filters, sets, stars, training
 from placepulse.operators.language import fit_language_profiles
 from placepulse.operators.profiling import value_counts
 from placepulse.operators.sampling import split_tables, stratified_split
@@ -31,7 +32,7 @@ from placepulse.registry.profiles import MEASURED_SQL, SPLIT_SQL, STATS, STATS_S
 from placepulse.registry.texts import SQL_SPACE, clean_sql, rule_ctes
 from placepulse.schema import LABELS, NO_TEXT_LABEL
 from placepulse.session import durable, scratch_path, spread
-from placepulse.sources.files import read_scored_csv, write_csv
+from placepulse.sources.files import read_reviews_csv, read_scored_csv, write_csv
 from placepulse.sources.tables import TableStore
 from placepulse.streaming.incremental import run_available
 
@@ -62,6 +63,31 @@ def clean_reviews(spark: SparkSession, sf: str) -> DataFrame:
     return corpus.clean_reviews(reviews(spark, sf)).reviews
 
 
+def _audit_sql(counts: list[tuple[str, str]]) -> str:
+    """The audit from the name of each step and the rows after it; the first is the input."""
+    lines = [
+        f"SELECT CAST({i} AS INTEGER) AS step_no, '{step}' AS step, ({before}) AS rows_in, ({after}) AS rows_out"
+        for i, ((_, before), (step, after)) in enumerate(zip(counts, counts[1:], strict=False), start=1)
+    ]
+    return f"""SELECT *, rows_in - rows_out AS removed, round(rows_out / rows_in * 100, 6) AS kept_pct
+    FROM ({" UNION ALL ".join(lines)})"""
+
+
+_K2_STEPS = [
+    ("input", "SELECT count(*) FROM reviews"),
+    ("language", "SELECT count(*) FROM english"),
+    ("clean", "SELECT count(*) FROM cleaned"),
+]
+
+
+@query("k2_step_audit", f"WITH {_CLEANED_SQL} {_audit_sql(_K2_STEPS)}")
+def clean_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows after each cleaning step, counted while the cleaned reviews are written."""
+    steps = filters.StepCounter()
+    write_csv(corpus.clean_reviews(reviews(spark, sf), steps=steps).reviews, scratch_path(spark, "cleaned"))
+    return steps.table(spark)
+
+
 @query("k2_clean_detected_reviews")
 def clean_detected_reviews(spark: SparkSession, sf: str) -> DataFrame:
     """With the language detected rather than given."""
@@ -120,6 +146,16 @@ def label_reviews(spark: SparkSession, sf: str) -> DataFrame:
     return corpus.label_reviews(rows, lexicon).drop("cleaned_text")
 
 
+_SPLIT = T.StructType(
+    [
+        T.StructField("review_id", T.LongType()),
+        T.StructField("cleaned_text", T.StringType()),
+        T.StructField("rating_review", T.IntegerType()),
+        T.StructField("predicted_sentiment_label", T.StringType()),
+    ]
+)
+
+
 def _labelled(spark: SparkSession, sf: str) -> DataFrame:
     """Reviews of all languages with the label of their rating."""
     return reviews(spark, sf).select(
@@ -130,6 +166,26 @@ def _labelled(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+_K4_RATED = f"""{lexicon_sql(2000)}, occurrences AS (SELECT review_id, unnest({words_sql("text_review")}) AS word FROM reviews),
+    sums AS (SELECT review_id, floor(sum(stars) / count(*) + 0.5) AS mean FROM occurrences JOIN lexicon USING (word) GROUP BY review_id),
+    rated AS (SELECT CAST(CASE WHEN mean IS NULL THEN 3 ELSE greatest(1, least(5, mean)) END AS INTEGER) AS predicted_rating
+        FROM reviews LEFT JOIN sums USING (review_id)),
+    labelled AS (SELECT {LABEL_CASE.format("predicted_rating")} AS predicted_sentiment_label FROM rated),
+    counts AS (SELECT predicted_sentiment_label, count(*) AS n FROM labelled GROUP BY 1)"""
+
+
+@query(
+    "k4_label_balance",
+    f"""WITH {_K4_RATED} SELECT predicted_sentiment_label, n AS count, round(n / (SELECT sum(n) FROM counts) * 100, 1) AS pct,
+    round((SELECT max(n) / min(n) FROM counts), 6) AS imbalance_ratio, (SELECT max(n) / min(n) FROM counts) > 3 AS imbalanced FROM counts""",
+)
+def label_balance(spark: SparkSession, sf: str) -> DataFrame:
+    """Distribution and imbalance of the predicted labels."""
+    rows = reviews(spark, sf).select("review_id", F.col("text_review").alias("cleaned_text"), "rating_review")
+    labelled = corpus.label_reviews(rows, durable(stars.fit_lexicon(rows, size=2000)))
+    return corpus.label_balance(labelled)
+
+
 _AGAIN, _AGAIN_LAST = rule_ctes(["second"], "first_copies")
 _PREPARED_SQL = f"""{REVIEWS_SQL}, copies AS (SELECT review_id, text_review AS t, rating_review,
     {LABEL_CASE.format("rating_review")} AS predicted_sentiment_label,
@@ -152,6 +208,49 @@ def prepare_training_data(spark: SparkSession, sf: str) -> DataFrame:
     return corpus.prepare_training_data(_labelled(spark, sf))
 
 
+_K5_STEPS = [
+    ("input", "SELECT count(*) FROM reviews"),
+    ("deduplicate", "SELECT count(*) FROM first_copies"),
+    ("clean again", f"SELECT count(*) FROM {_AGAIN_LAST} WHERE length(t) >= 20"),
+    ("usable length", "SELECT count(*) FROM usable"),
+    ("balance", "SELECT count(*) FROM balanced"),
+]
+
+
+@query("k5_step_audit", f"WITH {_PREPARED_SQL} {_audit_sql(_K5_STEPS)}")
+def prepare_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows after each step of preparation, counted while it runs and the split files are written."""
+    steps = filters.StepCounter()
+    corpus.write_splits(corpus.prepare_training_data(_labelled(spark, sf), steps=steps), scratch_path(spark, "splits"))
+    return steps.table(spark)
+
+
+_CLASS_SHARES = """SELECT '{0}' AS moment, predicted_sentiment_label, count(*) AS count,
+    round(count(*) / (SELECT count(*) FROM {1}) * 100, 1) AS pct FROM {1} GROUP BY 2"""
+
+
+@query(
+    "k5_class_distributions",
+    f"""WITH {_PREPARED_SQL} {_CLASS_SHARES.format("before", "usable")} UNION ALL {_CLASS_SHARES.format("after", "balanced")}""",
+)
+def class_distributions(spark: SparkSession, sf: str) -> DataFrame:
+    """Classes before and after balancing."""
+    found = corpus.prepared(_labelled(spark, sf))
+    tables = (("before", found.before), ("after", found.after))
+    return sets.union_sources(*(t.select(F.lit(name).alias("moment"), *t.columns) for name, t in tables))
+
+
+@query(
+    "k5_split_files",
+    f"""WITH {_PREPARED_SQL} SELECT review_id, t AS cleaned_text, rating_review, predicted_sentiment_label, split FROM split_rows""",
+)
+def split_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The three files of the split, read back."""
+    paths = corpus.write_splits(corpus.prepare_training_data(_labelled(spark, sf)), scratch_path(spark, "splits"))
+    parts = [read_reviews_csv(spark, path, _SPLIT).withColumn("split", F.lit(name)) for name, path in paths.items()]
+    return sets.union_sources(*parts)
+
+
 _LABELS_LIST = "[" + ", ".join(f"'{name}'" for name in LABELS) + "]"
 
 
