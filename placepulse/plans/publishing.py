@@ -17,6 +17,7 @@ from placepulse.operators.sets import extend_dimension, new_titles, union_source
 from placepulse.schema import ATTRACTIONS, NEW_REVIEWS, REVIEWS, SCORED_REVIEWS
 from placepulse.session import durable
 from placepulse.sources.files import read_reviews_csv, write_scored
+from placepulse.sources.keys import KeyIndex
 from placepulse.sources.tables import TableStore
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -32,14 +33,21 @@ def load_batch(spark: SparkSession, paths: dict[str, str | list[str]]) -> DataFr
 
 
 def score_new_reviews(
-    batch: DataFrame, existing: DataFrame, scorer: Scorer, output: str | None = None
+    batch: DataFrame,
+    existing: DataFrame | KeyIndex,
+    scorer: Scorer,
+    output: str | None = None,
+    without_part: str | None = None,
 ) -> DataFrame:
-    """Label the reviews not published before.
+    """Label the reviews not published before: those not in the table ``existing``, or not in its index.
+
+    With an index the cost follows the batch; ``without_part`` leaves out a part of it.
 
     ``scorer`` adds ``predicted_sentiment`` from ``full_review``: a fitted model wrapped by
     ``operators.training.predict`` or any model through ``operators.stars.score_with``.
     """
-    unseen = new_reviews(drop_nulls(batch, ["text_review"]), existing)
+    batch = drop_nulls(batch, ["text_review"])
+    unseen = existing.unseen(batch, without_part) if isinstance(existing, KeyIndex) else new_reviews(batch, existing)
     reviewed = unseen.withColumn("full_review", full_review(F.col("title"), F.col("text_review")))
     scored = scorer(reviewed).select(*SCORED_REVIEWS.fieldNames())
     if output:

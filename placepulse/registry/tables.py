@@ -29,6 +29,7 @@ from placepulse.registry.texts import SQL_SPACE, rule_ctes
 from placepulse.schema import ATTRACTIONS, LABELS
 from placepulse.session import scratch_path
 from placepulse.sources import files
+from placepulse.sources.keys import KeyIndex
 from placepulse.sources.tables import TableStore
 
 _DELIVERY = T.StructType(
@@ -307,6 +308,21 @@ def new_reviews(spark: SparkSession, sf: str) -> DataFrame:
     return joins.new_reviews(batch, published(spark, sf))
 
 
+@query(
+    "j1_new_reviews_indexed",
+    f"""WITH {REVIEWS_SQL}, {PUBLISHED_SQL} SELECT review_id, text_review, source FROM reviews r
+    WHERE NOT EXISTS (SELECT 1 FROM published p WHERE p.text_review = r.text_review AND p.source = r.source)""",
+)
+def new_reviews_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    """The published reviews in two parts of a stored table, compared through the index of their keys."""
+    store, known = TableStore(spark, scratch_path(spark, "store")), published(spark, sf)
+    store.append_table(known.where("source < 'src2'"), "reviews", "first")
+    index = KeyIndex(store)
+    index.sync()
+    store.append_table(known.where("source >= 'src2'"), "reviews", "second")
+    return index.unseen(reviews(spark, sf).select("review_id", "text_review", "source"))
+
+
 @query(
     "j2_attach_attraction_id",
     f"""WITH {TITLED_SQL}, {ATTRACTIONS_SQL}, dimension AS (SELECT title, max(id) AS attraction_id

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from placepulse.plans.publishing import Scorer, publish_reviews, score_new_reviews
-from placepulse.schema import REVIEWS
 from placepulse.session import durable
+from placepulse.sources.keys import KeyIndex
 from placepulse.sources.tables import TableStore
 
 BATCH = T.StructType(
@@ -34,14 +34,17 @@ def run_available(
     scorer: Scorer,
     files_per_batch: int = 1000,
 ) -> None:
-    """Process everything that has arrived (Parquet with title, text_review, source), then stop."""
+    """Process everything that has arrived (Parquet with title, text_review, source), then stop.
+
+    What is known already is looked up in the index of the published keys.
+    """
+    published = KeyIndex(store)
 
     def publish(batch: DataFrame, number: int) -> None:
         part = f"batch-{number:09d}"
         # What an earlier try of this batch may have published does not count as known.
-        known = store.read_table("reviews", REVIEWS, ["text_review", "source"], without_part=part)
         batch = durable(batch.where(F.col("text_review").isNotNull()))
-        scored = durable(score_new_reviews(batch, known, scorer))
+        scored = durable(score_new_reviews(batch, published, scorer, without_part=part))
         publish_reviews(scored, store, aliases, mode="append", part=part)
 
     stream = (
