@@ -18,13 +18,13 @@ SCORER_BATCH = 16
 
 
 def fit_lexicon(
-    df: DataFrame, text: str = "cleaned_text", rating: str = "rating_review", size: int = LITERAL_WORDS
+    df: DataFrame, text: str = "cleaned_text", rating: str = "rating_review", size: int | None = None
 ) -> DataFrame:
-    """Star value of the most frequent words: the rounded mean rating of the texts using them."""
+    """Star value of every word, or the ``size`` most frequent: the rounded mean rating of the texts using it."""
     rated = df.where(F.col(rating).between(1, 5))
     used = rated.select(rating, F.explode(F.array_distinct(words(F.col(text)))).alias("word"))
     means = used.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.avg(rating).alias("mean"))
-    kept = means.orderBy(F.col("n").desc(), "word").limit(size)
+    kept = means if size is None else means.orderBy(F.col("n").desc(), "word").limit(size)
     return kept.select("word", F.round("mean").cast("int").alias("stars"))
 
 

@@ -132,7 +132,7 @@ def profile_reviews(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "k4_label_reviews",
-    f"""WITH {lexicon_sql(2000)}, occurrences AS (SELECT review_id, unnest({words_sql("text_review")}) AS word FROM reviews),
+    f"""WITH {lexicon_sql()}, occurrences AS (SELECT review_id, unnest({words_sql("text_review")}) AS word FROM reviews),
     sums AS (SELECT review_id, floor(sum(stars) / count(*) + 0.5) AS mean FROM occurrences JOIN lexicon USING (word) GROUP BY review_id),
     rated AS (SELECT review_id, rating_review, CAST(length(text_review) AS INTEGER) AS text_length,
         CAST(len({words_sql("text_review")}) AS INTEGER) AS word_count,
@@ -142,7 +142,7 @@ def profile_reviews(spark: SparkSession, sf: str) -> DataFrame:
 )
 def label_reviews(spark: SparkSession, sf: str) -> DataFrame:
     rows = reviews(spark, sf).select("review_id", F.col("text_review").alias("cleaned_text"), "rating_review")
-    lexicon = durable(stars.fit_lexicon(rows, size=2000))
+    lexicon = durable(stars.fit_lexicon(rows))
     return corpus.label_reviews(rows, lexicon).drop("cleaned_text")
 
 
@@ -166,7 +166,7 @@ def _labelled(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-_K4_RATED = f"""{lexicon_sql(2000)}, occurrences AS (SELECT review_id, unnest({words_sql("text_review")}) AS word FROM reviews),
+_K4_RATED = f"""{lexicon_sql()}, occurrences AS (SELECT review_id, unnest({words_sql("text_review")}) AS word FROM reviews),
     sums AS (SELECT review_id, floor(sum(stars) / count(*) + 0.5) AS mean FROM occurrences JOIN lexicon USING (word) GROUP BY review_id),
     rated AS (SELECT CAST(CASE WHEN mean IS NULL THEN 3 ELSE greatest(1, least(5, mean)) END AS INTEGER) AS predicted_rating
         FROM reviews LEFT JOIN sums USING (review_id)),
@@ -182,7 +182,7 @@ _K4_RATED = f"""{lexicon_sql(2000)}, occurrences AS (SELECT review_id, unnest({w
 def label_balance(spark: SparkSession, sf: str) -> DataFrame:
     """Distribution and imbalance of the predicted labels."""
     rows = reviews(spark, sf).select("review_id", F.col("text_review").alias("cleaned_text"), "rating_review")
-    labelled = corpus.label_reviews(rows, durable(stars.fit_lexicon(rows, size=2000)))
+    labelled = corpus.label_reviews(rows, durable(stars.fit_lexicon(rows)))
     return corpus.label_balance(labelled)
 
 
@@ -258,7 +258,7 @@ _LABELS_LIST = "[" + ", ".join(f"'{name}'" for name in LABELS) + "]"
     "k6_encode_features",
     f"""WITH {_PREPARED_SQL}, train_words AS (SELECT unnest({words_sql("t")}) AS token FROM split_rows WHERE split = 'train'),
     vocab AS (SELECT token, row_number() OVER (ORDER BY n DESC, token) + 1 AS token_id FROM
-        (SELECT token, count(*) AS n FROM train_words GROUP BY token ORDER BY n DESC, token LIMIT 500)),
+        (SELECT token, count(*) AS n FROM train_words GROUP BY token ORDER BY n DESC, token LIMIT 50000)),
     places AS (SELECT review_id, unnest({words_sql("t")}[1:512]) AS token, unnest(range(1, len({words_sql("t")}[1:512]) + 1)) AS place FROM split_rows),
     ids AS (SELECT review_id, list(coalesce(token_id, 1) ORDER BY place) AS ids FROM places LEFT JOIN vocab USING (token) GROUP BY review_id)
     SELECT s.review_id, s.split, CAST(list_position({_LABELS_LIST}, predicted_sentiment_label) - 1 AS INTEGER) AS label,
@@ -266,7 +266,7 @@ _LABELS_LIST = "[" + ", ".join(f"'{name}'" for name in LABELS) + "]"
 )
 def encode_features(spark: SparkSession, sf: str) -> DataFrame:
     split = durable(corpus.prepare_training_data(_labelled(spark, sf)))
-    features = learning.encode_features(split, vocab_size=500).features
+    features = learning.encode_features(split).features
     return features.select("review_id", "split", "label", F.array_join("input_ids", ",").alias("input_ids"))
 
 

@@ -14,51 +14,65 @@ from placepulse.registry.texts import SQL_SPACE
 from placepulse.schema import LABELS, label_to_id, label_vocab
 from placepulse.session import scratch_path, spread
 
-_GRAM_VOCABULARY = 2000
-
 
 def words_sql(column: str) -> str:
     return f"regexp_extract_all({column}, '[^{SQL_SPACE}]+')"
 
 
+def _grams(source: str, name: str) -> str:
+    """CTEs ``<name>_kept(id, lang, gram)``: the n-grams of one to three letters of a table ``id, lang, text``."""
+    return rf"""{name}_padded AS (SELECT id, lang,
+    string_split(' ' || trim(regexp_replace(lower(text), '[^\p{{L}}]+', ' ', 'g')) || ' ', '') AS p FROM {source}),
+{name}_letters AS (SELECT id, lang, unnest(p) AS a, unnest(p[2:]) AS b, unnest(p[3:]) AS c FROM {name}_padded),
+{name}_grams AS (SELECT id, lang, a AS gram FROM {name}_letters UNION ALL SELECT id, lang, a || b FROM {name}_letters
+    UNION ALL SELECT id, lang, a || b || c FROM {name}_letters WHERE b <> ' '),
+{name}_kept AS (SELECT id, lang, gram FROM {name}_grams WHERE gram IS NOT NULL AND trim(gram) <> '')"""
+
+
 # Naive Bayes over character n-grams spelled out: counts per language, smoothed log-probabilities,
 # the best sum per document. Equal sums go to the first language.
-_LANGUAGE_SQL = rf"""WITH padded AS (SELECT doc_id, lang, text,
-    string_split(' ' || trim(regexp_replace(lower(text), '[^\p{{L}}]+', ' ', 'g')) || ' ', '') AS p FROM documents),
-letters AS (SELECT doc_id, lang, unnest(p) AS a, unnest(p[2:]) AS b, unnest(p[3:]) AS c FROM padded),
-grams AS (SELECT doc_id, lang, a AS gram FROM letters UNION ALL SELECT doc_id, lang, a || b FROM letters
-    UNION ALL SELECT doc_id, lang, a || b || c FROM letters WHERE b <> ' '),
-kept AS (SELECT doc_id, lang, gram FROM grams WHERE gram IS NOT NULL AND trim(gram) <> ''),
-vocab AS (SELECT gram FROM (SELECT gram, count(*) AS n FROM kept GROUP BY gram) ORDER BY n DESC, gram LIMIT {_GRAM_VOCABULARY}),
-counted AS (SELECT doc_id, lang, gram, count(*) AS n FROM kept JOIN vocab USING (gram) GROUP BY ALL),
+def language_sql(asked: str) -> str:
+    """CTE ``detected(id, lang)`` of a table ``asked(id, text)``, the model being that of the documents."""
+    return f"""taught AS (SELECT doc_id AS id, lang, text FROM documents), {_grams("taught", "taught")},
+asked AS (SELECT id, NULL AS lang, text FROM ({asked})), {_grams("asked", "asked")},
+seen AS (SELECT lang, gram, count(*) AS n FROM taught_kept GROUP BY ALL),
+vocab AS (SELECT DISTINCT gram FROM seen),
 langs AS (SELECT lang, count(*) AS docs FROM documents GROUP BY lang),
 pair AS (SELECT lang, gram FROM langs, vocab),
-seen AS (SELECT lang, gram, sum(n) AS n FROM counted GROUP BY ALL),
-total AS (SELECT lang, sum(n) AS n FROM counted GROUP BY lang),
-theta AS (SELECT p.lang, p.gram, ln(coalesce(s.n, 0) + 1) - ln(t.n + {_GRAM_VOCABULARY}) AS w
+total AS (SELECT lang, sum(n) AS n FROM seen GROUP BY lang),
+theta AS (SELECT p.lang, p.gram, ln(coalesce(s.n, 0) + 1) - ln(t.n + (SELECT count(*) FROM vocab)) AS w
     FROM pair p JOIN total t ON p.lang = t.lang LEFT JOIN seen s ON p.lang = s.lang AND p.gram = s.gram),
 prior AS (SELECT lang, ln(docs + 1) - ln((SELECT count(*) FROM documents) + (SELECT count(*) FROM langs)) AS w FROM langs),
-scores AS (SELECT c.doc_id, t.lang, sum(c.n * t.w) + any_value(p.w) AS score
-    FROM counted c JOIN theta t ON c.gram = t.gram JOIN prior p ON p.lang = t.lang GROUP BY c.doc_id, t.lang),
-best AS (SELECT doc_id, lang, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, lang) AS rn FROM scores)
-SELECT d.doc_id, CASE WHEN length(trim(d.text)) < 3 THEN 'unknown' ELSE coalesce(b.lang, 'unknown') END AS detected_language
-FROM documents d LEFT JOIN best b ON d.doc_id = b.doc_id AND b.rn = 1"""
+counted AS (SELECT id, gram, count(*) AS n FROM asked_kept GROUP BY ALL),
+scores AS (SELECT c.id, t.lang, sum(c.n * t.w) + any_value(p.w) AS score
+    FROM counted c JOIN theta t ON c.gram = t.gram JOIN prior p ON p.lang = t.lang GROUP BY c.id, t.lang),
+best AS (SELECT id, lang, row_number() OVER (PARTITION BY id ORDER BY score DESC, lang) AS rn FROM scores),
+detected AS (SELECT d.id, CASE WHEN length(trim(d.text)) < 3 THEN 'unknown' ELSE coalesce(b.lang, 'unknown') END AS lang
+    FROM asked d LEFT JOIN best b ON d.id = b.id AND b.rn = 1)"""
 
 
-@query("l1_detect_language", _LANGUAGE_SQL)
+@query(
+    "l1_detect_language",
+    f"WITH {language_sql('SELECT doc_id AS id, text FROM documents')} SELECT id AS doc_id, lang AS detected_language FROM detected",
+)
 def detect_language(spark: SparkSession, sf: str) -> DataFrame:
     docs = spread(table(spark, sf, "documents"), "doc_id")
-    model = language.fit_language_profiles(docs, vocabulary=_GRAM_VOCABULARY)
+    model = language.fit_language_profiles(docs)
     return language.detect_language(docs.select("doc_id", "text"), model, "text").drop("text")
 
 
+_BODY = r"""regexp_replace(regexp_replace(html, '(?s)<(script|style).*?</(script|style)>', ' ', 'g'), '<[^>]+>', ' ', 'g')"""
+
+
 @query(
     "l1_language_accuracy",
+    f"""WITH {language_sql(f"SELECT page_id AS id, {_BODY} AS text FROM pages")} SELECT round(count(*) FILTER
+    (lang = regexp_extract(html, '<html lang="([a-z]+)"', 1)) / count(*), 6) AS accuracy FROM pages JOIN detected ON page_id = id""",
 )
 def language_accuracy(spark: SparkSession, sf: str) -> DataFrame:
-    """Trained on the documents, measured on every web page by the language its address names."""
+    """Trained on the documents, measured on every web page by the language it names."""
     docs = spread(table(spark, sf, "documents"), "doc_id")
-    model = language.fit_language_profiles(docs, vocabulary=_GRAM_VOCABULARY)
+    model = language.fit_language_profiles(docs)
     pages = spread(table(spark, sf, "pages"), "page_id")
     body = F.regexp_replace(F.regexp_replace("html", "(?s)<(script|style).*?</(script|style)>", " "), "<[^>]+>", " ")
     truth = F.regexp_extract("html", '<html lang="([a-z]+)"', 1)
@@ -108,29 +122,31 @@ def encode_tokens(spark: SparkSession, sf: str) -> DataFrame:
 
 
 
-def lexicon_sql(size: int) -> str:
+def lexicon_sql(size: int | None = None) -> str:
+    """All words, or the most frequent ones."""
+    most = "" if size is None else f" ORDER BY n DESC, word LIMIT {size}"
     return f"""{REVIEWS_SQL}, used AS (SELECT review_id, rating_review,
     unnest(list_distinct({words_sql("text_review")})) AS word FROM reviews),
     lexicon AS (SELECT word, CAST(round(mean) AS INTEGER) AS stars FROM (SELECT word, count(*) AS n,
-    avg(rating_review) AS mean FROM used GROUP BY word ORDER BY n DESC, word LIMIT {size}))"""
+    avg(rating_review) AS mean FROM used GROUP BY word{most}))"""
 
 
-def _stars(size: int) -> str:
+def _stars(size: int | None = None) -> str:
     return f"""WITH {lexicon_sql(size)}, occurrences AS (SELECT review_id, unnest({words_sql("text_review")}) AS word FROM reviews),
     sums AS (SELECT review_id, floor(sum(stars) / count(*) + 0.5) AS mean FROM occurrences JOIN lexicon USING (word) GROUP BY review_id)
     SELECT review_id, CAST(CASE WHEN mean IS NULL THEN 3 ELSE greatest(1, least(5, mean)) END AS INTEGER) AS predicted_rating
     FROM reviews LEFT JOIN sums USING (review_id)"""
 
 
-@query("m1_fit_lexicon", f"WITH {lexicon_sql(2000)} SELECT word, stars FROM lexicon")
+@query("m1_fit_lexicon", f"WITH {lexicon_sql()} SELECT word, stars FROM lexicon")
 def fit_lexicon(spark: SparkSession, sf: str) -> DataFrame:
-    return stars.fit_lexicon(reviews(spark, sf), "text_review", size=2000)
+    return stars.fit_lexicon(reviews(spark, sf), "text_review")
 
 
-@query("m1_score_stars", _stars(2000))
+@query("m1_score_stars", _stars())
 def score_stars(spark: SparkSession, sf: str) -> DataFrame:
     rows = reviews(spark, sf)
-    scored = stars.score_stars(rows, stars.fit_lexicon(rows, "text_review", size=2000), "text_review")
+    scored = stars.score_stars(rows, stars.fit_lexicon(rows, "text_review"), "text_review")
     return scored.select("review_id", "predicted_rating")
 
 

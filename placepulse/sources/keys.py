@@ -18,7 +18,7 @@ from placepulse.operators.sets import fingerprint
 from placepulse.session import durable
 from placepulse.sources.tables import TableStore
 
-BUCKETS = 64
+BUCKETS = 16
 _SCHEMA = "one BIGINT, two BIGINT, part STRING, bucket INT"
 
 
