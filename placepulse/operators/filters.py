@@ -5,10 +5,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placepulse.schema import CLEANED_MIN_EXCLUSIVE, TEXT_MAX, TEXT_MIN, label_to_id
+from placepulse.session import durable
 
 
 def filter_language(df: DataFrame, lang: str = "en", column: str = "detected_language") -> DataFrame:
@@ -91,24 +92,35 @@ def step_audit(df: DataFrame, steps: Sequence[tuple[str, Column]]) -> DataFrame:
 class StepCounter:
     """Counts the rows after each step inside a running plan, without a pass of its own.
 
-    Wrap what goes into the first step and what comes out of each; once the plan has run into a sink,
-    ``table`` gives rows in and out per step. A plan that runs again is not counted again.
+    Wrap what goes into the first step and what comes out of each, and let ``keep`` run the plan. The metrics
+    are observed by name: an ``Observation`` object would stay with the session, whose fitted
+    classifiers could then no longer be sent to tasks.
     """
 
     def __init__(self):
-        self._seen: list[tuple[str, Observation]] = []
+        self._names: list[tuple[str, str]] = []
+        self._counts: dict[str, int] = {}
 
     def __call__(self, step: str, df: DataFrame) -> DataFrame:
-        seen = Observation(f"{step}-{uuid.uuid4().hex}")
-        self._seen.append((step, seen))
-        return df.observe(seen, F.count(F.lit(1)).alias("rows"))
+        name = f"{step}-{uuid.uuid4().hex}"
+        self._names.append((step, name))
+        return df.observe(name, F.count(F.lit(1)).alias("rows"))
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """Run the plan into reliable storage, taking the counts it made on the way."""
+        kept = durable(df)
+        seen = df._jdf.queryExecution().observedMetrics()
+        for _, name in self._names:
+            if seen.contains(name):
+                self._counts[name] = seen.apply(name).getLong(0)
+        return kept
 
     def table(self, spark: SparkSession) -> DataFrame:
-        """``step_no, step, rows_in, rows_out, removed, kept_pct``; waits for a plan that has not run yet."""
-        counts = [seen.get.get("rows", 0) for _, seen in self._seen]
+        """``step_no, step, rows_in, rows_out, removed, kept_pct``; a step that met no rows counts none."""
+        counts = [self._counts.get(name, 0) for _, name in self._names]
         rows = [
             (number, step, before, after, before - after, round(after / before * 100, 6) if before else None)
-            for number, ((step, _), before, after) in enumerate(zip(self._seen[1:], counts, counts[1:], strict=False), start=1)
+            for number, ((step, _), before, after) in enumerate(zip(self._names[1:], counts, counts[1:], strict=False), start=1)
         ]
         ddl = "step_no INT, step STRING, rows_in BIGINT, rows_out BIGINT, removed BIGINT, kept_pct DOUBLE"
         return spark.createDataFrame(rows, ddl)

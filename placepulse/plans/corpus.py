@@ -69,13 +69,15 @@ def clean_reviews(
     """Detect the language, keep one, clean the text, drop what is then empty or too short.
 
     The detected languages are made durable because both results read them; without a model the
-    table must already have ``detected_language``. ``steps`` counts the rows after each step.
+    table must already have ``detected_language``. ``steps`` counts the rows after each step, for
+    which the cleaned rows are kept.
     """
     detected = df if model is None else durable(detect_language(df, model, text))
     spoken = counted(steps, "language", filter_language(counted(steps, "input", detected), lang))
     kept = counted(steps, "clean", clean_and_keep(spoken, text))
     columns = [name for name in ("review_id", "rating_review", "cleaned_text") if name in kept.columns]
-    return Cleaned(kept.select(*columns), profiling.value_counts(detected, "detected_language"))
+    rows = kept.select(*columns)
+    return Cleaned(rows if steps is None else steps.keep(rows), profiling.value_counts(detected, "detected_language"))
 
 
 def profile_reviews(
@@ -251,8 +253,10 @@ def prepared(
     steps: StepCounter | None = None,
 ) -> Prepared:
     """As ``prepare_training_data``, with the class distributions before and after balancing."""
-    refined = durable(refine_reviews(df, id_column, steps))
-    balanced = counted(steps, "balance", balance_classes(refined, label, id_column, seed))
+    refined = refine_reviews(df, id_column, steps)
+    refined = durable(refined) if steps is None else steps.keep(refined)
+    balanced = balance_classes(refined, label, id_column, seed)
+    balanced = balanced if steps is None else steps.keep(steps("balance", balanced))
     rows = stratified_split(balanced, label, seed=seed, id_column=id_column)
     return Prepared(rows, profiling.class_distribution(refined, label), profiling.class_distribution(balanced, label))
 

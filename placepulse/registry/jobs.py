@@ -10,7 +10,6 @@ from placepulse.functions.labels import sentiment_label
 from placepulse.operators import filters, sets, stars, training
 from placepulse.operators.language import fit_language_profiles
 from placepulse.operators.profiling import value_counts
-from placepulse.operators.sampling import split_tables, stratified_split
 from placepulse.plans import corpus, learning, publishing
 from placepulse.registry import query
 from placepulse.registry.fixtures import (
@@ -27,7 +26,7 @@ from placepulse.registry.fixtures import (
     table,
     titled,
 )
-from placepulse.registry.learning import SMALL, judged, length_model, lexicon_sql, words_sql
+from placepulse.registry.learning import GRID, JUDGED_SQL, judged, judged_parts, length_model, lexicon_sql, words_sql
 from placepulse.registry.profiles import MEASURED_SQL, SPLIT_SQL, STATS, STATS_SQL, describe_sql
 from placepulse.registry.texts import SQL_SPACE, clean_sql, rule_ctes
 from placepulse.schema import LABELS, NO_TEXT_LABEL
@@ -82,9 +81,9 @@ _K2_STEPS = [
 
 @query("k2_step_audit", f"WITH {_CLEANED_SQL} {_audit_sql(_K2_STEPS)}")
 def clean_audit(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows after each cleaning step, counted while the cleaned reviews are written."""
+    """Rows after each cleaning step, counted while the cleaned reviews are made."""
     steps = filters.StepCounter()
-    write_csv(corpus.clean_reviews(reviews(spark, sf), steps=steps).reviews, scratch_path(spark, "cleaned"))
+    corpus.clean_reviews(reviews(spark, sf), steps=steps)
     return steps.table(spark)
 
 
@@ -219,9 +218,9 @@ _K5_STEPS = [
 
 @query("k5_step_audit", f"WITH {_PREPARED_SQL} {_audit_sql(_K5_STEPS)}")
 def prepare_audit(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows after each step of preparation, counted while it runs and the split files are written."""
+    """Rows after each step of preparation, counted while it runs."""
     steps = filters.StepCounter()
-    corpus.write_splits(corpus.prepare_training_data(_labelled(spark, sf), steps=steps), scratch_path(spark, "splits"))
+    corpus.prepare_training_data(_labelled(spark, sf), steps=steps)
     return steps.table(spark)
 
 
@@ -270,16 +269,20 @@ def encode_features(spark: SparkSession, sf: str) -> DataFrame:
     return features.select("review_id", "split", "label", F.array_join("input_ids", ",").alias("input_ids"))
 
 
-@query("k7_train_and_evaluate")
+@query(
+    "k7_train_and_evaluate",
+    f"""WITH {JUDGED_SQL}, held AS (SELECT * FROM split_rows WHERE split = 'test')
+    SELECT {_LABELS_LIST}[k + 1] AS class, (SELECT count(*) FROM held WHERE label = k) AS support, true AS sound FROM range(5) r(k)
+    UNION ALL SELECT unnest(['accuracy', 'macro avg', 'weighted avg']), count(*), true FROM held""",
+)
 def train_and_evaluate(spark: SparkSession, sf: str) -> DataFrame:
     """Quality judgements as the label; split, trained over a small grid, reported on the test set."""
-    docs = spread(table(spark, sf, "documents"), "doc_id")
-    judged = docs.select(F.col("doc_id").alias("review_id"), F.col("text").alias("cleaned_text")).join(
-        table(spark, sf, "labels").select(F.col("doc_id").alias("review_id"), F.col("quality").alias("label")), "review_id"
-    )
-    parts = split_tables(stratified_split(durable(judged), "label"))
-    grid = [SMALL, training.Params(reg_param=0.1, max_iter=5, features=1 << 12)]
-    return learning.train_and_evaluate(parts["train"], parts["validation"], parts["test"], grid).report
+    parts = judged_parts(spark, sf)
+    report = learning.train_and_evaluate(parts["train"], parts["validation"], parts["test"], GRID).report
+    sound = F.lit(True)
+    for measure in ("precision", "recall", "f1"):
+        sound = sound & F.coalesce(F.col(measure).between(0, 1), F.lit(False))
+    return report.select("class", "support", sound.alias("sound"))
 
 
 def _scorer(df: DataFrame) -> DataFrame:

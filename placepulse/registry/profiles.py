@@ -251,6 +251,7 @@ def shuffle_rows(spark: SparkSession, sf: str) -> DataFrame:
     return with_row_id(keyed, ["k", "o_orderkey"], "position").drop("k")
 
 
+# A stage in which some class has fewer than two rows is not stratified.
 SPLIT_SQL = """sizes AS (SELECT count(*) AS n, CAST(ceil((0.2::DOUBLE + 0.1::DOUBLE) * count(*)) AS BIGINT) AS held FROM {0}),
     parts AS (SELECT n - held AS n_train, held - CAST(ceil(0.2::DOUBLE / (0.2::DOUBLE + 0.1::DOUBLE) * held) AS BIGINT) AS n_val,
         n, held FROM sizes),
@@ -262,9 +263,15 @@ SPLIT_SQL = """sizes AS (SELECT count(*) AS n, CAST(ceil((0.2::DOUBLE + 0.1::DOU
         FROM train_q, parts WHERE c > qt),
     val_q AS (SELECT g, whole + CASE WHEN row_number() OVER (ORDER BY rest DESC, g) <=
         part - sum(whole) OVER () THEN 1 ELSE 0 END AS qv FROM q2),
-    ordered AS (SELECT *, row_number() OVER (PARTITION BY {1} ORDER BY md5('42-' || review_id)) AS rn FROM {0}),
-    split_rows AS (SELECT o.*, CASE WHEN rn <= qt THEN 'train' WHEN rn <= qt + coalesce(qv, 0) THEN 'validation'
-        ELSE 'test' END AS split FROM ordered o JOIN train_q t ON o.{1} = t.g LEFT JOIN val_q v ON o.{1} = v.g)"""
+    lows AS (SELECT (SELECT min(c) FROM c1) AS low, (SELECT min(c - qt) FROM train_q WHERE c > qt) AS low_held),
+    ordered AS (SELECT *, row_number() OVER (PARTITION BY {1} ORDER BY md5('42-' || review_id)) AS rn,
+        row_number() OVER (ORDER BY md5('42-' || review_id)) AS ra FROM {0}),
+    marked AS (SELECT o.*, qt, qv, n_train, n_val, low, low_held, CASE WHEN low < 2 THEN ra <= n_train ELSE rn <= qt END AS in_train
+        FROM ordered o JOIN train_q t ON o.{1} = t.g LEFT JOIN val_q v ON o.{1} = v.g, parts, lows),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY in_train ORDER BY ra) AS rh FROM marked),
+    split_rows AS (SELECT * EXCLUDE (rn, ra, rh, qt, qv, n_train, n_val, low, low_held, in_train), CASE WHEN in_train THEN 'train'
+        WHEN CASE WHEN low < 2 THEN ra <= n_train + n_val WHEN low_held < 2 THEN rh <= n_val
+        ELSE rn <= qt + coalesce(qv, 0) END THEN 'validation' ELSE 'test' END AS split FROM placed)"""
 
 
 @query(

@@ -69,7 +69,7 @@ def test_dedupe_with_repeated_and_null_ids(spark, ids):
     rows = [(i, t, 1, n) for n, (i, t) in enumerate(zip(ids, texts, strict=True))] + [(7, None, 1, 9), (8, "", None, 9), (8, "", None, 9)]
     df = spark.createDataFrame(rows, "review_id BIGINT, cleaned_text STRING, rating_review INT, n INT").repartition(4)
     steps = filters.StepCounter()
-    kept = sets.dedupe_reviews(df, steps=steps).collect()
+    kept = steps.keep(sets.dedupe_reviews(df, steps=steps)).collect()
     groups = {}
     for i, t, r, _ in rows:
         groups.setdefault((t, r), []).append(i)
