@@ -29,7 +29,7 @@ SLACK = 1.15
 PRIOR_CHARS = 60
 #: Model entries that are broadcast at once, 24 bytes each.
 SHARD_ENTRIES = 4_000_000
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 START = "\u0002"
 
 _FACTORS = mix(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
