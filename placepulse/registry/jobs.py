@@ -17,6 +17,7 @@ from placepulse.registry.fixtures import (
     ATTRACTIONS_SQL,
     LABEL_CASE,
     PUBLISHED_SQL,
+    RATING_SQL,
     REVIEWS_SQL,
     TITLED_SQL,
     aliases,
@@ -26,7 +27,7 @@ from placepulse.registry.fixtures import (
     table,
     titled,
 )
-from placepulse.registry.learning import GRID, JUDGED_SQL, judged, judged_parts, length_model, lexicon_sql, words_sql
+from placepulse.registry.learning import GRID, JUDGED_SQL, judged, judged_parts, language_sql, length_model, lexicon_sql, words_sql
 from placepulse.registry.profiles import MEASURED_SQL, SPLIT_SQL, STATS, STATS_SQL, describe_sql
 from placepulse.registry.texts import SQL_SPACE, clean_sql, rule_ctes
 from placepulse.schema import LABELS, NO_TEXT_LABEL
@@ -87,7 +88,11 @@ def clean_audit(spark: SparkSession, sf: str) -> DataFrame:
     return steps.table(spark)
 
 
-@query("k2_clean_detected_reviews")
+_DETECTED_REVIEWS = f"""{language_sql("SELECT doc_id AS id, text FROM documents")}, reviews AS (SELECT doc_id AS review_id,
+    text AS text_review, {RATING_SQL} AS rating_review, d.lang AS detected_language FROM documents JOIN detected d ON id = doc_id)"""
+
+
+@query("k2_clean_detected_reviews", f"WITH {_CLEANED_SQL.replace(REVIEWS_SQL, _DETECTED_REVIEWS)} SELECT * FROM cleaned")
 def clean_detected_reviews(spark: SparkSession, sf: str) -> DataFrame:
     """With the language detected rather than given."""
     rows = reviews(spark, sf)
