@@ -102,16 +102,35 @@ def with_row_id(df: DataFrame, order: Sequence[str], name: str = "row_id") -> Da
         .drop("_content", "_came")
         .withColumn("_at", F.monotonically_increasing_id())
     )
-    ranged = durable(ranged)
-    per_partition = 2**33  # monotonically_increasing_id keeps the partition above bit 33
-    part = F.floor(F.col("_at") / per_partition)
-    sizes = ranged.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
+    return _numbered(durable(ranged), F.col("_at"), df.columns, name)
+
+
+_PER_PARTITION = 2**33  # monotonically_increasing_id keeps the partition above bit 33
+
+
+def _numbered(df: DataFrame, at: Column, columns: Sequence[str], name: str) -> DataFrame:
+    """Dense ids from places: the row's number in its partition plus the rows of the partitions before."""
+    part = F.floor(at / _PER_PARTITION)
+    sizes = df.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     # One row per partition, so the window and the broadcast are bounded by the partition count.
-    offsets = sizes.select(
-        "_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
-    )
-    numbered = ranged.withColumn("_part", part).join(F.broadcast(offsets), "_part")
-    return numbered.select(
-        *df.columns, (F.col("_offset") + F.col("_at") % per_partition).cast("bigint").alias(name)
-    )
+    offsets = durable(sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")))
+    # The row travels as one struct, so its own names can't meet those used here.
+    placed = df.select(F.struct(*columns).alias("_row"), at.alias("_at"))
+    numbered = placed.withColumn("_part", F.floor(F.col("_at") / _PER_PARTITION)).join(F.broadcast(offsets), "_part")
+    row_id = (F.col("_offset") + F.col("_at") % _PER_PARTITION).cast("bigint")
+    return numbered.select("_row.*", row_id.alias(name))
+
+
+def with_place_id(df: DataFrame, name: str = "row_id") -> DataFrame:
+    """Dense ids 0, 1, ... by where a row lies in the files it is read from, without a shuffle.
+
+    One pass counts the rows of every split, the second numbers them. The same files give the same ids. ``df``
+    must be read from files through projections, filters, unions and broadcast joins only: behind a
+    shuffle a row's place may differ from run to run, which raises.
+    """
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    moved = [word for word in ("Exchange", "SortMergeJoin", "ShuffledHashJoin", "Aggregate", "Window", "Limit") if word in plan]
+    if moved:
+        raise ValueError(f"rows have no fixed place behind {', '.join(moved)}; use with_row_id")
+    return _numbered(df, F.monotonically_increasing_id(), df.columns, name)

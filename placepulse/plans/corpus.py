@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from placepulse.functions.labels import sentiment3, sentiment_label
 from placepulse.functions.text import clean_again, clean_text, text_length, word_count
 from placepulse.operators import profiling
-from placepulse.operators.columns import resolve_text_column, select_columns, with_row_id
+from placepulse.operators.columns import resolve_text_column, select_columns, with_place_id, with_row_id
 from placepulse.operators.filters import StepCounter, counted, derive_and_keep, filter_language, filter_text_length
 from placepulse.operators.language import LanguageModel, detect_language
 from placepulse.operators.sampling import balance_classes, split_tables, stratified_split
@@ -37,10 +37,20 @@ def merge_tables(tables: Sequence[DataFrame]) -> DataFrame:
     return union_sources(*[select_columns(table, MERGED_COLUMNS) for table in tables])
 
 
-def merge_reviews(spark: SparkSession, sources: Sequence[CsvSource], output: str | None = None) -> DataFrame:
-    """Read the review files, keep text and rating, give every row an id; optionally write CSV."""
+def merge_reviews(
+    spark: SparkSession, sources: Sequence[CsvSource], output: str | None = None, ids: str = "order"
+) -> DataFrame:
+    """Read the review files, keep text and rating, give every row an id; optionally write CSV.
+
+    Ids follow the ``order`` of text and rating, which sorts the texts, or the ``place`` of the row in the files, source
+    after source, for which no row is moved.
+    """
+    if ids not in ("order", "place"):
+        raise ValueError(f"ids must be order or place, not {ids!r}")
     tables = [read_reviews_csv(spark, source.path, encoding=source.encoding) for source in sources]
-    merged = with_row_id(merge_tables(tables), list(MERGED_COLUMNS), "review_id")
+    merged = merge_tables(tables)
+    by_order = ids == "order"
+    merged = with_row_id(merged, list(MERGED_COLUMNS), "review_id") if by_order else with_place_id(merged, "review_id")
     if output:
         write_csv(merged, output)
     return merged

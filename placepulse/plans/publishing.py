@@ -18,7 +18,7 @@ from placepulse.schema import ATTRACTIONS, NEW_REVIEWS, REVIEWS, SCORED_REVIEWS
 from placepulse.session import durable
 from placepulse.sources.files import read_reviews_csv, write_scored
 from placepulse.sources.keys import KeyIndex
-from placepulse.sources.tables import TableStore
+from placepulse.sources.tables import Change, TableStore
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -75,25 +75,29 @@ def publish_reviews(
     """Normalize titles, add new attractions, add the reviews, rebuild the statistics.
 
     ``append`` adds to the published reviews; ``replace`` makes this batch all there is, unless
-    it is empty. ``part`` names the batch, so that publishing it again changes nothing.
+    it is empty. ``part`` names the batch, so that publishing it again changes nothing. The three
+    tables change in one commit; if another writer publishes meanwhile, the work is done again on what that left.
     """
     if mode not in ("append", "replace"):
         raise ValueError(f"mode must be append or replace, not {mode!r}")
     scored = durable(normalize_titles(scored, aliases))
+    return store.changed(lambda change: _published(scored, change, mode, part))
 
-    known = store.read_table("attractions", ATTRACTIONS)
+
+def _published(scored: DataFrame, tables: Change, mode: str, part: str | None) -> Published:
+    known = tables.read_table("attractions", ATTRACTIONS)
     titles = durable(new_titles(scored, known))
     if not titles.isEmpty():
-        store.replace_table(extend_dimension(known, titles), "attractions")
-    attractions = store.read_table("attractions", ATTRACTIONS)
+        tables.replace_table(extend_dimension(known, titles), "attractions")
+    attractions = tables.read_table("attractions", ATTRACTIONS)
 
     rows = attach_attraction_id(scored, attractions).select(*REVIEWS.fieldNames())
     if mode == "replace":
-        store.replace_table(rows, "reviews", skip_if_empty=True)
+        tables.replace_table(rows, "reviews", skip_if_empty=True)
     else:
-        store.append_table(rows, "reviews", part)
-    reviews = store.read_table("reviews", REVIEWS)
+        tables.append_table(rows, "reviews", part)
+    reviews = tables.read_table("reviews", REVIEWS)
 
     stats = sentiment_stats(attractions, reviews)
-    store.replace_table(stats, "sentiment_stats")
-    return Published(attractions, reviews, store.read_table("sentiment_stats", stats.schema))
+    tables.replace_table(stats, "sentiment_stats")
+    return Published(attractions, reviews, tables.read_table("sentiment_stats", stats.schema))

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from placepulse.functions.labels import sentiment_label
 from placepulse.operators import filters, sets, stars, training
+from placepulse.operators.joins import lookup_join, normalize_titles
 from placepulse.operators.language import fit_language_profiles
 from placepulse.operators.profiling import value_counts
 from placepulse.plans import corpus, learning, publishing
@@ -30,7 +31,7 @@ from placepulse.registry.fixtures import (
 from placepulse.registry.learning import GRID, JUDGED_SQL, judged, judged_parts, language_sql, length_model, lexicon_sql, words_sql
 from placepulse.registry.profiles import MEASURED_SQL, SPLIT_SQL, STATS, STATS_SQL, describe_sql
 from placepulse.registry.texts import SQL_SPACE, clean_sql, rule_ctes
-from placepulse.schema import LABELS, NO_TEXT_LABEL
+from placepulse.schema import ATTRACTIONS, LABELS, NO_TEXT_LABEL
 from placepulse.session import durable, scratch_path, spread
 from placepulse.sources.files import read_reviews_csv, read_scored_csv, write_csv
 from placepulse.sources.tables import TableStore
@@ -52,6 +53,38 @@ def merge_reviews(spark: SparkSession, sf: str) -> DataFrame:
     return corpus.merge_reviews(spark, [corpus.CsvSource(first), corpus.CsvSource(second)])
 
 
+@query(
+    "k1_merge_in_place",
+    f"""WITH {REVIEWS_SQL}, merged AS (SELECT 0 AS delivery, text_review, rating_review FROM reviews
+    UNION ALL SELECT 1, text, CAST(1 + turn % 5 AS INTEGER) FROM conversations),
+    counts AS (SELECT delivery, count(*) AS n, count(text_review) AS texts, CAST(sum(rating_review) AS BIGINT) AS stars FROM merged GROUP BY 1)
+    SELECT delivery, n AS ids, texts, stars, CAST(sum(n) OVER (ORDER BY delivery) - n AS BIGINT)
+    AS first_id, CAST(sum(n) OVER (ORDER BY delivery) - 1 AS BIGINT) AS last_id, true AS repeatable FROM counts""",
+)
+def merge_in_place(spark: SparkSession, sf: str) -> DataFrame:
+    """The deliveries of ``k1_merge_reviews`` with ids by place: dense, one delivery after the other, alike when read again."""
+    first, second = scratch_path(spark, "first"), scratch_path(spark, "second")
+    write_csv(reviews(spark, sf).select("source", "rating_review", "text_review"), first)
+    turns = table(spark, sf, "conversations").withColumn("rating_review", (F.col("turn") % 5 + 1).cast("int"))
+    write_csv(turns.select("role", F.col("text").alias("text_review"), "rating_review"), second)
+    sources = [corpus.CsvSource(first), corpus.CsvSource(second)]
+    size = reviews(spark, sf).count()
+
+    def summary(again: int) -> DataFrame:
+        merged = corpus.merge_reviews(spark, sources, ids="place").withColumn("again", F.lit(again))
+        return merged.withColumn("delivery", (F.col("review_id") >= size).cast("int"))
+
+    alike = F.bit_xor(F.xxhash64("review_id", "text_review", "rating_review"))
+    counts = summary(0).unionByName(summary(1)).groupBy("delivery", "again").agg(
+        F.countDistinct("review_id").alias("ids"), F.count("text_review").alias("texts"), F.sum("rating_review").alias("stars"),
+        F.min("review_id").alias("first_id"), F.max("review_id").alias("last_id"), alike.alias("_rows"),
+    )
+    measures = ("ids", "texts", "stars", "first_id", "last_id")
+    return counts.groupBy("delivery").agg(
+        *(F.max(name).alias(name) for name in measures), (F.min("_rows") == F.max("_rows")).alias("repeatable")
+    )
+
+
 _CLEAN, _CLEAN_LAST = clean_sql("english")
 _CLEANED_SQL = f"""{REVIEWS_SQL}, english AS (SELECT review_id, rating_review, text_review AS t FROM reviews
     WHERE detected_language = 'en'), {_CLEAN}, cleaned AS (SELECT review_id, rating_review, t AS cleaned_text
@@ -367,6 +400,45 @@ def publish_stats(spark: SparkSession, sf: str) -> DataFrame:
     return _publish(spark, sf).stats
 
 
+_REPLACED_SQL = f"""{_PUBLISHED_NOW}, later AS (SELECT * FROM placed WHERE attraction_id % 2 = 1),
+    counts AS (SELECT attraction_id, {STATS_SQL}, count(*) AS total FROM later GROUP BY 1)"""
+
+
+@query(
+    "k9_replace_reviews",
+    f"""WITH {_REPLACED_SQL} SELECT p.id AS attraction_id, p.title, {", ".join(f"coalesce({name}, 0) AS {name}" for name in [*STATS, "total"])}
+    FROM places p LEFT JOIN counts c ON c.attraction_id = p.id""",
+)
+def replace_reviews(spark: SparkSession, sf: str) -> DataFrame:
+    """All new reviews published, then replaced by those of every other attraction, then by an empty batch, which is ignored."""
+    store, renames = _store(spark, sf), aliases(spark, sf)
+    batch = titled(spark, sf).select("title", "text_review", "source")
+    scored = durable(publishing.score_new_reviews(batch, published(spark, sf), _scorer))
+    first = publishing.publish_reviews(scored, store, renames)
+    odd = first.attractions.where("id % 2 = 1").select("title")
+    later = durable(lookup_join(normalize_titles(scored, renames), odd, ["title"], "left_semi"))
+    publishing.publish_reviews(later, store, renames, mode="replace")
+    publishing.publish_reviews(later.where("false"), store, renames, mode="replace")
+    stats = store.read_table("sentiment_stats", first.stats.schema)
+    places = store.read_table("attractions", ATTRACTIONS).select(F.col("id").alias("attraction_id"), "title")
+    return lookup_join(stats, places, ["attraction_id"], "inner")
+
+
+@query(
+    "s10_store_upkeep",
+    f"WITH {REVIEWS_SQL} SELECT review_id, text_review, rating_review, 1 AS parts FROM reviews",
+)
+def store_upkeep(spark: SparkSession, sf: str) -> DataFrame:
+    """Reviews added in five parts, one of them twice; parts merged, what no commit names removed."""
+    store = TableStore(spark, scratch_path(spark, "store"))
+    rows = reviews(spark, sf).select("review_id", "text_review", "rating_review")
+    for part in (1, 2, 3, 4, 5, 3):
+        store.append_table(rows.where(F.col("rating_review") == part), "reviews", f"stars-{part}")
+    store.compact("reviews", rows.schema)
+    store.vacuum(keep=1, older_than=0)
+    return store.read_table("reviews", rows.schema).withColumn("parts", F.lit(len(store.parts("reviews"))))
+
+
 @query("k9_incremental_stream", f"WITH {_PUBLISHED_NOW} SELECT * FROM placed")
 def incremental_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The same files offered to the stream twice: the second run finds nothing new."""

@@ -43,11 +43,11 @@ class KeyIndex:
         """Index the parts that are not yet; the folders of all parts, on request without one."""
         spark, folders = self.store.spark, []
         for part in self.store.parts(self.table):
-            if part.rsplit("/", 1)[1] == without_part:
+            if part[0] == without_part:
                 continue
             folder = self.store.key_folder(self.table, part)
             if not self.store.complete(folder):
-                rows = self._hashed(spark.read.parquet(part).select(*self.keys))
+                rows = self._hashed(spark.read.parquet(self.store.folder(self.table, part)).select(*self.keys))
                 # One exchange: rows of a bucket meet, equal ones are dropped and the rest is sorted there.
                 dealt = rows.repartition("bucket").distinct().sortWithinPartitions("bucket", "one")
                 dealt.write.mode("overwrite").partitionBy("bucket").parquet(folder)
