@@ -160,7 +160,9 @@ def stratified_split(
     key = order_key(id_column, seed)
     histogram = _histogram(df, _group(F.col(label)), key)
     counts = durable(_class_counts(histogram))
-    size = counts.agg(F.sum("_n").alias("n"), F.min("_n").alias("low")).first()
+    size = counts.agg(F.sum("_n").alias("n"), F.min("_n").alias("low"), F.count(F.lit(1)).alias("classes")).first()
+    if size["classes"] > CLASS_ROWS:  # the shares of all classes are ranked in one task
+        raise ValueError(f"{size['classes']} classes in {label!r}; at most {CLASS_ROWS} can share a split")
     if not size["n"]:
         return df.withColumn("split", F.lit(None).cast("string"))
     n_train, n_val, n_test = split_sizes(size["n"], test_size, val_size)

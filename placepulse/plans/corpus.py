@@ -18,7 +18,7 @@ from placepulse.operators.sampling import balance_classes, split_tables, stratif
 from placepulse.operators.sets import dedupe_reviews, fingerprint, union_sources
 from placepulse.operators.stars import score_stars
 from placepulse.schema import CLEANED_MIN_EXCLUSIVE, SEED, TEXT_MIN
-from placepulse.session import durable
+from placepulse.session import durable, job_scratch
 from placepulse.sources.files import read_reviews_csv, write_csv
 
 MERGED_COLUMNS = ("text_review", "rating_review")
@@ -274,6 +274,22 @@ def prepared(
 SPLITS = ("train", "validation", "test")
 
 
+def prepare_to_files(
+    df: DataFrame, folder: str, label: str = "predicted_sentiment_label", id_column: str = "review_id", seed: int = SEED
+) -> dict[str, str]:
+    """The whole preparation into files: the three splits, and the classes before and after balancing.
+
+    Nothing else is left when it ends or fails. Returns the path of each table.
+    """
+    with job_scratch(df.sparkSession):
+        found = prepared(df, label, id_column, seed)
+        paths = write_splits(durable(found.rows), folder)
+        for moment, table in (("before", found.before), ("after", found.after)):
+            paths[moment] = f"{folder}/classes_{moment}"
+            write_csv(table, paths[moment])
+    return paths
+
+
 def write_splits(rows: DataFrame, folder: str) -> dict[str, str]:
     """One CSV file set per part of a split table, label last; the path of each."""
     paths = {}

@@ -15,7 +15,7 @@ from placepulse.operators.joins import attach_attraction_id, new_reviews, normal
 from placepulse.operators.profiling import sentiment_stats
 from placepulse.operators.sets import extend_dimension, new_titles, union_sources
 from placepulse.schema import ATTRACTIONS, NEW_REVIEWS, REVIEWS, SCORED_REVIEWS
-from placepulse.session import durable
+from placepulse.session import durable, job_scratch
 from placepulse.sources.files import read_reviews_csv, write_scored
 from placepulse.sources.keys import KeyIndex
 from placepulse.sources.tables import Change, TableStore
@@ -80,8 +80,9 @@ def publish_reviews(
     """
     if mode not in ("append", "replace"):
         raise ValueError(f"mode must be append or replace, not {mode!r}")
-    scored = durable(normalize_titles(scored, aliases))
-    return store.changed(lambda change: _published(scored, change, mode, part))
+    with job_scratch(store.spark):  # all three tables are read from the store afterwards
+        scored = durable(normalize_titles(scored, aliases))
+        return store.changed(lambda change: _published(scored, change, mode, part))
 
 
 def _published(scored: DataFrame, tables: Change, mode: str, part: str | None) -> Published:

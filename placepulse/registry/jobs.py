@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +33,7 @@ from placepulse.registry.profiles import MEASURED_SQL, SPLIT_SQL, STATS, STATS_S
 from placepulse.registry.texts import SQL_SPACE, clean_sql, rule_ctes
 from placepulse.schema import ATTRACTIONS, LABELS, NO_TEXT_LABEL
 from placepulse.session import durable, scratch_path, spread
+from placepulse.sources import files
 from placepulse.sources.files import read_reviews_csv, read_scored_csv, write_csv
 from placepulse.sources.tables import TableStore
 from placepulse.streaming.incremental import run_available
@@ -288,6 +289,45 @@ def split_files(spark: SparkSession, sf: str) -> DataFrame:
     return sets.union_sources(*parts)
 
 
+@query(
+    "k5_prepare_to_files",
+    f"""WITH {_PREPARED_SQL} SELECT 'split' AS kind, split AS item, count(*) AS rows FROM split_rows GROUP BY 2
+    UNION ALL SELECT 'before', predicted_sentiment_label, count(*) FROM usable GROUP BY 2
+    UNION ALL SELECT 'after', predicted_sentiment_label, count(*) FROM balanced GROUP BY 2""",
+)
+def prepare_to_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Sizes of what the whole job wrote; its intermediate results are gone by then."""
+    paths = corpus.prepare_to_files(_labelled(spark, sf), scratch_path(spark, "prepared"))
+    rows = F.count(F.lit(1)).alias("rows")
+    parts = [read_reviews_csv(spark, paths[name], _SPLIT).agg(rows).select(F.lit("split").alias("kind"), F.lit(name).alias("item"), "rows")
+             for name in corpus.SPLITS]
+    for moment in ("before", "after"):
+        classes = spark.read.option("header", True).csv(paths[moment])
+        parts.append(classes.select(F.lit(moment).alias("kind"), F.col(classes.columns[0]).alias("item"), F.col("count").cast("bigint").alias("rows")))
+    return sets.union_sources(*parts)
+
+
+@query(
+    "s1_csv_account",
+    f"WITH {REVIEWS_SQL} SELECT source, count(*) AS rows, 2 * count(*) AS cells, count(*) FILTER (review_id % 3 = 0) AS misshapen "
+    "FROM reviews GROUP BY 1",
+)
+def csv_account(spark: SparkSession, sf: str) -> DataFrame:
+    """A delivery of one file set per source, a third of whose rows has a cell too many."""
+    folder = scratch_path(spark, "delivery")
+    extra = F.when(F.col("review_id") % 3 == 0, ",extra").otherwise("")
+    lines = reviews(spark, sf).select("source", F.concat(F.col("review_id"), F.lit(","), F.col("rating_review"), extra).alias("value"))
+    # The header is the first line of every file.
+    lines = lines.withColumn("value", F.concat(F.lit("id,rating\n"), "value")).repartition(4, "source")
+    found = durable(lines.withColumn("_first", F.row_number().over(Window.partitionBy("source").orderBy("value"))))
+    first, rest = found.where("_first = 1"), found.where("_first > 1").withColumn("value", F.substring_index("value", "\n", -1))
+    whole = first.unionByName(rest).repartition("source").sortWithinPartitions("source", "_first").drop("_first")
+    whole.write.partitionBy("source").text(folder)
+    counts = files.account_csv(spark, f"{folder}/*/*.txt")
+    source = F.regexp_extract("file", "source=([^/]*)", 1).alias("source")
+    return counts.groupBy(source).agg(*(F.sum(name).alias(name) for name in ("rows", "cells", "misshapen")))
+
+
 _LABELS_LIST = "[" + ", ".join(f"'{name}'" for name in LABELS) + "]"
 
 

@@ -39,21 +39,57 @@ def read_reviews_csv(
     ``write_parquet`` once.
     """
 
-    def scan(paths: str | list[str]) -> DataFrame:
-        reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
-        return reader.option("encoding", encoding).option("mode", "PERMISSIVE").csv(paths)
+    groups = _by_header(spark, path, encoding, multi_line)
+    tables = [_typed(_scan(spark, group, encoding, multi_line), schema) for group in groups.values()]
+    return reduce(DataFrame.unionByName, tables) if tables else _typed(_scan(spark, path, encoding, multi_line), schema)
 
+
+def account_csv(
+    spark: SparkSession, path: str | list[str], encoding: str = "UTF-8", multi_line: bool = True
+) -> DataFrame:
+    """``file, rows, cells, misshapen`` per CSV file that has rows: ``cells`` are those not null, rows with more or fewer cells than the header are misshapen.
+
+    ``read_reviews_csv`` reads such rows without the cells too many, and with null for those that lack. Every
+    file is parsed once, its cells are not moved.
+    """
+    parts = []
+    for header, group in _by_header(spark, path, encoding, multi_line).items():
+        names = [f"c{i}" for i in range(len(header))]
+        fields = [T.StructField(name, T.StringType()) for name in [*names, "_misshapen"]]
+        reader = _reader(spark, encoding, multi_line).option("columnNameOfCorruptRecord", "_misshapen")
+        # Null cells too are parsed, since every column takes part in the sum.
+        rows = reader.schema(T.StructType(fields)).csv(group)
+        cells = reduce(lambda a, b: a + b, [F.col(name).isNotNull().cast("long") for name in names])
+        parts.append(rows.select(F.col("_metadata.file_path").alias("file"), "_misshapen", cells.alias("cells")))
+    if not parts:
+        return spark.createDataFrame([], "file STRING, rows BIGINT, cells BIGINT, misshapen BIGINT")
+    counts = [F.count(F.lit(1)).alias("rows"), F.sum("cells").alias("cells"), F.count("_misshapen").alias("misshapen")]
+    return reduce(DataFrame.unionByName, parts).groupBy("file").agg(*counts)
+
+
+def _reader(spark: SparkSession, encoding: str, multi_line: bool):
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
+    return reader.option("encoding", encoding).option("mode", "PERMISSIVE")
+
+
+def _scan(spark: SparkSession, paths: str | list[str], encoding: str, multi_line: bool) -> DataFrame:
+    return _reader(spark, encoding, multi_line).csv(paths)
+
+
+def _by_header(
+    spark: SparkSession, path: str | list[str], encoding: str, multi_line: bool
+) -> dict[tuple[str, ...], list[str]]:
+    """The files below a path by their header; those without any line are left out."""
     # Lists the files; their content is pruned.
     listed = spark.read.format("binaryFile").load(path).select("path").collect()
     files = [re.sub(r"([\\{}\[\]*?])", r"\\\1", row["path"]) for row in listed]
     with ThreadPoolExecutor(HEADERS_AT_ONCE) as pool:
-        headers = list(pool.map(lambda file: tuple(scan(file).columns), files))
+        headers = list(pool.map(lambda file: tuple(_scan(spark, file, encoding, multi_line).columns), files))
     groups: dict[tuple[str, ...], list[str]] = {}
     for file, header in zip(files, headers, strict=True):
         if header:
             groups.setdefault(header, []).append(file)
-    tables = [_typed(scan(group), schema) for group in groups.values()]
-    return reduce(DataFrame.unionByName, tables) if tables else _typed(scan(path), schema)
+    return groups
 
 
 def _typed(raw: DataFrame, schema: T.StructType) -> DataFrame:
