@@ -17,6 +17,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from placepulse.llm.common import saved
+from placepulse.operators.joins import lookup_join
+
 END = b"\r\n\r\n"
 SEGMENT_BYTES = 64 * 1024
 CHUNK_BYTES = 8 * 1024
@@ -84,7 +87,8 @@ def write_warc(
         F.col(url_column).alias("_url"),
         F.coalesce(F.col(text_column), F.lit("")).cast("binary").alias("_payload"),
     ).withColumn("_digest", base32_sha1(F.col("_payload")))
-    # Only ids and digests are grouped; the payloads move only if the repeated digests are many.
+    # Only ids and digests are grouped. The payloads move only if the list of repeated digests is too large to
+    # broadcast, and then those of one digest are spread.
     repeated = (
         base.where(size >= min_revisit_bytes)
         .groupBy("_digest")
@@ -92,7 +96,7 @@ def write_warc(
         .where("_n > 1 AND _first IS NOT NULL")
         .drop("_n")
     )
-    decided = base.join(repeated, "_digest", "left").withColumn(
+    decided = lookup_join(base, saved(repeated, "repeated"), ["_digest"], "left").withColumn(
         "_revisit",
         F.col("_first").isNotNull() & ~F.col("_first").eqNullSafe(F.col("_id")) & (size >= min_revisit_bytes),
     )
