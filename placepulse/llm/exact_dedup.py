@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from placepulse.llm.common import SPACE, saved, without
+from placepulse.operators.joins import HOT_SHARE
 
 SALTS = 16
 
@@ -68,7 +69,7 @@ def find_copies(
     if some:
         alike = base.join(collided.select("_digest").distinct(), "_digest", "left_semi")
         members = without(members, collided, {"_digest": F.col("_digest")})
-    found = members.join(plain, "_digest", "left").select("_id", "_keep", "_n", "_sha")
+    found = _looked_up(members, plain)
     if some:
         rest = alike.join(collided, ["_digest", "_text"])
         found = found.unionByName(rest.select("_id", "_keep", "_n", sha256(F.col("_text")).alias("_sha")))
@@ -82,6 +83,23 @@ def find_copies(
     )
 
 
+def _looked_up(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """``_id, _keep, _n, _sha`` of all members; without a group the middle two are null.
+
+    Groups with more than a thousandth of all grouped rows, of which there are fewer than a thousand, are
+    broadcast. Their members need no other partner and are spread over the shuffle of the rest.
+    """
+    total = groups.agg(F.sum("_n")).scalar()
+    hot = groups.where(F.col("_n") > total * HOT_SHARE).toDF("_digest", "_hot_keep", "_hot_n")
+    marked = members.join(F.broadcast(hot), "_digest", "left")
+    anywhere = F.concat(F.lit("-"), F.spark_partition_id().cast("string"))
+    marked = marked.withColumn("_digest", F.when(F.col("_hot_n").isNull(), F.col("_digest")).otherwise(anywhere))
+    joined = marked.join(groups, "_digest", "left")
+    # A hot group may have no id to keep, so its size decides.
+    keep = F.when(F.col("_hot_n").isNull(), F.col("_keep")).otherwise(F.col("_hot_keep"))
+    return joined.select("_id", keep.alias("_keep"), F.coalesce("_hot_n", "_n").alias("_n"), "_sha")
+
+
 def drop_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.
 
