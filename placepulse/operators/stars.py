@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placepulse.functions.text import is_blank, words
-from placepulse.operators.joins import lookup_join
+from placepulse.operators.joins import BROADCAST_BYTES, BROADCAST_ROWS, fits_broadcast, lookup_join
+from placepulse.operators.sets import fingerprint
 from placepulse.schema import NO_TEXT_LABEL
+from placepulse.session import durable
 
 LITERAL_WORDS = 10_000
 NEUTRAL_STARS = 3
@@ -45,12 +47,13 @@ def score_stars(
 ) -> DataFrame:
     """Add a 1..5 rating: the mean star value of the known words, 3 when none is known.
 
-    ``lexicon`` has one row ``(word, stars)`` per word, stars 1..5. A lexicon of up to
-    ``LITERAL_WORDS`` words becomes five hash sets inside the expression, so scoring is a
-    projection without a shuffle. A larger one is joined word by word, with equal results:
+    ``lexicon`` has one row ``(word, stars)`` per word, stars 1..5; it is computed once and kept. A
+    lexicon of up to ``LITERAL_WORDS`` words becomes five hash sets inside the expression, so scoring
+    is a projection without a shuffle. A larger one is joined word by word, with equal results:
     neither way looks at ids, so repeated and null ids are rows like others.
     """
     entries = lexicon.where(F.col("stars").between(1, 5)).groupBy("word").agg(F.max("stars").alias("stars"))
+    entries = durable(entries)
     listed = entries.limit(LITERAL_WORDS + 1).collect()
     if len(listed) > LITERAL_WORDS:
         return _score_by_join(df, entries, text, output)
@@ -68,20 +71,51 @@ def score_stars(
 
 
 def _score_by_join(df: DataFrame, entries: DataFrame, text: str, output: str) -> DataFrame:
-    """Scores per different text, by its 128-bit hash: copies of a text raise both sums alike."""
-    keyed = df.withColumn("_text_id", F.md5(F.col(text)))
-    used = keyed.select("_text_id", F.explode(words(F.col(text))).alias("word"))
-    # The words of a text are in one partition, so counting them first leaves little to join.
-    used = used.groupBy("_text_id", "word").agg(F.count(F.lit(1)).alias("_n"))
-    matched = lookup_join(used, entries, ["word"], "inner")
-    sums = matched.groupBy("_text_id").agg(
-        F.sum(F.col("stars") * F.col("_n")).alias("_total"), F.sum("_n").alias("_known")
+    """Scores per different text, by its 128-bit identity: copies of a text raise both sums alike."""
+    one, two = fingerprint(text)
+    keyed = df.withColumns({"_one": one, "_two": two})
+    used = keyed.select("_one", "_two", F.explode(words(F.col(text))).alias("word"))
+    # The words of a text are in one task, so their sums are a row per text when they travel.
+    sums = _starred(used, entries).groupBy("_one", "_two").agg(
+        F.sum("stars").alias("_total"), F.count(F.lit(1)).alias("_known")
     )
-    joined = lookup_join(keyed, sums, ["_text_id"], "left")
+    joined = lookup_join(keyed, durable(sums), ["_one", "_two"], "left")
     known = F.coalesce("_known", F.lit(0))
     return joined.select(*df.columns, _rounded(F.coalesce("_total", F.lit(0)), known).alias(output))
 
 
+def _starred(used: DataFrame, entries: DataFrame) -> DataFrame:
+    """``_one, _two, stars`` of every use of a known word.
+
+    A lexicon that measures small is broadcast. Of a larger one the words most used in these texts are, known or not, which
+    are most of the uses; only uses of the other words are shuffled, none of which is used often enough to be a hot key.
+    """
+    if fits_broadcast(entries):
+        return used.join(F.broadcast(entries), "word").select("_one", "_two", "stars")
+    counts = used.groupBy("word").agg(F.length(F.bin(F.count(F.lit(1)))).alias("_level"))
+    found = durable(counts.join(entries, "word", "left"))
+    level = _broadcast_level(found)
+    often, rest = found.where(F.col("_level") >= level), found.where((F.col("_level") < level) & F.col("stars").isNotNull())
+    near = used.join(F.broadcast(often.where("stars IS NOT NULL").select("word", "stars")), "word")
+    others = used.join(F.broadcast(often.select("word")), "word", "left_anti")
+    far = others.join(rest.select("word", "stars"), "word")
+    return near.select("_one", "_two", "stars").unionByName(far.select("_one", "_two", "stars"))
+
+
+def _broadcast_level(found: DataFrame) -> int:
+    """The least level, the binary digits of a word's uses, from which on all words can be broadcast together."""
+    width = F.octet_length("word") + F.lit(8)
+    # At most 64 rows.
+    levels = found.groupBy("_level").agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")).collect()
+    rows, size, least = BROADCAST_ROWS, BROADCAST_BYTES, 65
+    for found_at in sorted(levels, key=lambda row: -row["_level"]):
+        rows, size = rows - found_at["rows"], size - found_at["bytes"]
+        if rows < 0 or size < 0:
+            break
+        least = found_at["_level"]
+    return least
+
+
 def score_with(
     df: DataFrame,
     loader: Callable[[], Callable[[list[str]], list[str]]],

@@ -180,8 +180,7 @@ def profile_reviews(spark: SparkSession, sf: str) -> DataFrame:
 )
 def label_reviews(spark: SparkSession, sf: str) -> DataFrame:
     rows = reviews(spark, sf).select("review_id", F.col("text_review").alias("cleaned_text"), "rating_review")
-    lexicon = durable(stars.fit_lexicon(rows))
-    return corpus.label_reviews(rows, lexicon).drop("cleaned_text")
+    return corpus.label_reviews(rows, stars.fit_lexicon(rows)).drop("cleaned_text")
 
 
 _SPLIT = T.StructType(
@@ -220,7 +219,7 @@ _K4_RATED = f"""{lexicon_sql()}, occurrences AS (SELECT review_id, unnest({words
 def label_balance(spark: SparkSession, sf: str) -> DataFrame:
     """Distribution and imbalance of the predicted labels."""
     rows = reviews(spark, sf).select("review_id", F.col("text_review").alias("cleaned_text"), "rating_review")
-    labelled = corpus.label_reviews(rows, durable(stars.fit_lexicon(rows)))
+    labelled = corpus.label_reviews(rows, stars.fit_lexicon(rows))
     return corpus.label_balance(labelled)
 
 

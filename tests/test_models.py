@@ -73,6 +73,27 @@ def test_stars_inline_and_joined(spark, monkeypatch, limit):
     assert values(stars.score_stars(alike, lexicon), "cleaned_text", "predicted_rating") == [("bad", 1), ("good", 5), ("good", 5), (None, 3)]
 
 
+def test_large_lexicon_moves_no_frequent_word(spark, monkeypatch):
+    monkeypatch.setattr(stars, "LITERAL_WORDS", 1)
+    lexicon = spark.createDataFrame([("good", 5), ("bad", 1), ("fine", 4), ("dull", 2), ("unused", 3)], "word string, stars int")
+    rows = [(i, f"the good good {w}") for i, w in enumerate(["bad", "fine", "dull", "rare", "bad bad"] * 2)] + [(None, None), (11, "the"), (11, "dull the the")]
+    df = spark.createDataFrame(rows, "review_id int, cleaned_text string")
+    whole = values(stars.score_stars(df, lexicon))
+    used = df.selectExpr("cleaned_text AS _one", "cleaned_text AS _two", "explode(split(cleaned_text, ' ')) AS word")
+    assert "Exchange hashpartitioning" not in stars._starred(used, lexicon)._jdf.queryExecution().toString()
+    # Too large to broadcast: two words, of three tenths of the uses each, may be; then none.
+    for most, level in ((2, 4), (0, 65)):
+        monkeypatch.setattr(stars, "BROADCAST_ROWS", most)
+        monkeypatch.setattr(stars, "fits_broadcast", lambda df: False)
+        assert values(stars.score_stars(df, lexicon)) == whole
+        counts = used.groupBy("word").agg(F.expr("length(bin(count(1)))").alias("_level"))
+        assert stars._broadcast_level(counts) == level
+        assert values(stars._starred(used, lexicon).groupBy("stars").count()) == [(1, 6), (2, 3), (4, 2), (5, 20)]
+    assert dict(values(df.join(stars.score_stars(df, lexicon), ["review_id", "cleaned_text"]), "cleaned_text", "predicted_rating")) == {
+        "the good good bad": 4, "the good good fine": 5, "the good good dull": 4, "the good good rare": 5, "the good good bad bad": 3, "the": 3, "dull the the": 2,
+    }
+
+
 def test_scorer_never_sees_blank_text(spark):
     def loader():
         def model(texts):
