@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from placepulse.operators.columns import row_identity, with_row_id
+from placepulse.operators.columns import fingerprint, row_identity, with_row_id
 from placepulse.operators.filters import StepCounter, counted
 from placepulse.operators.joins import lookup_join
 from placepulse.session import durable
@@ -24,13 +24,6 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct()
 
 
-def fingerprint(*columns: str) -> list[Column]:
-    """A 128-bit identity of values as two numbers; null equals null and nothing else."""
-    values = [F.col(name) for name in columns]
-    nulls = [value.isNull() for value in values]
-    return [F.xxhash64(*nulls, *values), F.xxhash64(F.lit("second"), *values, *nulls)]
-
-
 def dedupe_reviews(
     df: DataFrame,
     keys: Sequence[str] = ("cleaned_text", "rating_review"),

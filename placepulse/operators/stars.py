@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placepulse.functions.text import is_blank, words
+from placepulse.operators.columns import fingerprint
 from placepulse.operators.joins import BROADCAST_BYTES, BROADCAST_ROWS, fits_broadcast, lookup_join
-from placepulse.operators.sets import fingerprint
 from placepulse.schema import NO_TEXT_LABEL
 from placepulse.session import durable
 

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from placepulse.functions.labels import sentiment_label
 from placepulse.operators import filters, sets, stars, training
-from placepulse.operators.joins import lookup_join, normalize_titles
+from placepulse.operators.joins import known_reviews, lookup_join, normalize_titles
 from placepulse.operators.language import fit_language_profiles
 from placepulse.operators.profiling import value_counts
 from placepulse.plans import corpus, learning, publishing
@@ -36,7 +36,7 @@ from placepulse.session import durable, scratch_path, spread
 from placepulse.sources import files
 from placepulse.sources.files import read_reviews_csv, read_scored_csv, write_csv
 from placepulse.sources.tables import TableStore
-from placepulse.streaming.incremental import run_available
+from placepulse.streaming.incremental import BATCH, run_available
 
 
 @query(
@@ -484,11 +484,9 @@ def incremental_stream(spark: SparkSession, sf: str) -> DataFrame:
     store, inbox = _store(spark, sf), scratch_path(spark, "inbox")
     unseen = publishing.new_reviews(titled(spark, sf).select("title", "text_review", "source"), published(spark, sf))
     unseen.write.parquet(inbox)
-    for _ in range(2):
-        run_available(spark, inbox, f"{inbox}-progress", store, aliases(spark, sf), _scorer)
-        titled(spark, sf).select("title", "text_review", "source").join(
-            store.read_table("reviews", publishing.REVIEWS).select("text_review", "source").distinct(),
-            ["text_review", "source"],
-            "left_semi",
-        ).select("title", "text_review", "source").write.mode("append").parquet(inbox)
+    run_available(spark, inbox, f"{inbox}-progress", store, aliases(spark, sf), _scorer)
+    # Only what was unseen can be in the store, and all of it lies in the inbox.
+    offered, held = spark.read.schema(BATCH).parquet(inbox), store.read_table("reviews", publishing.REVIEWS)
+    known_reviews(offered, held).write.mode("append").parquet(inbox)
+    run_available(spark, inbox, f"{inbox}-progress", store, aliases(spark, sf), _scorer)
     return store.read_table("reviews", publishing.REVIEWS)

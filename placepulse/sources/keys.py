@@ -13,8 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from placepulse.operators.columns import fingerprint
 from placepulse.operators.joins import fits_broadcast, lookup_join
-from placepulse.operators.sets import fingerprint
 from placepulse.session import durable
 from placepulse.sources.tables import TableStore
 

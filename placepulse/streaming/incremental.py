@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from placepulse.plans.publishing import Scorer, publish_reviews, score_new_reviews
-from placepulse.session import durable, job_scratch
+from placepulse.session import job_scratch
 from placepulse.sources.keys import KeyIndex
 from placepulse.sources.tables import TableStore
 
@@ -43,9 +43,10 @@ def run_available(
     def publish(batch: DataFrame, number: int) -> None:
         part = f"batch-{number:09d}"
         # What an earlier try of this batch may have published does not count as known.
+        # The batch is the files themselves, read again where its keys are looked up; publishing keeps what was scored.
         with job_scratch(spark):
-            batch = durable(batch.where(F.col("text_review").isNotNull()))
-            scored = durable(score_new_reviews(batch, published, scorer, without_part=part))
+            batch = batch.where(F.col("text_review").isNotNull())
+            scored = score_new_reviews(batch, published, scorer, without_part=part)
             publish_reviews(scored, store, aliases, mode="append", part=part)
 
     stream = (

@@ -39,6 +39,21 @@ def test_lookup_join_by_broadcast_and_by_shuffle(spark, monkeypatch, limit):
     assert joins.lookup_join(big, small, ["k"], "inner").count() == 1001
 
 
+
+def test_keys_are_looked_up_without_moving_text(spark, monkeypatch):
+    rows = [(1, "a", "s"), (2, "a", "t"), (3, None, "s"), (4, "b", None), (5, "c", "s"), (5, "c", "s"), (None, "d", "s")]
+    batch = spark.createDataFrame(rows, "id int, text_review string, source string")
+    existing = spark.createDataFrame([("a", "s"), ("a", "s"), (None, "s"), ("b", None), ("c", "t"), ("d", "s"), ("e", "s")], "text_review string, source string")
+    for fits in (joins.fits_broadcast, lambda df: False):
+        monkeypatch.setattr(joins, "fits_broadcast", fits)
+        unseen, known = joins.new_reviews(batch, existing), joins.known_reviews(batch, existing)
+        assert values(unseen, "id") == [(2,), (3,), (4,), (5,), (5,)] and unseen.columns == batch.columns
+        assert values(known) == [(1, "a", "s"), (None, "d", "s")]
+    monkeypatch.undo()
+    plan = joins.new_reviews(batch, existing)._jdf.queryExecution().toString()
+    assert "BroadcastHashJoin" in plan and not any("Exchange hashpartitioning" in line and "_one" not in line for line in plan.splitlines())
+
+
 def test_hot_keys_are_few(spark):
     df = spark.range(10_000).select(F.col("id") % 100)
     assert joins.hot_keys(df.toDF("k"), "k").count() == 100
