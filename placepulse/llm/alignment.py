@@ -13,6 +13,7 @@ one aggregate, and one join that broadcasts the counts if they measure small and
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -20,6 +21,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +31,8 @@ from placepulse.operators.joins import lookup_join
 TOKENIZERS = "/opt/tokenizers"
 BYTE_FILE = "byte_bpe_50k.json"
 PIECE_FILE = "piece_bpe_32k.model"
+#: Fixed value: how byte-level vocabularies of this kind cut a text before merging.
+PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Bytes of text aligned at once; a longer document is cut where tokens of both sides end.
 CHUNK = 1 << 20
 
@@ -172,6 +176,45 @@ def _byte_of() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + n): b for n, b in enumerate(others)}
 
 
+def _merged(token: bytes, ranks: dict[bytes, int], pairs: dict[tuple[int, int], int]) -> list[int]:
+    """What the merges make of a token's bytes: always the first merge of the list, leftmost."""
+    ids = [ranks[token[k : k + 1]] for k in range(len(token))]
+    while len(ids) > 1:
+        best = min(range(len(ids) - 1), key=lambda k: pairs.get((ids[k], ids[k + 1]), 1 << 30))
+        made = pairs.get((ids[best], ids[best + 1]))
+        if made is None:
+            break
+        ids[best : best + 2] = [made]
+    return ids
+
+
+def _merges_by_rank(path: str, entries: list[bytes]) -> tiktoken.Encoding | None:
+    """The same tokenizer by ranks, which is faster, if its file allows it.
+
+    Ranks join a pair wherever its bytes are a token. That is what the list of merges does if texts are cut by
+    ``PATTERN``, each merge makes the next id out of smaller ones, and every token is what merges make of its bytes.
+    """
+    with open(path, encoding="utf-8") as file:
+        held = json.load(file)
+    model, cut = held["model"], held["pre_tokenizer"] or {}
+    plain = not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback"))
+    plain &= model["type"] == "BPE" and not held["normalizer"] and cut.get("type") == "ByteLevel"
+    if not plain or cut.get("add_prefix_space") or not cut.get("use_regex", True):
+        return None
+    vocab, pairs = model["vocab"], {}
+    for i, merge in enumerate(model["merges"], 256):
+        a, b = merge.split(" ") if isinstance(merge, str) else merge
+        if vocab.get(a + b) != i or max(vocab[a], vocab[b]) >= i:
+            return None
+        pairs[vocab[a], vocab[b]] = i
+    if len(vocab) != 256 + len(model["merges"]):
+        return None
+    ranks = {entries[i]: i for i in vocab.values()}
+    if any(_merged(token, ranks, pairs) != [i] for token, i in ranks.items()):
+        return None
+    return tiktoken.Encoding("merges", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 @lru_cache(maxsize=4)
 def byte_tokenizer(path: str):
     """Encoder of many texts and vocabulary of a byte-level tokenizer; special tokens are plain text."""
@@ -182,6 +225,8 @@ def byte_tokenizer(path: str):
     tokenizer.encode_special_tokens = True
     of = _byte_of()
     entries = [bytes(of[c] for c in tokenizer.id_to_token(i)) for i in range(tokenizer.get_vocab_size())]
+    if ranked := _merges_by_rank(path, entries):
+        return (lambda texts: [ranked.encode_to_numpy(t).view(np.int32) for t in texts]), Vocabulary.of(entries)
 
     def encode(texts: list[str]) -> list[list[int]]:
         return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from placepulse.llm import attention
-from placepulse.llm.alignment import TOKENIZERS
+from placepulse.llm.alignment import PATTERN, TOKENIZERS
 from placepulse.llm.common import saved
 from placepulse.llm.shingles import mix, powers
 
@@ -39,8 +39,6 @@ FREQUENT = 500_000
 #: Bytes of text, and numbers of subwords, handled at once.
 CHUNK = 1 << 20
 RANKS_FILE = "byte_bpe_50k.tiktoken"
-#: Fixed value: how byte-level vocabularies of this kind cut a text before merging.
-PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _LOWER_BYTES = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _LN10 = math.log(10)
 Texts = Iterator[pa.RecordBatch]

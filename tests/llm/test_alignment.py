@@ -1,8 +1,10 @@
 """Token alignment against the plain definition."""
 
 import hashlib
+import json
 import random
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -95,6 +97,27 @@ def test_links(spark):
         al.token_links(both, "other")
 
 
+def test_ranks_give_the_ids_of_the_merges(tmp_path):
+    from tokenizers import Tokenizer
+
+    slow = Tokenizer.from_file(A_PATH)
+    slow.encode_special_tokens = True
+    encode, words = al.byte_tokenizer(A_PATH)
+    rng = random.Random(5)
+    entries = [bytes(words.blob[s : s + n]) for s, n in zip(words.starts.tolist(), words.lengths.tolist(), strict=True)]
+    texts = [t for t in TEXTS if t] + ["".join(rng.choices("aab  bc\n\t's.1!é中 'll ", k=99)) for _ in range(300)]
+    texts += [b"".join(rng.choices(entries, k=9)).decode(errors="ignore") for _ in range(2000)]
+    texts += [f" a{chr(c)}b 1{chr(c)}2 {chr(c)}! {chr(c)}{chr(c)}\n{chr(c)}x'{chr(c)} {chr(c)}" for c in [*range(0x3100), *rng.choices(range(0xE000, 0x110000), k=3000)]]
+    want = [e.ids for e in slow.encode_batch_fast(texts, add_special_tokens=False)]
+    assert [list(ids) for ids in encode(texts)] == want
+    # The ranks did it, and a token that merges never make keeps to the list of merges.
+    assert al._merges_by_rank(A_PATH, entries)
+    held = json.loads(Path(A_PATH).read_text(encoding="utf-8"))
+    held["model"]["merges"][7], held["model"]["merges"][8] = held["model"]["merges"][8], held["model"]["merges"][7]
+    (tmp_path / "other.json").write_text(json.dumps(held), encoding="utf-8")
+    assert al._merges_by_rank(str(tmp_path / "other.json"), entries) is None
+
+
 def test_products():
     rng = np.random.RandomState(4)
     for _ in range(20):
