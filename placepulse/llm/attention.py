@@ -8,6 +8,7 @@ holds all rarer ids and leaves the choice among them to their counts.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -89,94 +90,117 @@ _SCALE = np.float32(WIDTH**-0.5)
 
 
 def _attended(weights: Weights, inputs: np.ndarray, first: int) -> tuple:
-    """States of the positions from ``first`` on, and what the way back needs. ``inputs``: windows of ranks."""
+    """States of the positions from ``first`` on, and what the way back needs. ``inputs``: windows of ranks.
+
+    Queries and keys meet only in their product, values and the output likewise: both pairs are one matrix each.
+    """
     windows, length = inputs.shape
-    x = weights["embedding"][inputs] + weights["place"][:length]
-    flat = x.reshape(-1, WIDTH)
-    keys = (flat @ weights["key"]).reshape(windows, length, WIDTH)
-    values = (flat @ weights["value"]).reshape(windows, length, WIDTH)
-    fresh = x[:, first:]
-    queries = (np.ascontiguousarray(fresh).reshape(-1, WIDTH) @ weights["query"]).reshape(windows, length - first, WIDTH)
-    scores = np.matmul(queries, keys.transpose(0, 2, 1))
-    scores *= _SCALE
+    x = weights["embedding"].take(inputs, axis=0)
+    x += weights["place"][:length]
+    fresh = np.ascontiguousarray(x[:, first:]).reshape(-1, WIDTH)
+    queries = (fresh @ (weights["query"] @ weights["key"].T * _SCALE)).reshape(windows, length - first, WIDTH)
+    scores = np.matmul(queries, x.transpose(0, 2, 1))
     np.clip(scores, -LIMIT, LIMIT, out=scores)
     np.exp(scores, out=scores)
     # What is masked, the future, also keeps the padding behind a text out of it.
     scores *= _CAUSAL[first:length, :length]
-    scores /= np.einsum("wij->wi", scores)[:, :, None]
-    mixed = np.matmul(scores, values)
-    states = fresh + (mixed.reshape(-1, WIDTH) @ weights["out"]).reshape(fresh.shape)
-    return states.reshape(-1, WIDTH), (x, keys, values, queries, scores, mixed)
-
-
-def _softmax(logits: np.ndarray) -> np.ndarray:
-    np.clip(logits, -LIMIT, LIMIT, out=logits)
-    np.exp(logits, out=logits)
-    logits /= np.einsum("ij->i", logits)[:, None]
-    return logits
-
-
-def _by_class(targets: np.ndarray) -> list[tuple[int, np.ndarray]]:
-    classes = targets // MEMBERS
-    order = np.argsort(classes, kind="stable")
-    ends = np.cumsum(np.bincount(classes, minlength=CLASSES + 1))
-    return [(c, order[a:b]) for c, (a, b) in enumerate(zip([0, *ends[:-1]], ends, strict=True)) if b > a and c < CLASSES]
+    total = scores.reshape(-1, length) @ np.ones(length, scores.dtype)
+    mixed = np.matmul(scores, x).reshape(-1, WIDTH)
+    mixed /= total[:, None]
+    states = mixed @ (weights["value"] @ weights["out"])
+    states += fresh
+    return states, (x, queries, scores, total, mixed)
+
+
+def _exponentials(near: np.ndarray, matrix: np.ndarray, bias: np.ndarray, bounded: bool, out: np.ndarray) -> np.ndarray:
+    """The exponentials of the logits, into the first rows of ``out``; ``bounded`` ones are within ``LIMIT`` anyway."""
+    logits = np.matmul(near, matrix, out=out[: len(near)])
+    logits += bias
+    if not bounded:
+        np.clip(logits, -LIMIT, LIMIT, out=logits)
+    return np.exp(logits, out=logits)
+
+
+class _Predicted:
+    """States in the order of their targets' classes, and for every softmax over them its rows."""
+
+    def __init__(self, weights: Weights, states: np.ndarray, rows: np.ndarray, targets: np.ndarray):
+        classes = (targets // MEMBERS).astype(np.int16)
+        order = np.argsort(classes, kind="stable")
+        self.rows, self.targets, self.classes = rows[order], targets[order], classes[order]
+        self.weights, self.near = weights, states[self.rows]
+        ends = np.cumsum(np.bincount(classes, minlength=CLASSES + 1)).tolist()
+        self.parts = [(c, slice(a, b)) for c, (a, b) in enumerate(zip([0, *ends[:-2]], ends[:-1], strict=True)) if b > a]
+        longest = math.sqrt(np.einsum("ij,ij->i", self.near, self.near).max(initial=0))
+        self.bounded = [
+            longest * math.sqrt(np.einsum("...ij,...ij->...j", w, w).max()) + np.abs(bias).max() <= LIMIT
+            for w, bias in ((weights["classes"], weights["class_bias"]), (weights["members"], weights["member_bias"]))
+        ]
+        self.kinds = np.empty((len(rows), CLASSES + 1), self.near.dtype)
+        self.held = np.empty((max((b.stop - b.start for _, b in self.parts), default=0), MEMBERS), self.near.dtype)
+
+    def softmaxes(self):
+        """Names of the weights and the index in them, rows, exponentials, their sums, and where the targets are."""
+        every = slice(0, len(self.rows))
+        steps = [(("classes", "class_bias"), (), every, self.kinds, self.classes)] if len(self.rows) else []
+        members = self.targets % MEMBERS
+        steps += [(("members", "member_bias"), c, part, self.held, members[part]) for c, part in self.parts]
+        for names, c, part, out, wanted in steps:
+            matrix, bias = (self.weights[n][c] for n in names)
+            found = _exponentials(self.near[part], matrix, bias, self.bounded[names[0] == "members"], out)
+            yield names, c, part, found, found @ np.ones(found.shape[1], found.dtype), (np.arange(len(found)), wanted)
 
 
 def log_likelihoods(weights: Weights, inputs: np.ndarray, targets: np.ndarray, first: int) -> np.ndarray:
     """Natural log of the probability of every target; ``targets`` are those of the positions from ``first`` on."""
     states, _ = _attended(weights, inputs, first)
-    wanted = targets.ravel()
-    classes = _softmax(states @ weights["classes"] + weights["class_bias"])
-    found = np.log(classes[np.arange(len(wanted)), wanted // MEMBERS] + 1e-30)
-    for c, rows in _by_class(wanted):
-        members = _softmax(states[rows] @ weights["members"][c] + weights["member_bias"][c])
-        found[rows] += np.log(members[np.arange(len(rows)), wanted[rows] % MEMBERS] + 1e-30)
-    return found.reshape(targets.shape)
+    predicted = _Predicted(weights, states, np.arange(len(states)), targets.ravel())
+    found = np.zeros(len(states), states.dtype)
+    for _, _, part, shares, total, at in predicted.softmaxes():
+        found[part] += np.log(shares[at] / total + 1e-30)
+    out = np.empty_like(found)
+    out[predicted.rows] = found
+    return out.reshape(targets.shape)
 
 
 def gradient(weights: Weights, inputs: np.ndarray, targets: np.ndarray, there: np.ndarray) -> tuple[np.ndarray, float]:
     """Gradient of the mean negative log likelihood of the targets that are ``there``, flat, and that mean."""
-    states, (x, keys, values, queries, scores, mixed) = _attended(weights, inputs, 0)
+    states, (x, queries, scores, total, mixed) = _attended(weights, inputs, 0)
     flat = np.zeros(SIZE, np.float32)
     out = unpacked(flat)
     rows = np.flatnonzero(there.ravel())
-    wanted, states = targets.ravel()[rows], states[rows]
-    n = np.float32(max(1, len(rows)))
-    classes = _softmax(states @ weights["classes"] + weights["class_bias"])
-    at = (np.arange(len(rows)), wanted // MEMBERS)
-    loss = -np.log(classes[at] + 1e-30).sum()
-    classes[at] -= 1
-    classes /= n
-    out["classes"][:], out["class_bias"][:] = states.T @ classes, classes.sum(axis=0)
-    back = classes @ weights["classes"].T
-    for c, some in _by_class(wanted):
-        near = states[some]
-        members = _softmax(near @ weights["members"][c] + weights["member_bias"][c])
-        at = (np.arange(len(some)), wanted[some] % MEMBERS)
-        loss -= np.log(members[at] + 1e-30).sum()
-        members[at] -= 1
-        members /= n
-        out["members"][c], out["member_bias"][c] = near.T @ members, members.sum(axis=0)
-        back[some] += members @ weights["members"][c].T
-    d_states = np.zeros((x.shape[0] * x.shape[1], WIDTH), np.float32)
-    d_states[rows] = back
-    d_mixed = d_states @ weights["out"].T
-    out["out"][:] = mixed.reshape(-1, WIDTH).T @ d_states
-    d_mixed = d_mixed.reshape(mixed.shape)
-    d_values = np.matmul(scores.transpose(0, 2, 1), d_mixed).reshape(-1, WIDTH)
-    d_scores = np.matmul(d_mixed, values.transpose(0, 2, 1))
-    d_scores -= np.einsum("wij,wij->wi", d_scores, scores)[:, :, None]
+    predicted = _Predicted(weights, states, rows, targets.ravel()[rows])
+    n, loss = np.float32(max(1, len(rows))), 0.0
+    back = np.zeros_like(predicted.near)
+    for (matrix, bias), c, part, shares, sums, at in predicted.softmaxes():
+        loss -= np.log(shares[at] / sums + 1e-30).sum()
+        # Less what was wanted; divided by the sums where that is narrow.
+        shares[at] -= sums
+        scale = 1 / (sums * n)
+        out[matrix][c], out[bias][c] = (predicted.near[part] * scale[:, None]).T @ shares, scale @ shares
+        felt = shares @ weights[matrix][c].T
+        felt *= scale[:, None]
+        back[part] += felt
+    d_states = np.zeros_like(states)
+    d_states[predicted.rows] = back
+    d_joint = mixed.T @ d_states
+    out["value"][:], out["out"][:] = d_joint @ weights["out"].T, weights["value"].T @ d_joint
+    d_mixed = d_states @ (weights["value"] @ weights["out"]).T
+    d_mixed /= total[:, None]
+    common = np.einsum("ij,ij->i", d_mixed, mixed).reshape(*inputs.shape, 1)
+    d_mixed = d_mixed.reshape(x.shape)
+    d_scores = np.matmul(d_mixed, x.transpose(0, 2, 1))
+    d_scores -= common
     d_scores *= scores
-    d_scores *= _SCALE
-    d_queries = np.matmul(d_scores, keys).reshape(-1, WIDTH)
-    d_keys = np.matmul(d_scores.transpose(0, 2, 1), queries).reshape(-1, WIDTH)
-    before = x.reshape(-1, WIDTH)
-    d_x = d_states
-    for name, d in (("query", d_queries), ("key", d_keys), ("value", d_values)):
-        out[name][:] = before.T @ d
-        d_x = d_x + d @ weights[name].T
-    out["place"][: x.shape[1]] = d_x.reshape(x.shape).sum(axis=0)
+    d_x = np.matmul(scores.transpose(0, 2, 1), d_mixed)
+    d_x += np.matmul(d_scores.transpose(0, 2, 1), queries)
+    d_x = d_x.reshape(-1, WIDTH)
+    d_x += d_states
+    d_queries = np.matmul(d_scores, x).reshape(-1, WIDTH)
+    d_x += d_queries @ (weights["key"] @ weights["query"].T * _SCALE)
+    d_joint = x.reshape(-1, WIDTH).T @ d_queries * _SCALE
+    out["query"][:], out["key"][:] = d_joint @ weights["key"], d_joint.T @ weights["query"]
+    out["place"][: x.shape[1]] = (np.ones(len(x), d_x.dtype) @ d_x.reshape(len(x), -1)).reshape(x.shape[1:])
     ids = inputs.ravel()
     for k in range(WIDTH):
         out["embedding"][:, k] = np.bincount(ids, d_x[:, k], len(out["embedding"]))
@@ -200,16 +224,21 @@ class Adam:
         flat -= (scale * self.first / (np.sqrt(self.second / (1 - 0.98**self.turn)) + 1e-7)).astype(np.float32)
 
 
-def windows(ranks: np.ndarray, start: int, length: int, step: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Inputs and targets of one text cut into windows, and which targets count: each once.
+def windows(ranks: np.ndarray, sizes: np.ndarray, start: int, length: int, step: int) -> tuple[np.ndarray, ...]:
+    """Inputs and targets of texts cut into windows, which targets count, each once, and each window's text and place in it.
 
-    ``ranks`` ends with the end of the text; its predecessors are led by ``start``. A window begins ``step``
-    positions after the one before; of all but the first only the last ``step`` positions count.
+    ``ranks`` are those of ``sizes`` texts, each with its end; its predecessors are led by ``start``. A window begins
+    ``step`` positions after the one before; of all but the first only the last ``step`` positions count.
     """
-    n = len(ranks)
-    count = 1 if n <= length else 1 + -(-(n - length) // step)
-    places = np.arange(count)[:, None] * step + np.arange(length)
-    padded = np.full(length + step * count + 1, start, np.int32)
-    padded[1 : n + 1] = ranks
-    counts = (places < n) & ((np.arange(count)[:, None] == 0) | (np.arange(length) >= length - step))
-    return padded[places], padded[places + 1], counts
+    count = 1 + np.maximum(0, -(-(sizes - length) // step))
+    # Every text takes its windows' positions and one more, filled up with ``start``.
+    room = (count - 1) * step + length + 1
+    before = np.cumsum(room) - room
+    padded = np.full(int(room.sum()), start, np.int32)
+    padded[np.arange(len(ranks)) + np.repeat(before + 1 - (np.cumsum(sizes) - sizes), sizes)] = ranks
+    of = np.repeat(np.arange(len(sizes)), count)
+    turn = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
+    at = (before[of] + turn * step)[:, None] + np.arange(length)
+    left = (sizes[of] - turn * step)[:, None]
+    counts = (np.arange(length) < left) & ((turn == 0)[:, None] | (np.arange(length) >= length - step))
+    return padded[at], padded[at + 1], counts, of, turn

@@ -32,6 +32,8 @@ from placepulse.llm.shingles import mix, powers
 
 ROUNDS = 4
 BATCH = 128
+#: Windows scored at once.
+SCORED = 256
 RATE = 0.03
 SEED = 13
 #: Most words whose counts are sent to every task: 16 bytes each.
@@ -39,6 +41,7 @@ FREQUENT = 500_000
 #: Bytes of text, and numbers of subwords, handled at once.
 CHUNK = 1 << 20
 RANKS_FILE = "byte_bpe_50k.tiktoken"
+_SPACED_BLANKS = "\u00a0 \u00a0"
 _LOWER_BYTES = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _LN10 = math.log(10)
 Texts = Iterator[pa.RecordBatch]
@@ -51,6 +54,8 @@ def tokenizer(path: str) -> tuple[tiktoken.Encoding, np.ndarray]:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
     spaced = np.zeros(max(ranks.values()) + 1, bool)
     spaced[[rank for token, rank in ranks.items() if token[:1] == b" "]] = True
+    if len(spaced) > 1 << 16:
+        raise ValueError("ids have more than 16 bits")
     return tiktoken.Encoding("subwords", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}), spaced
 
 
@@ -59,7 +64,11 @@ def encoded(text: str | None, path: str) -> np.ndarray:
     words = (text or "").encode().translate(_LOWER_BYTES).split()
     if not words:
         return np.empty(0, np.int32)
-    return tokenizer(path)[0].encode_to_numpy((b" " + b" ".join(words)).decode()).astype(np.int32)
+    encoding, joined = tokenizer(path)[0], (b" " + b" ".join(words)).decode()
+    if _SPACED_BLANKS in joined:
+        # The only subwords with a space inside hold several words.
+        return np.concatenate([encoding.encode_to_numpy(f" {w.decode()}") for w in words]).astype(np.int32)
+    return encoding.encode_to_numpy(joined).astype(np.int32)
 
 
 def _batched(batches: Texts, size: Callable[[dict], int]) -> Iterator[list[dict]]:
@@ -77,28 +86,37 @@ def _batched(batches: Texts, size: Callable[[dict], int]) -> Iterator[list[dict]
         yield held
 
 
-_IDS = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("ids", pa.binary())])
+_IDS = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("ids", pa.binary()), ("wide", pa.binary())])
+#: Ids as they are kept: there are fewer than 2**16.
+_NARROW = np.uint16
 
 
 def subwords(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", tokenizers: str = TOKENIZERS) -> DataFrame:
-    """``_row, doc_id, held_out, ids`` (32-bit numbers), written once. A null id is an empty text to the hash."""
+    """``_row, doc_id, held_out, ids`` (16-bit numbers) and their ``hash``, written once. A null id is an empty text to the crc."""
     path = f"{tokenizers}/{RANKS_FILE}"
     doc_id = F.col(id_column).cast("bigint")
     held_out = F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 7 == 2
 
     def encode(batches: Texts) -> Texts:
         for rows in _batched(batches, lambda r: len(r["text"] or "")):
-            ids = [encoded(r["text"], path).tobytes() for r in rows]
-            columns = [[r["doc_id"] for r in rows], [r["held_out"] for r in rows], ids]
+            ids = [encoded(r["text"], path) for r in rows]
+            narrow, wide = [i.astype(_NARROW).tobytes() for i in ids], [i.tobytes() for i in ids]
+            columns = [[r["doc_id"] for r in rows], [r["held_out"] for r in rows], narrow, wide]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _IDS, strict=True)], schema=_IDS)
 
     texts = docs.select(doc_id.alias("doc_id"), held_out.alias("held_out"), F.col(text_column).alias("text"))
-    found = texts.mapInArrow(encode, "doc_id BIGINT, held_out BOOLEAN, ids BINARY")
-    return saved(found.withColumn("_row", F.monotonically_increasing_id()), "subwords")
+    found = texts.mapInArrow(encode, "doc_id BIGINT, held_out BOOLEAN, ids BINARY, wide BINARY")
+    found = found.withColumns({"_row": F.monotonically_increasing_id(), "hash": F.xxhash64("wide")})
+    return saved(found.drop("wide"), "subwords")
 
 
 def _ids(row: dict) -> np.ndarray:
-    return np.frombuffer(row["ids"], np.int32)
+    return np.frombuffer(row["ids"], _NARROW)
+
+
+@lru_cache(maxsize=4)
+def _mixed(size: int) -> np.ndarray:
+    return mix(np.arange(1, size + 1, dtype=np.uint64))
 
 
 def word_keys(ids: np.ndarray, spaced: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -106,14 +124,15 @@ def word_keys(ids: np.ndarray, spaced: np.ndarray) -> tuple[np.ndarray, np.ndarr
     starts = np.flatnonzero(spaced[ids])
     ends = np.append(starts[1:], len(ids))
     up, down = powers(len(ids) + 1)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(ids.astype(np.uint64) + np.uint64(1)) * up[: len(ids)])])
+    sums = np.zeros(len(ids) + 1, np.uint64)
+    np.cumsum(_mixed(len(spaced))[ids] * up[: len(ids)], out=sums[1:])
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)).view(np.int64), starts
 
 
 def _flat(rows: list[dict]) -> tuple[np.ndarray, np.ndarray]:
     """All ids, and how many there are up to each text's end."""
     held = [_ids(r) for r in rows]
-    return np.concatenate(held), np.cumsum([len(i) for i in held])
+    return np.concatenate(held).astype(np.int32), np.cumsum([len(i) for i in held])
 
 
 _TIMES = pa.schema([("key", pa.int64()), ("n", pa.int64())])
@@ -122,7 +141,7 @@ _TIMES = pa.schema([("key", pa.int64()), ("n", pa.int64())])
 def _word_times(path: str):
     def times(batches: Texts) -> Texts:
         spaced = tokenizer(path)[1]
-        for rows in _batched(batches, lambda r: len(r["ids"]) // 4 + 1):
+        for rows in _batched(batches, lambda r: len(r["ids"]) // _NARROW().itemsize + 1):
             keys, n = np.unique(word_keys(_flat(rows)[0], spaced)[0], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], schema=_TIMES)
 
@@ -131,7 +150,7 @@ def _word_times(path: str):
 
 def _id_times(batches: Texts) -> Texts:
     total = np.zeros(0, np.int64)
-    for rows in _batched(batches, lambda r: len(r["ids"]) // 4 + 1):
+    for rows in _batched(batches, lambda r: len(r["ids"]) // _NARROW().itemsize + 1):
         n = np.bincount(_flat(rows)[0], minlength=len(total))
         n[: len(total)] += total
         total = n
@@ -150,10 +169,12 @@ class Model:
     def end(self) -> int:
         return len(self.ranks.rank) - 1
 
-    def ranked(self, row: dict) -> tuple[np.ndarray, float]:
-        """Ranks of a text's ids and its end, and the log of the shares of its rare ids."""
-        ids = np.append(_ids(row), self.end)
-        return self.ranks.rank[ids], float(self.ranks.rare[ids].sum())
+    def ranked(self, rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ranks of texts' ids and ends, their numbers by text, and the log of the shares of each text's rare ids."""
+        flat, ends = _flat(rows)
+        ids, sizes = np.insert(flat, ends, self.end), np.diff(ends, prepend=0) + 1
+        rare = np.bincount(np.repeat(np.arange(len(rows)), sizes), self.ranks.rare[ids], len(rows))
+        return self.ranks.rank[ids], sizes, rare
 
 
 _LEARNT = pa.schema([("part", pa.int64()), ("n", pa.int64()), ("weights", pa.binary())])
@@ -170,19 +191,19 @@ def _learner(model: Model, rate: float, batch_size: int):
         weights, steps = attention.unpacked(flat), attention.Adam(rate)
         start = int(model.ranks.rank[model.end])
         held: list[tuple] = []
-        size = 0
-        for rows in _batched(batches, lambda r: len(r["ids"]) // 4 + 1):
+        for rows in _batched(batches, lambda r: len(r["ids"]) // _NARROW().itemsize + 1):
             part = rows[0]["part"]
-            for row in rows:
-                held.append(attention.windows(model.ranked(row)[0], start, attention.WINDOW, attention.WINDOW))
-                size += len(held[-1][0])
-                while size >= batch_size:
-                    inputs, targets, there = (np.concatenate(c) for c in zip(*held, strict=True))
-                    steps.step(flat, attention.gradient(weights, inputs[:batch_size], targets[:batch_size], there[:batch_size])[0])
-                    n += int(there[:batch_size].sum())
-                    held, size = [(inputs[batch_size:], targets[batch_size:], there[batch_size:])], size - batch_size
-        if size:
+            ranks, sizes, _ = model.ranked(rows)
+            held.append(attention.windows(ranks, sizes, start, attention.WINDOW, attention.WINDOW)[:3])
             inputs, targets, there = (np.concatenate(c) for c in zip(*held, strict=True))
+            for at in range(0, len(inputs) - batch_size + 1, batch_size):
+                some = slice(at, at + batch_size)
+                steps.step(flat, attention.gradient(weights, inputs[some], targets[some], there[some])[0])
+                n += int(there[some].sum())
+            rest = slice(len(inputs) - len(inputs) % batch_size, None)
+            held = [(inputs[rest], targets[rest], there[rest])]
+        if held and len(held[0][0]):
+            inputs, targets, there = held[0]
             steps.step(flat, attention.gradient(weights, inputs, targets, there)[0])
             n += int(there.sum())
         if n:
@@ -209,7 +230,7 @@ def fit_model(texts: DataFrame, tokenizers: str = TOKENIZERS, rounds: int = ROUN
         counts[key] = n
     counts[-1] = training.count()
     model = Model(attention.started(counts, SEED), attention.Ranks.of(counts))
-    turn = F.pmod(F.xxhash64("ids"), F.lit(rounds))
+    turn = F.pmod("hash", F.lit(rounds))
     for i in range(rounds):
         some = training.where(turn == i).select("ids", F.spark_partition_id().cast("bigint").alias("part"))
         learnt = some.mapInArrow(_learner(model, RATE / (1 + i), batch_size), _LEARNT_DDL)
@@ -225,31 +246,14 @@ def fit_model(texts: DataFrame, tokenizers: str = TOKENIZERS, rounds: int = ROUN
 def text_scores(model: Model, rows: list[dict]) -> np.ndarray:
     """Natural log of each text's probability, its end included."""
     weights, start = attention.unpacked(model.flat), int(model.ranks.rank[model.end])
-    total = np.zeros(len(rows))
+    ranks, sizes, total = model.ranked(rows)
     later = attention.WINDOW - attention.FRESH
-    held: dict[int, list[tuple]] = {0: [], later: []}
-
-    def flush(first: int) -> None:
-        if held[first]:
-            inputs, targets, there, of = (np.concatenate(c) for c in zip(*held[first], strict=True))
-            for at in range(0, len(inputs), BATCH):
-                part = slice(at, at + BATCH)
-                found = attention.log_likelihoods(weights, inputs[part], targets[part, first:], first)
-                total[:] += np.bincount(of[part], (found * there[part, first:]).sum(axis=1), len(rows))
-            held[first] = []
-
-    for i, row in enumerate(rows):
-        ranks, rare = model.ranked(row)
-        total[i] += rare
-        windows = attention.windows(ranks, start, attention.WINDOW, attention.FRESH)
-        for first, part in ((0, slice(0, 1)), (later, slice(1, None))):
-            some = [w[part] for w in windows]
-            if len(some[0]):
-                held[first].append((*some, np.full(len(some[0]), i)))
-            if sum(len(h[0]) for h in held[first][-1:]) + len(held[first]) >= 8 * BATCH:
-                flush(first)
-    flush(0)
-    flush(later)
+    inputs, targets, there, of, turn = attention.windows(ranks, sizes, start, attention.WINDOW, attention.FRESH)
+    for first, some in ((0, np.flatnonzero(turn == 0)), (later, np.flatnonzero(turn))):
+        for at in range(0, len(some), SCORED):
+            part = some[at : at + SCORED]
+            found = attention.log_likelihoods(weights, inputs[part], targets[part, first:], first)
+            total += np.bincount(of[part], (found * there[part, first:]).sum(axis=1), len(rows))
     return total
 
 
@@ -268,7 +272,7 @@ def _scorer(model: Model, path: str, keys: np.ndarray, counts: np.ndarray):
 
     def score(batches: Texts) -> Texts:
         spaced = tokenizer(path)[1]
-        for rows in _batched(batches, lambda r: len(r["ids"]) // 4 + 1):
+        for rows in _batched(batches, lambda r: len(r["ids"]) // _NARROW().itemsize + 1):
             flat, ends = _flat(rows)
             words, starts = word_keys(flat, spaced)
             of = np.searchsorted(ends, starts, side="right")

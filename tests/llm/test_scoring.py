@@ -139,3 +139,24 @@ def test_edge_tables(spark):
     rows = scoring.score_texts(docs(spark, ["a b", None], ids)).orderBy("doc_id").collect()
     assert [(r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) for r in rows] == [(3, 0, 0, 0.0), (1, 0, 0, 0.0)]
     assert all(math.isfinite(r["score"]) and r["score"] < 0 for r in rows)
+
+
+def test_a_subword_never_holds_two_words(spark):
+    texts = ["a \u00a0 \u00a0 b", "A" + " \u00a0" * 4 + " "]
+    rows = scoring.score_texts(docs(spark, texts, [0, 2]), model=untrained()).orderBy("doc_id").collect()
+    assert [r["n_tokens"] for r in rows] == [5, 6]
+
+
+def test_windows_of_many_texts_are_those_of_each():
+    rng = np.random.RandomState(6)
+    sizes = np.array([1, 5, 32, 33, 56, 57, 200, 1])
+    texts = [rng.randint(0, 1025, n).astype(np.int32) for n in sizes]
+    for step in (attention.WINDOW, attention.FRESH):
+        got = attention.windows(np.concatenate(texts), sizes, 7, attention.WINDOW, step)
+        for i, text in enumerate(texts):
+            inputs, targets, counts, turn = (part[got[3] == i] for part in (*got[:3], got[4]))
+            assert turn.tolist() == list(range(len(turn)))
+            assert targets[counts].tolist() == text.tolist()
+            assert inputs[counts].tolist() == [7, *text[:-1]]
+            for k in range(1, len(turn)):
+                assert inputs[k, 0] == text[k * step - 1]
