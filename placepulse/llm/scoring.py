@@ -54,8 +54,6 @@ def tokenizer(path: str) -> tuple[tiktoken.Encoding, np.ndarray]:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
     spaced = np.zeros(max(ranks.values()) + 1, bool)
     spaced[[rank for token, rank in ranks.items() if token[:1] == b" "]] = True
-    if len(spaced) > 1 << 16:
-        raise ValueError("ids have more than 16 bits")
     return tiktoken.Encoding("subwords", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}), spaced
 
 
@@ -87,20 +85,25 @@ def _batched(batches: Texts, size: Callable[[dict], int]) -> Iterator[list[dict]
 
 
 _IDS = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("ids", pa.binary()), ("wide", pa.binary())])
-#: Ids as they are kept: there are fewer than 2**16.
-_NARROW = np.uint16
+
+
+def kept_as(size: int) -> np.dtype:
+    """Type of the ids of a vocabulary of that size as they are kept."""
+    return np.dtype(np.uint16 if size <= 1 << 16 else np.int32)
+
 
 
 def subwords(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", tokenizers: str = TOKENIZERS) -> DataFrame:
-    """``_row, doc_id, held_out, ids`` (16-bit numbers) and their ``hash``, written once. A null id is an empty text to the crc."""
+    """``_row, doc_id, held_out, ids`` (as ``kept_as`` says) and their ``hash``, written once. A null id is an empty text to the crc."""
     path = f"{tokenizers}/{RANKS_FILE}"
     doc_id = F.col(id_column).cast("bigint")
     held_out = F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 7 == 2
 
     def encode(batches: Texts) -> Texts:
+        kept = kept_as(len(tokenizer(path)[1]))
         for rows in _batched(batches, lambda r: len(r["text"] or "")):
             ids = [encoded(r["text"], path) for r in rows]
-            narrow, wide = [i.astype(_NARROW).tobytes() for i in ids], [i.tobytes() for i in ids]
+            narrow, wide = [i.astype(kept).tobytes() for i in ids], [i.tobytes() for i in ids]
             columns = [[r["doc_id"] for r in rows], [r["held_out"] for r in rows], narrow, wide]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _IDS, strict=True)], schema=_IDS)
 
@@ -110,10 +113,6 @@ def subwords(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     return saved(found.drop("wide"), "subwords")
 
 
-def _ids(row: dict) -> np.ndarray:
-    return np.frombuffer(row["ids"], _NARROW)
-
-
 @lru_cache(maxsize=4)
 def _mixed(size: int) -> np.ndarray:
     return mix(np.arange(1, size + 1, dtype=np.uint64))
@@ -129,9 +128,9 @@ def word_keys(ids: np.ndarray, spaced: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)).view(np.int64), starts
 
 
-def _flat(rows: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+def _flat(rows: list[dict], kept: np.dtype) -> tuple[np.ndarray, np.ndarray]:
     """All ids, and how many there are up to each text's end."""
-    held = [_ids(r) for r in rows]
+    held = [np.frombuffer(r["ids"], kept) for r in rows]
     return np.concatenate(held).astype(np.int32), np.cumsum([len(i) for i in held])
 
 
@@ -141,21 +140,25 @@ _TIMES = pa.schema([("key", pa.int64()), ("n", pa.int64())])
 def _word_times(path: str):
     def times(batches: Texts) -> Texts:
         spaced = tokenizer(path)[1]
-        for rows in _batched(batches, lambda r: len(r["ids"]) // _NARROW().itemsize + 1):
-            keys, n = np.unique(word_keys(_flat(rows)[0], spaced)[0], return_counts=True)
+        kept = kept_as(len(spaced))
+        for rows in _batched(batches, lambda r: len(r["ids"]) // kept.itemsize + 1):
+            keys, n = np.unique(word_keys(_flat(rows, kept)[0], spaced)[0], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], schema=_TIMES)
 
     return times
 
 
-def _id_times(batches: Texts) -> Texts:
-    total = np.zeros(0, np.int64)
-    for rows in _batched(batches, lambda r: len(r["ids"]) // _NARROW().itemsize + 1):
-        n = np.bincount(_flat(rows)[0], minlength=len(total))
-        n[: len(total)] += total
-        total = n
-    ids = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], schema=_TIMES)
+def _id_times(kept: np.dtype):
+    def times(batches: Texts) -> Texts:
+        total = np.zeros(0, np.int64)
+        for rows in _batched(batches, lambda r: len(r["ids"]) // kept.itemsize + 1):
+            n = np.bincount(_flat(rows, kept)[0], minlength=len(total))
+            n[: len(total)] += total
+            total = n
+        ids = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], schema=_TIMES)
+
+    return times
 
 
 @dataclass(frozen=True)
@@ -171,7 +174,7 @@ class Model:
 
     def ranked(self, rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ranks of texts' ids and ends, their numbers by text, and the log of the shares of each text's rare ids."""
-        flat, ends = _flat(rows)
+        flat, ends = _flat(rows, kept_as(self.end))
         ids, sizes = np.insert(flat, ends, self.end), np.diff(ends, prepend=0) + 1
         rare = np.bincount(np.repeat(np.arange(len(rows)), sizes), self.ranks.rare[ids], len(rows))
         return self.ranks.rank[ids], sizes, rare
@@ -186,12 +189,14 @@ def _learnt(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
 
 
 def _learner(model: Model, rate: float, batch_size: int):
+    kept = kept_as(model.end)
+
     def learn(batches: Texts) -> Texts:
         flat, part, n = model.flat.copy(), 0, 0
         weights, steps = attention.unpacked(flat), attention.Adam(rate)
         start = int(model.ranks.rank[model.end])
         held: list[tuple] = []
-        for rows in _batched(batches, lambda r: len(r["ids"]) // _NARROW().itemsize + 1):
+        for rows in _batched(batches, lambda r: len(r["ids"]) // kept.itemsize + 1):
             part = rows[0]["part"]
             ranks, sizes, _ = model.ranked(rows)
             held.append(attention.windows(ranks, sizes, start, attention.WINDOW, attention.WINDOW)[:3])
@@ -226,7 +231,7 @@ def fit_model(texts: DataFrame, tokenizers: str = TOKENIZERS, rounds: int = ROUN
     size = len(tokenizer(f"{tokenizers}/{RANKS_FILE}")[1]) + 1
     counts = np.zeros(size, np.int64)
     # One row per id of the vocabulary at most.
-    for key, n in training.select("ids").mapInArrow(_id_times, "key BIGINT, n BIGINT").groupBy("key").agg(F.sum("n")).collect():
+    for key, n in training.select("ids").mapInArrow(_id_times(kept_as(size - 1)), "key BIGINT, n BIGINT").groupBy("key").agg(F.sum("n")).collect():
         counts[key] = n
     counts[-1] = training.count()
     model = Model(attention.started(counts, SEED), attention.Ranks.of(counts))
@@ -272,8 +277,9 @@ def _scorer(model: Model, path: str, keys: np.ndarray, counts: np.ndarray):
 
     def score(batches: Texts) -> Texts:
         spaced = tokenizer(path)[1]
-        for rows in _batched(batches, lambda r: len(r["ids"]) // _NARROW().itemsize + 1):
-            flat, ends = _flat(rows)
+        kept = kept_as(len(spaced))
+        for rows in _batched(batches, lambda r: len(r["ids"]) // kept.itemsize + 1):
+            flat, ends = _flat(rows, kept)
             words, starts = word_keys(flat, spaced)
             of = np.searchsorted(ends, starts, side="right")
             several, back = np.unique(words, return_inverse=True)

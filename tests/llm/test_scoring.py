@@ -1,5 +1,6 @@
 """Language-model scoring against plain counts and a token-by-token model."""
 
+import base64
 import binascii
 import math
 import random
@@ -160,3 +161,14 @@ def test_windows_of_many_texts_are_those_of_each():
             assert inputs[counts].tolist() == [7, *text[:-1]]
             for k in range(1, len(turn)):
                 assert inputs[k, 0] == text[k * step - 1]
+
+
+def test_larger_vocabularies(spark, tmp_path):
+    assert scoring.kept_as(1 << 16) == np.uint16
+    lines, size = open(PATH, "rb").read().splitlines(), (1 << 16) + 5_000
+    more = [base64.b64encode(b"~~%d~~" % i) + b" %d" % i for i in range(len(lines), size)]
+    (tmp_path / scoring.RANKS_FILE).write_bytes(b"\n".join([*lines, *more]))
+    table, columns = docs(spark, ["a b", "~~66000~~ a", "~~66001~~ ~~66000~~"], [0, 2, 3]), ("doc_id", "n_tokens", "n_known", "base_score")
+    found = [sorted(map(tuple, scoring.score_texts(table, tokenizers=t).select(*columns).collect())) for t in (scoring.TOKENIZERS, str(tmp_path))]
+    assert [r[:3] for r in found[0]] == [r[:3] for r in found[1]]
+    assert [r[3] for r in found[0]] == pytest.approx([r[3] for r in found[1]])
