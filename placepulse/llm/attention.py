@@ -54,7 +54,8 @@ SHAPES = {
     "members": (CLASSES, WIDTH, MEMBERS),
     "member_bias": (CLASSES, MEMBERS),
 }
-SIZE = sum(int(np.prod(s)) for s in SHAPES.values())
+_SIZES = {name: math.prod(shape) for name, shape in SHAPES.items()}
+SIZE = sum(_SIZES.values())
 Weights = dict[str, np.ndarray]
 
 
@@ -62,9 +63,8 @@ def unpacked(flat: np.ndarray) -> Weights:
     """Views of one array, a matrix each."""
     weights, at = {}, 0
     for name, shape in SHAPES.items():
-        size = int(np.prod(shape))
-        weights[name] = flat[at : at + size].reshape(shape)
-        at += size
+        weights[name] = flat[at : at + _SIZES[name]].reshape(shape)
+        at += _SIZES[name]
     return weights
 
 
@@ -106,23 +106,15 @@ def _attended(weights: Weights, inputs: np.ndarray, first: int) -> tuple:
     scores *= _CAUSAL[first:length, :length]
     total = scores.reshape(-1, length) @ np.ones(length, scores.dtype)
     mixed = np.matmul(scores, x).reshape(-1, WIDTH)
-    mixed /= total[:, None]
+    total = np.repeat(total, WIDTH).reshape(-1, WIDTH)
+    mixed /= total
     states = mixed @ (weights["value"] @ weights["out"])
     states += fresh
     return states, (x, queries, scores, total, mixed)
 
 
-def _exponentials(near: np.ndarray, matrix: np.ndarray, bias: np.ndarray, bounded: bool, out: np.ndarray) -> np.ndarray:
-    """The exponentials of the logits, into the first rows of ``out``; ``bounded`` ones are within ``LIMIT`` anyway."""
-    logits = np.matmul(near, matrix, out=out[: len(near)])
-    logits += bias
-    if not bounded:
-        np.clip(logits, -LIMIT, LIMIT, out=logits)
-    return np.exp(logits, out=logits)
-
-
 class _Predicted:
-    """States in the order of their targets' classes, and for every softmax over them its rows."""
+    """States in the order of their targets' classes: all go through the softmax over classes, all but the last, rare ones through one over members."""
 
     def __init__(self, weights: Weights, states: np.ndarray, rows: np.ndarray, targets: np.ndarray):
         classes = (targets // MEMBERS).astype(np.int16)
@@ -130,25 +122,26 @@ class _Predicted:
         self.rows, self.targets, self.classes = rows[order], targets[order], classes[order]
         self.weights, self.near = weights, states[self.rows]
         ends = np.cumsum(np.bincount(classes, minlength=CLASSES + 1)).tolist()
+        self.known = ends[-2]
         self.parts = [(c, slice(a, b)) for c, (a, b) in enumerate(zip([0, *ends[:-2]], ends[:-1], strict=True)) if b > a]
-        longest = math.sqrt(np.einsum("ij,ij->i", self.near, self.near).max(initial=0))
-        self.bounded = [
-            longest * math.sqrt(np.einsum("...ij,...ij->...j", w, w).max()) + np.abs(bias).max() <= LIMIT
-            for w, bias in ((weights["classes"], weights["class_bias"]), (weights["members"], weights["member_bias"]))
-        ]
-        self.kinds = np.empty((len(rows), CLASSES + 1), self.near.dtype)
-        self.held = np.empty((max((b.stop - b.start for _, b in self.parts), default=0), MEMBERS), self.near.dtype)
 
     def softmaxes(self):
-        """Names of the weights and the index in them, rows, exponentials, their sums, and where the targets are."""
-        every = slice(0, len(self.rows))
-        steps = [(("classes", "class_bias"), (), every, self.kinds, self.classes)] if len(self.rows) else []
-        members = self.targets % MEMBERS
-        steps += [(("members", "member_bias"), c, part, self.held, members[part]) for c, part in self.parts]
-        for names, c, part, out, wanted in steps:
-            matrix, bias = (self.weights[n][c] for n in names)
-            found = _exponentials(self.near[part], matrix, bias, self.bounded[names[0] == "members"], out)
-            yield names, c, part, found, found @ np.ones(found.shape[1], found.dtype), (np.arange(len(found)), wanted)
+        """Of classes, then of members: names of the weights, the indices in them with their rows, exponentials, their sums, and where the targets are."""
+        members = self.targets[: self.known] % MEMBERS
+        every = [((), slice(0, len(self.rows)))]
+        for names, parts, wanted in ((("classes", "class_bias"), every, self.classes), (("members", "member_bias"), self.parts, members)):
+            found = np.empty((len(wanted), self.weights[names[0]].shape[-1]), self.near.dtype)
+            for c, part in parts:
+                matrix, bias = (self.weights[n][c] for n in names)
+                logits = np.matmul(self.near[part], matrix, out=found[part])
+                logits += bias
+            np.clip(found, -LIMIT, LIMIT, out=found)
+            np.exp(found, out=found)
+            # Sums part by part: those over other parts could differ in their last bits.
+            ones, total = np.ones(found.shape[1], found.dtype), np.empty(len(found), found.dtype)
+            for _, part in parts:
+                np.matmul(found[part], ones, out=total[part])
+            yield names, parts, found, total, (np.arange(len(found)), wanted)
 
 
 def log_likelihoods(weights: Weights, inputs: np.ndarray, targets: np.ndarray, first: int) -> np.ndarray:
@@ -156,8 +149,8 @@ def log_likelihoods(weights: Weights, inputs: np.ndarray, targets: np.ndarray, f
     states, _ = _attended(weights, inputs, first)
     predicted = _Predicted(weights, states, np.arange(len(states)), targets.ravel())
     found = np.zeros(len(states), states.dtype)
-    for _, _, part, shares, total, at in predicted.softmaxes():
-        found[part] += np.log(shares[at] / total + 1e-30)
+    for _, _, shares, total, at in predicted.softmaxes():
+        found[: len(shares)] += np.log(shares[at] / total + 1e-30)
     out = np.empty_like(found)
     out[predicted.rows] = found
     return out.reshape(targets.shape)
@@ -172,21 +165,27 @@ def gradient(weights: Weights, inputs: np.ndarray, targets: np.ndarray, there: n
     predicted = _Predicted(weights, states, rows, targets.ravel()[rows])
     n, loss = np.float32(max(1, len(rows))), 0.0
     back = np.zeros_like(predicted.near)
-    for (matrix, bias), c, part, shares, sums, at in predicted.softmaxes():
-        loss -= np.log(shares[at] / sums + 1e-30).sum()
+    for (matrix, bias), parts, shares, sums, at in predicted.softmaxes():
+        wanted = shares[at]
+        loss -= np.log(wanted / sums + 1e-30).sum()
         # Less what was wanted; divided by the sums where that is narrow.
-        shares[at] -= sums
+        shares[at] = wanted - sums
         scale = 1 / (sums * n)
-        out[matrix][c], out[bias][c] = (predicted.near[part] * scale[:, None]).T @ shares, scale @ shares
-        felt = shares @ weights[matrix][c].T
-        felt *= scale[:, None]
-        back[part] += felt
+        # Made as wide as a state, once, since narrow rows are slow to spread one number over.
+        wide = np.repeat(scale, WIDTH).reshape(-1, WIDTH)
+        near = predicted.near[: len(shares)] * wide
+        felt = np.empty_like(near)
+        for c, part in parts:
+            out[matrix][c], out[bias][c] = near[part].T @ shares[part], scale[part] @ shares[part]
+            np.matmul(shares[part], weights[matrix][c].T, out=felt[part])
+        felt *= wide
+        back[: len(felt)] += felt
     d_states = np.zeros_like(states)
     d_states[predicted.rows] = back
     d_joint = mixed.T @ d_states
     out["value"][:], out["out"][:] = d_joint @ weights["out"].T, weights["value"].T @ d_joint
     d_mixed = d_states @ (weights["value"] @ weights["out"]).T
-    d_mixed /= total[:, None]
+    d_mixed /= total
     common = np.einsum("ij,ij->i", d_mixed, mixed).reshape(*inputs.shape, 1)
     d_mixed = d_mixed.reshape(x.shape)
     d_scores = np.matmul(d_mixed, x.transpose(0, 2, 1))
@@ -201,7 +200,7 @@ def gradient(weights: Weights, inputs: np.ndarray, targets: np.ndarray, there: n
     d_joint = x.reshape(-1, WIDTH).T @ d_queries * _SCALE
     out["query"][:], out["key"][:] = d_joint @ weights["key"], d_joint.T @ weights["query"]
     out["place"][: x.shape[1]] = (np.ones(len(x), d_x.dtype) @ d_x.reshape(len(x), -1)).reshape(x.shape[1:])
-    ids = inputs.ravel()
+    ids = inputs.ravel().astype(np.intp)
     for k in range(WIDTH):
         out["embedding"][:, k] = np.bincount(ids, d_x[:, k], len(out["embedding"]))
     return flat, float(loss / n)
@@ -212,16 +211,23 @@ class Adam:
     """Step sizes by the running moments of the gradient."""
 
     rate: float
-    first: np.ndarray | float = 0.0
-    second: np.ndarray | float = 0.0
+    first: np.ndarray | None = None
+    second: np.ndarray | None = None
     turn: int = 0
 
     def step(self, flat: np.ndarray, grad: np.ndarray) -> None:
+        if not self.turn:
+            self.first, self.second = np.zeros_like(grad), np.zeros_like(grad)
         self.turn += 1
-        self.first = 0.9 * self.first + 0.1 * grad
-        self.second = 0.98 * self.second + 0.02 * grad * grad
-        scale = self.rate / (1 - 0.9**self.turn)
-        flat -= (scale * self.first / (np.sqrt(self.second / (1 - 0.98**self.turn)) + 1e-7)).astype(np.float32)
+        self.first *= 0.9
+        self.first += 0.1 * grad
+        self.second *= 0.98
+        self.second += 0.02 * grad * grad
+        change = self.first * (self.rate / (1 - 0.9**self.turn))
+        size = np.sqrt(self.second / (1 - 0.98**self.turn))
+        size += 1e-7
+        change /= size
+        flat -= change
 
 
 def windows(ranks: np.ndarray, sizes: np.ndarray, start: int, length: int, step: int) -> tuple[np.ndarray, ...]:
@@ -238,7 +244,8 @@ def windows(ranks: np.ndarray, sizes: np.ndarray, start: int, length: int, step:
     padded[np.arange(len(ranks)) + np.repeat(before + 1 - (np.cumsum(sizes) - sizes), sizes)] = ranks
     of = np.repeat(np.arange(len(sizes)), count)
     turn = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
-    at = (before[of] + turn * step)[:, None] + np.arange(length)
+    begun = before[of] + turn * step
+    spans = np.lib.stride_tricks.sliding_window_view(padded, length)
     left = (sizes[of] - turn * step)[:, None]
     counts = (np.arange(length) < left) & ((turn == 0)[:, None] | (np.arange(length) >= length - step))
-    return padded[at], padded[at + 1], counts, of, turn
+    return spans[begun], spans[begun + 1], counts, of, turn

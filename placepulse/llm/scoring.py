@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import math
+import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -41,6 +42,9 @@ FREQUENT = 500_000
 #: Bytes of text, and numbers of subwords, handled at once.
 CHUNK = 1 << 20
 RANKS_FILE = "byte_bpe_50k.tiktoken"
+#: The pattern without its parts for blanks that stand alone, and the blanks that can remain in a word.
+_PLAIN = PATTERN.removesuffix(r"|\s+(?!\S)|\s+")
+_BLANKS = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _SPACED_BLANKS = "\u00a0 \u00a0"
 _LOWER_BYTES = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _LN10 = math.log(10)
@@ -48,13 +52,16 @@ Texts = Iterator[pa.RecordBatch]
 
 
 @lru_cache(maxsize=4)
-def tokenizer(path: str) -> tuple[tiktoken.Encoding, np.ndarray]:
-    """A byte-level tokenizer from its file of ranks, and which of its ids begin with a space."""
+def tokenizer(path: str) -> tuple[tiktoken.Encoding, np.ndarray, tiktoken.Encoding]:
+    """A byte-level tokenizer from its file of ranks, which of its ids begin with a space, and one for texts without other blanks than single spaces."""
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
     spaced = np.zeros(max(ranks.values()) + 1, bool)
     spaced[[rank for token, rank in ranks.items() if token[:1] == b" "]] = True
-    return tiktoken.Encoding("subwords", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}), spaced
+    # Without any special token the empty one would be looked for, and found, at every place of a text.
+    special = {"<|endoftext|>": len(spaced)}
+    whole, plain = (tiktoken.Encoding("subwords", pat_str=p, mergeable_ranks=ranks, special_tokens=special) for p in (PATTERN, _PLAIN))
+    return whole, spaced, plain
 
 
 def encoded(text: str | None, path: str) -> np.ndarray:
@@ -62,11 +69,15 @@ def encoded(text: str | None, path: str) -> np.ndarray:
     words = (text or "").encode().translate(_LOWER_BYTES).split()
     if not words:
         return np.empty(0, np.int32)
-    encoding, joined = tokenizer(path)[0], (b" " + b" ".join(words)).decode()
-    if _SPACED_BLANKS in joined:
+    encoding, _, plain = tokenizer(path)
+    joined = (b" " + b" ".join(words)).decode()
+    if not _BLANKS.search(joined):
+        # Every space goes with the letter, digit or sign behind it.
+        encoding = plain
+    elif _SPACED_BLANKS in joined:
         # The only subwords with a space inside hold several words.
-        return np.concatenate([encoding.encode_to_numpy(f" {w.decode()}") for w in words]).astype(np.int32)
-    return encoding.encode_to_numpy(joined).astype(np.int32)
+        return np.concatenate([encoding.encode_to_numpy(f" {w.decode()}", disallowed_special=()) for w in words]).astype(np.int32)
+    return encoding.encode_to_numpy(joined, disallowed_special=()).astype(np.int32)
 
 
 def _batched(batches: Texts, size: Callable[[dict], int]) -> Iterator[list[dict]]:
@@ -172,12 +183,17 @@ class Model:
     def end(self) -> int:
         return len(self.ranks.rank) - 1
 
-    def ranked(self, rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ranks of texts' ids and ends, their numbers by text, and the log of the shares of each text's rare ids."""
+    def ended(self, rows: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+        """Texts' ids and ends, and their numbers by text."""
         flat, ends = _flat(rows, kept_as(self.end))
-        ids, sizes = np.insert(flat, ends, self.end), np.diff(ends, prepend=0) + 1
-        rare = np.bincount(np.repeat(np.arange(len(rows)), sizes), self.ranks.rare[ids], len(rows))
-        return self.ranks.rank[ids], sizes, rare
+        return np.insert(flat, ends, self.end), np.diff(ends, prepend=0) + 1
+
+    def rare(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The log of the shares of each text's rare ids."""
+        logs = self.ranks.rare[ids]
+        few = np.flatnonzero(logs)
+        # Of no ids the counts are integers.
+        return np.bincount(np.searchsorted(np.cumsum(sizes), few, side="right"), logs[few], len(sizes)).astype(float)
 
 
 _LEARNT = pa.schema([("part", pa.int64()), ("n", pa.int64()), ("weights", pa.binary())])
@@ -198,8 +214,8 @@ def _learner(model: Model, rate: float, batch_size: int):
         held: list[tuple] = []
         for rows in _batched(batches, lambda r: len(r["ids"]) // kept.itemsize + 1):
             part = rows[0]["part"]
-            ranks, sizes, _ = model.ranked(rows)
-            held.append(attention.windows(ranks, sizes, start, attention.WINDOW, attention.WINDOW)[:3])
+            ids, sizes = model.ended(rows)
+            held.append(attention.windows(model.ranks.rank[ids], sizes, start, attention.WINDOW, attention.WINDOW)[:3])
             inputs, targets, there = (np.concatenate(c) for c in zip(*held, strict=True))
             for at in range(0, len(inputs) - batch_size + 1, batch_size):
                 some = slice(at, at + batch_size)
@@ -251,9 +267,10 @@ def fit_model(texts: DataFrame, tokenizers: str = TOKENIZERS, rounds: int = ROUN
 def text_scores(model: Model, rows: list[dict]) -> np.ndarray:
     """Natural log of each text's probability, its end included."""
     weights, start = attention.unpacked(model.flat), int(model.ranks.rank[model.end])
-    ranks, sizes, total = model.ranked(rows)
+    ids, sizes = model.ended(rows)
+    total = model.rare(ids, sizes)
     later = attention.WINDOW - attention.FRESH
-    inputs, targets, there, of, turn = attention.windows(ranks, sizes, start, attention.WINDOW, attention.FRESH)
+    inputs, targets, there, of, turn = attention.windows(model.ranks.rank[ids], sizes, start, attention.WINDOW, attention.FRESH)
     for first, some in ((0, np.flatnonzero(turn == 0)), (later, np.flatnonzero(turn))):
         for at in range(0, len(some), SCORED):
             part = some[at : at + SCORED]
@@ -282,7 +299,10 @@ def _scorer(model: Model, path: str, keys: np.ndarray, counts: np.ndarray):
             flat, ends = _flat(rows, kept)
             words, starts = word_keys(flat, spaced)
             of = np.searchsorted(ends, starts, side="right")
-            several, back = np.unique(words, return_inverse=True)
+            found = pa.array(words).dictionary_encode()
+            several = found.dictionary.to_numpy()
+            order = np.argsort(several)
+            several, back = several[order], np.argsort(order)[found.indices.to_numpy()]
             at = np.minimum(np.searchsorted(keys, several), max(0, len(keys) - 1))
             hit = keys[at] == several if len(keys) else np.zeros(len(several), bool)
             count = np.where(hit, counts[at], 0) if len(keys) else np.zeros(len(several))

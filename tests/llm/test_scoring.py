@@ -163,6 +163,35 @@ def test_windows_of_many_texts_are_those_of_each():
                 assert inputs[k, 0] == text[k * step - 1]
 
 
+def test_special_tokens_are_plain_text_and_not_looked_for_everywhere():
+    encoding = scoring.tokenizer(PATH)[0]
+    assert encoding.special_tokens_set and "" not in encoding.special_tokens_set
+    text = "a <|endoftext|>b<|endoftext|> \u00a0 \u00a0 c"
+    want = [i for word in words(text) for i in encoding.encode_ordinary(" " + word)]
+    assert scoring.encoded(text, PATH).tolist() == want
+    assert max(want) < encoding.max_token_value
+
+
+def test_blanks_within_words_and_between():
+    blanks = [chr(c) for c in range(0x110000) if chr(c).isspace() and chr(c) not in " \t\n\x0b\x0c\r"]
+    tokenize = scoring.tokenizer(PATH)[0].encode_ordinary
+    for blank in [*blanks, "\u200b", "\ufeff", "a"]:
+        for text in (f"x{blank}y", f"{blank}x it's{blank}", f"x{blank} {blank}y", f"x {blank} y", f"{blank}{blank}x 12"):
+            want = [i for word in words(text) for i in tokenize(" " + word)]
+            assert scoring.encoded(text, PATH).tolist() == want, (blank, text)
+
+
+def test_exponentials_of_all_classes_are_taken_at_once():
+    rng = np.random.RandomState(4)
+    weights = attention.unpacked(attention.started(np.ones(2000), 1))
+    states = rng.standard_normal((500, attention.WIDTH)).astype(np.float32)
+    targets = rng.randint(0, attention.CLASSES * attention.MEMBERS + 1, 500)
+    predicted = attention._Predicted(weights, states, np.arange(500), targets)
+    found = [(len(shares), len(parts)) for _, parts, shares, _, _ in predicted.softmaxes()]
+    known = int((targets < attention.CLASSES * attention.MEMBERS).sum())
+    assert found == [(500, 1), (known, attention.CLASSES)]
+
+
 def test_larger_vocabularies(spark, tmp_path):
     assert scoring.kept_as(1 << 16) == np.uint16
     lines, size = open(PATH, "rb").read().splitlines(), (1 << 16) + 5_000
